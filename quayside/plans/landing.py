@@ -33,10 +33,12 @@ def with_lineage(df: DataFrame, run_ts: datetime) -> DataFrame:
 def _explain_corrupt(spark: SparkSession, path: str, spec: TableSpec) -> str:
     """File by file: how many records do not fit, and the first line of one of them."""
     source = csv.read_by_position(spark, path, spec, keep_corrupt=True)
+    # The whole record goes along because Spark refuses to read the corrupt column alone.
+    record = F.struct(csv.CORRUPT, *spec.column_names)
     bad = (
         source.where(F.col(csv.CORRUPT).isNotNull())
         .groupBy(F.col("_metadata.file_name").alias("file_name"))
-        .agg(F.count(F.lit(1)).alias("n"), F.min(csv.CORRUPT).alias("record"))
+        .agg(F.count(F.lit(1)).alias("n"), F.min(record)[csv.CORRUPT].alias("record"))
         .orderBy("file_name")
         .limit(20)
         .collect()

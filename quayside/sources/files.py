@@ -16,9 +16,19 @@ WHOLE_FILE_BYTES = 64 * 1024 * 1024
 BLOCK_BYTES = 4 * 1024 * 1024
 
 
+def _empty_files(spark: SparkSession, directory: str, pattern: str) -> DataFrame:
+    """Names of files without content, which Spark's file scans leave out."""
+    pathname = spark._jvm.org.apache.hadoop.fs.Path(directory, pattern)
+    found = pathname.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pathname) or []
+    names = [(e.getPath().getName(), str(e.getPath())) for e in found if e.isFile() and e.getLen() == 0]
+    return spark.createDataFrame(
+        [n for n in names if not n[0].startswith(("_", "."))], "file_name string, path string"
+    )
+
+
 def list_files(spark: SparkSession, directory: str, pattern: str = "*") -> DataFrame:
     """file_name, path and bytes of every matching file; contents are not read."""
-    return (
+    filled = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)
         .load(directory)
@@ -28,6 +38,8 @@ def list_files(spark: SparkSession, directory: str, pattern: str = "*") -> DataF
             F.col("length").alias("bytes"),
         )
     )
+    empty = _empty_files(spark, directory, pattern).withColumn("bytes", F.lit(0).cast("bigint"))
+    return filled.unionByName(empty)
 
 
 def _stream_hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -60,12 +72,16 @@ def hash_files(
     tasks = 4 * spark.sparkContext.defaultParallelism
     large = (
         list_files(spark, directory, pattern)
-        .where(F.col("bytes") > whole_file_bytes)
+        .where((F.col("bytes") > whole_file_bytes) & (F.col("bytes") > 0))
         .repartition(tasks, "path")
         .mapInPandas(_stream_hashes, "file_name string, path string, bytes bigint, sha256 string")
         .select("file_name", "bytes", "sha256")
     )
-    return small.unionByName(large)
+    nothing = hashlib.sha256(b"").hexdigest()
+    empty = _empty_files(spark, directory, pattern).select(
+        "file_name", F.lit(0).cast("bigint").alias("bytes"), F.lit(nothing).alias("sha256")
+    )
+    return small.unionByName(large).unionByName(empty)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
