@@ -137,7 +137,7 @@ def marketplace_specs(prefix: str | None = None) -> tuple[TableSpec, ...]:
                 RowRule(
                     "delivered_after_purchase",
                     ("order_delivered_customer_date", "order_purchase_timestamp"),
-                    lambda c: c("order_delivered_customer_date") >= c("order_purchase_timestamp"),
+                    "{order_delivered_customer_date} >= {order_purchase_timestamp}",
                 ),
             ),
         ),

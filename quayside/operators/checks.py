@@ -1,85 +1,128 @@
 """Data checks derived from a table specification.
 
-All rules that look at one row are counted in a single aggregation over the table:
-one scan, no shuffle beyond one row per task.  Keys and references are counted per
-key first (see ``keys``).  Nothing here collects data; every result is a DataFrame.
+Rules that look at one row are counted together in plain aggregations: one record per
+task is all that is shuffled.  Keys and references are counted per key first (see
+``keys``).  Nothing here collects data; every result is a DataFrame.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from quayside.functions import text as tx
 from quayside.operators import keys
 from quayside.operators.ranked import smallest_values
-from quayside.spec import Column as SpecColumn
-from quayside.spec import ForeignKey, TableSpec
+from quayside.spec import Column, ForeignKey, TableSpec
 
-COUNT_SCHEMA = (
-    "struct<table_name:string,rule:string,columns:string,severity:string,"
-    "n_rows:bigint,n_violations:bigint>"
-)
+INTEGER_LIMITS = {"smallint": 2**15, "int": 2**31, "bigint": 2**63}
+# Below this a double tells for certain that a whole number fits into a bigint.
+SURE_BIGINT = 9.2e18
+# More than this in one aggregation and the generated code is too long for the JVM to compile.
+CHECKS_PER_SCAN = 12
 
 
 @dataclass(frozen=True)
 class Check:
-    """One rule on one row: ``broken`` is true for a violation, null or false otherwise."""
+    """One rule on one row, as SQL: ``broken`` is true for a violation, null or false otherwise.
+
+    Conditions refer to the columns of the table and to those of :func:`with_facts`.
+    """
 
     rule: str
     columns: str
-    broken: Column
-    value: Column
+    broken: str
+    value: str
     severity: str = "error"
     silenced_by: str | None = None
 
 
-def _column_checks(c: SpecColumn) -> list[Check]:
-    text = F.col(f"`{c.name}`")
+def _fact(kind: str, column: str) -> str:
+    return tx.name(f"__{kind}_{column}")
+
+
+def with_facts(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """Append what several rules need to know of a text, so it is parsed once per row."""
+    patterns, values = [], []
+    for c in spec.columns:
+        text = tx.name(c.name)
+        if c.is_timestamp:
+            patterns.append(f"{tx.timestamp_or_null(text)} AS {_fact('ts', c.name)}")
+        elif c.type != "string":
+            number, value = _fact("num", c.name), _fact("val", c.name)
+            patterns.append(f"{tx.is_number(text)} AS {number}")
+            values.append(f"CASE WHEN {number} THEN try_cast({text} AS double) END AS {value}")
+    for facts in (patterns, values):
+        df = df.selectExpr("*", *facts) if facts else df
+    return df
+
+
+def _out_of_integer_range(c: Column) -> str:
+    text, value, limit = tx.name(c.name), _fact("val", c.name), INTEGER_LIMITS[c.type]
+    if c.type == "bigint":
+        exact = f"try_cast({text} AS decimal(38,0))"
+        outside = (
+            f"(abs({value}) >= {SURE_BIGINT:.1e} AND "
+            f"({exact} IS NULL OR {exact} < -{limit}BD OR {exact} >= {limit}BD))"
+        )
+    else:
+        outside = f"({value} < -{limit} OR {value} >= {limit})"
+    return (
+        f"{_fact('num', c.name)} AND NOT {tx.has_decimal_point(text)} AND ({tx.has_exponent(text)} OR {outside})"
+    )
+
+
+def _out_of_decimal_range(c: Column) -> str:
+    whole_digits = int(c.type[len("decimal("):].split(",")[0]) - c.scale
+    near = f"abs({_fact('val', c.name)}) >= {10**whole_digits - 1}"
+    return f"{near} AND try_cast({tx.name(c.name)} AS {c.type}) IS NULL"
+
+
+def _column_checks(c: Column) -> list[Check]:
+    text = tx.name(c.name)
     found: list[Check] = []
 
     def add(rule, broken, severity="error", silenced_by=None):
         found.append(Check(rule, c.name, broken, text, severity, silenced_by))
 
     if c.required:
-        add("not_null", text.isNull())
+        add("not_null", f"{text} IS NULL")
     if c.width is not None:
-        add("exact_width", F.length(text) != c.width)
+        add("exact_width", f"length({text}) <> {c.width}")
     if c.max_width is not None:
-        add("max_width", F.length(text) > c.max_width)
+        add("max_width", f"length({text}) > {c.max_width}")
     if c.is_integer:
-        add("integer", text.isNotNull() & ~tx.is_number(text))
+        add("integer", f"NOT {_fact('num', c.name)}")
         add("decimal_point", tx.has_decimal_point(text), silenced_by="integer")
-        add(
-            "numeric_range",
-            tx.is_number(text) & ~tx.has_decimal_point(text) & text.try_cast(c.type).isNull(),
-        )
+        add("numeric_range", _out_of_integer_range(c))
     elif c.is_decimal or c.type == "double":
-        add("decimal", text.isNotNull() & ~tx.is_number(text))
+        add("decimal", f"NOT {_fact('num', c.name)}")
     if c.minimum is not None:
-        add(
-            "below_minimum",
-            tx.number_or_null(text) < c.minimum,
-            silenced_by="integer" if c.is_integer else "decimal",
-        )
+        number_rule = "integer" if c.is_integer else "decimal"
+        add("below_minimum", f"{_fact('val', c.name)} < {c.minimum}", silenced_by=number_rule)
     if c.is_decimal:
-        add("numeric_range", tx.is_number(text) & text.try_cast(c.type).isNull())
-        add("excess_scale", tx.is_number(text) & (tx.decimal_places(text) > c.scale), "warn")
+        add("numeric_range", _out_of_decimal_range(c))
+        add("excess_scale", f"{_fact('num', c.name)} AND {tx.exceeds_scale(text, c.scale)}", "warn")
     if c.is_timestamp:
-        add("timestamp", text.isNotNull() & tx.timestamp_or_null(text).isNull())
+        add("timestamp", f"{text} IS NOT NULL AND {_fact('ts', c.name)} IS NULL")
     if c.allowed is not None:
-        add("domain", text.isNotNull() & ~text.isin(*c.allowed))
+        add("domain", f"{text} NOT IN ({', '.join(tx.literal(v) for v in c.allowed)})")
     return found
 
 
 def row_checks(spec: TableSpec) -> list[Check]:
     """Every one-row rule of the table, in the order of its columns."""
+
+    def typed_value(column: str) -> str:
+        c = spec.column(column)
+        return _fact("ts", column) if c.is_timestamp else f"({tx.typed_or_null(c, tx.name(column))})"
+
     found = [check for c in spec.columns for check in _column_checks(c)]
     for rule in spec.row_rules:
-        test = rule.test(lambda n: tx.typed_or_null(spec.column(n), F.col(f"`{n}`")))
-        found.append(Check(rule.name, "+".join(rule.columns), ~test, tx.key_text(rule.columns)))
+        holds = rule.test.format(**{c: typed_value(c) for c in rule.columns})
+        found.append(Check(rule.name, "+".join(rule.columns), f"NOT ({holds})", tx.key_text(rule.columns)))
     return found
 
 
@@ -88,46 +131,66 @@ def missing_columns(df: DataFrame, spec: TableSpec) -> list[str]:
     return [c for c in spec.column_names if c not in present]
 
 
-def _entry(spec: TableSpec, rule: str, columns: str, severity: str, n_rows, n_violations) -> Column:
-    return F.struct(
-        F.lit(spec.name).alias("table_name"),
-        F.lit(rule).alias("rule"),
-        F.lit(columns).alias("columns"),
-        F.lit(severity).alias("severity"),
-        n_rows.cast("bigint").alias("n_rows"),
-        n_violations.cast("bigint").alias("n_violations"),
+def _entry(spec: TableSpec, rule: str, columns: str, severity: str, n_violations: str) -> str:
+    return (
+        f"named_struct('table_name', {tx.literal(spec.name)}, 'rule', {tx.literal(rule)}, "
+        f"'columns', {tx.literal(columns)}, 'severity', '{severity}', "
+        f"'n_rows', cast(n_rows AS bigint), 'n_violations', cast({n_violations} AS bigint))"
     )
 
 
+def _as_report(one_row: DataFrame, *entries: str) -> DataFrame:
+    return one_row.selectExpr(f"inline(array({', '.join(entries)}))")
+
+
+def _row_count(df: DataFrame) -> DataFrame:
+    return df.groupBy().agg({"*": "count"}).toDF("n_rows")
+
+
+def _column_groups(checks: list[Check]) -> list[list[Check]]:
+    """Checks in groups that share columns and are small enough to compile well."""
+    groups: list[list[Check]] = [[]]
+    for check in checks:
+        same_column = groups[-1] and groups[-1][-1].columns == check.columns
+        if len(groups[-1]) >= CHECKS_PER_SCAN and not same_column:
+            groups.append([])
+        groups[-1].append(check)
+    return groups
+
+
 def count_row_checks(
     df: DataFrame, spec: TableSpec, checks: list[Check] | None = None, compare_rows: bool = False
 ) -> DataFrame:
-    """One report row per one-row rule.  ``n_violations`` is null where a rule is silenced."""
-    checks = row_checks(spec) if checks is None else checks
-    counts = [F.count_if(c.broken).alias(f"v{i}") for i, c in enumerate(checks)]
-    totals = df.agg(F.count(F.lit(1)).alias("n_rows"), *counts)
-    position = {(c.rule, c.columns): i for i, c in enumerate(checks)}
-    n_rows = F.col("n_rows")
-    entries = [_entry(spec, "columns_present", "*", "error", n_rows, F.lit(0))]
-    for i, check in enumerate(checks):
-        violations = F.col(f"v{i}")
-        silencer = position.get((check.silenced_by, check.columns))
-        if silencer is not None:
-            violations = F.when(F.col(f"v{silencer}") == 0, violations)
-        entries.append(_entry(spec, check.rule, check.columns, check.severity, n_rows, violations))
-    if compare_rows and spec.expected_rows is not None:
-        gap = F.abs(n_rows - F.lit(spec.expected_rows))
-        entries.append(_entry(spec, "row_count", "*", "warn", n_rows, gap))
-    return totals.select(F.inline(F.array(*entries)))
+    """One report row per one-row rule.  ``n_violations`` is null where a rule is silenced.
+
+    A few columns at a time are aggregated without any shuffle of rows.  Each group
+    reads its own columns only, so together the groups read a columnar table once,
+    and the code generated for a group stays within what the JVM compiles.
+    """
+    prepared = with_facts(df, spec)
+    parts = []
+    for group in _column_groups(row_checks(spec) if checks is None else checks):
+        # A global aggregation in SQL text: the GROUP BY is empty.
+        counts = [f"count(CASE WHEN {c.broken} THEN 1 END) AS v{i}" for i, c in enumerate(group)]
+        totals = prepared.selectExpr("count(1) AS n_rows", *counts)
+        position = {(c.rule, c.columns): i for i, c in enumerate(group)}
+        entries = []
+        if not parts:
+            entries.append(_entry(spec, "columns_present", "*", "error", "0"))
+            if compare_rows and spec.expected_rows is not None:
+                entries.append(_entry(spec, "row_count", "*", "warn", f"abs(n_rows - {spec.expected_rows})"))
+        for i, check in enumerate(group):
+            silencer = position.get((check.silenced_by, check.columns))
+            violations = f"v{i}" if silencer is None else f"CASE WHEN v{silencer} = 0 THEN v{i} END"
+            entries.append(_entry(spec, check.rule, check.columns, check.severity, violations))
+        parts.append(_as_report(totals, *entries))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def count_key_check(df: DataFrame, spec: TableSpec) -> DataFrame:
     """One report row: all rows that share their key with another row."""
     summary = keys.duplicate_summary(df, spec.key)
-    entry = _entry(
-        spec, "primary_key", "+".join(spec.key), "error", F.col("n_rows"), F.col("duplicate_rows")
-    )
-    return summary.select(F.inline(F.array(entry)))
+    return _as_report(summary, _entry(spec, "primary_key", "+".join(spec.key), "error", "duplicate_rows"))
 
 
 def _reference_label(fk: ForeignKey) -> str:
@@ -139,19 +202,12 @@ def count_reference_check(
 ) -> DataFrame:
     """One report row: child rows without a parent.  A null child counts, as does a lost parent."""
     label = _reference_label(fk)
-    problem = None
     if parent is None:
-        problem = "parent_table_missing"
-    elif fk.parent_column not in parent.columns:
-        problem = "parent_column_missing"
-    if problem:
-        rows = df.agg(F.count(F.lit(1)).alias("n_rows"))
-        return rows.select(
-            F.inline(F.array(_entry(spec, problem, label, "error", F.col("n_rows"), F.lit(1))))
-        )
+        return _as_report(_row_count(df), _entry(spec, "parent_table_missing", label, "error", "1"))
+    if fk.parent_column not in parent.columns:
+        return _as_report(_row_count(df), _entry(spec, "parent_column_missing", label, "error", "1"))
     summary = keys.orphan_summary(df, fk.column, parent, fk.parent_column)
-    entry = _entry(spec, "foreign_key", label, "error", F.col("n_rows"), F.col("orphans"))
-    return summary.select(F.inline(F.array(entry)))
+    return _as_report(summary, _entry(spec, "foreign_key", label, "error", "orphans"))
 
 
 def count_all_checks(
@@ -163,11 +219,9 @@ def count_all_checks(
     """All checks of one table.  Missing columns stop every other check of that table."""
     lost = missing_columns(df, spec)
     if lost:
-        rows = df.agg(F.count(F.lit(1)).alias("n_rows"))
-        entry = _entry(
-            spec, "columns_present", "+".join(lost), "error", F.col("n_rows"), F.lit(len(lost))
+        return _as_report(
+            _row_count(df), _entry(spec, "columns_present", "+".join(lost), "error", str(len(lost)))
         )
-        return rows.select(F.inline(F.array(entry)))
     report = count_row_checks(df, spec, compare_rows=compare_rows)
     if spec.key:
         report = report.unionByName(count_key_check(df, spec))
@@ -180,21 +234,15 @@ def count_all_checks(
 def row_violations(df: DataFrame, spec: TableSpec, checks: list[Check]) -> DataFrame:
     """Every violation of the given one-row rules as (table, rule, columns, value)."""
     cases = [
-        F.when(
-            c.broken,
-            F.struct(
-                F.lit(spec.name).alias("table_name"),
-                F.lit(c.rule).alias("rule"),
-                F.lit(c.columns).alias("columns"),
-                F.coalesce(c.value.cast("string"), F.lit("NULL")).alias("value"),
-            ),
-        )
+        f"CASE WHEN {c.broken} THEN named_struct('rule', {tx.literal(c.rule)}, "
+        f"'columns', {tx.literal(c.columns)}, 'value', coalesce({c.value}, 'NULL')) END"
         for c in checks
     ]
     return (
-        df.where(tx.any_of([c.broken for c in checks]))
-        .select(F.explode(F.array_compact(F.array(*cases))).alias("hit"))
-        .select("hit.*")
+        with_facts(df, spec)
+        .where(" OR ".join(f"coalesce({c.broken}, false)" for c in checks))
+        .selectExpr(f"explode(array_compact(array({', '.join(cases)}))) AS hit")
+        .selectExpr(f"{tx.literal(spec.name)} AS table_name", "hit.*")
     )
 
 
@@ -203,12 +251,12 @@ def violations(
 ) -> DataFrame | None:
     """Violating values of the failing (rule, columns) pairs; ``None`` when none shows a value."""
 
-    def labelled(values: DataFrame, rule: str, columns: str) -> DataFrame:
-        return values.select(
-            F.lit(spec.name).alias("table_name"),
-            F.lit(rule).alias("rule"),
-            F.lit(columns).alias("columns"),
-            "value",
+    def labelled(values: DataFrame, rule: str, columns: str, value: str) -> DataFrame:
+        return values.selectExpr(
+            f"{tx.literal(spec.name)} AS table_name",
+            f"{tx.literal(rule)} AS rule",
+            f"{tx.literal(columns)} AS columns",
+            f"{value} AS value",
         )
 
     parts: list[DataFrame] = []
@@ -217,21 +265,16 @@ def violations(
     local = [c for c in row_checks(spec) if (c.rule, c.columns) in failing]
     if local:
         parts.append(row_violations(df, spec, local))
-    if spec.key and ("primary_key", "+".join(spec.key)) in failing:
-        repeated = keys.duplicate_keys(df, spec.key).select(tx.key_text(spec.key).alias("value"))
-        parts.append(labelled(repeated, "primary_key", "+".join(spec.key)))
+    key_label = "+".join(spec.key)
+    if spec.key and ("primary_key", key_label) in failing:
+        repeated = keys.duplicate_keys(df, spec.key)
+        parts.append(labelled(repeated, "primary_key", key_label, tx.key_text(spec.key)))
     for fk in spec.foreign_keys:
         label = _reference_label(fk)
         if ("foreign_key", label) in failing:
             lost = keys.orphan_keys(df, fk.column, tables[fk.parent], fk.parent_column)
-            lost = lost.select(F.coalesce(F.col("key").cast("string"), F.lit("NULL")).alias("value"))
-            parts.append(labelled(lost, "foreign_key", label))
-    if not parts:
-        return None
-    found, *rest = parts
-    for part in rest:
-        found = found.unionByName(part)
-    return found
+            parts.append(labelled(lost, "foreign_key", label, tx.key_text(("key",))))
+    return reduce(DataFrame.unionByName, parts) if parts else None
 
 
 def violation_examples(found: DataFrame, k: int = 3) -> DataFrame:

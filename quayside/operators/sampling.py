@@ -16,77 +16,62 @@ from pyspark.sql import functions as F
 
 from quayside.operators.keys import in_keys
 
-PREFIX_DIGITS = 4
-FINAL_BUCKET_ROWS = 10_000
+PREFIX_DIGITS = 3
+FINAL_BUCKET_ROWS = 100_000
 HASH_DIGITS = 32
+NULL_HASH = "~"  # sorts after every hexadecimal digest
 
 
 def seeded_hash(key: Column, seed) -> Column:
-    return F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")))
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")))
+    return F.coalesce(digest, F.lit(NULL_HASH))
 
 
 @dataclass(frozen=True)
 class Cut:
-    """The last (hash, key) of a sample, and how many rows bear that very key."""
+    """The hash a sample ends with, how many of its rows belong to the sample, and how many there are."""
 
     hash: str
-    key: str | None
     rows_kept: int
     rows_there: int
 
 
 def find_cut(df: DataFrame, key: str, n: int, seed) -> Cut | None:
-    """Locate the n-th smallest (hash, key); ``None`` when the table has at most n rows.
+    """Locate the n-th smallest hash; ``None`` when the table has at most n rows.
 
-    Each round counts rows per next hash digits (at most 65,536 numbers reach the
-    driver) and goes into the one bucket that holds the n-th row.  A million million
-    rows take two rounds over a single column.
+    Each round counts rows per next hash digits, so each task and the driver handle at
+    most 4,096 numbers, and goes into the one bucket that holds the n-th row.  A
+    million million rows take two rounds over a single column.
     """
-    keyed = df.select(
-        F.col(f"`{key}`").cast("string").alias("key"),
-        F.coalesce(seeded_hash(F.col(f"`{key}`"), seed), F.lit("~")).alias("hash"),
-    )
+    hashes = df.select(seeded_hash(F.col(f"`{key}`"), seed).alias("hash"))
     prefix, missing = "", n
     while True:
-        position = len(prefix) + 1
-        inside = keyed.where(F.col("hash").startswith(prefix)) if prefix else keyed
-        buckets = sorted(
-            inside.groupBy(F.substring("hash", position, PREFIX_DIGITS).alias("digits"))
-            .agg(F.count(F.lit(1)).alias("n"))
-            .collect()
-        )
-        if not prefix and sum(b.n for b in buckets) <= n:
+        inside = hashes.where(F.col("hash").startswith(prefix)) if prefix else hashes
+        digits = F.substring("hash", len(prefix) + 1, PREFIX_DIGITS)
+        buckets = sorted(inside.groupBy(digits).agg(F.count(F.lit(1))).collect())
+        if not prefix and sum(rows for _, rows in buckets) <= n:
             return None
-        for bucket in buckets:
-            if bucket.n >= missing:
+        for bucket, rows in buckets:
+            if rows >= missing:
                 break
-            missing -= bucket.n
-        prefix += bucket.digits
-        if bucket.n <= FINAL_BUCKET_ROWS or len(prefix) >= HASH_DIGITS or prefix == "~":
+            missing -= rows
+        prefix += bucket
+        if rows <= FINAL_BUCKET_ROWS or len(prefix) >= HASH_DIGITS or prefix == NULL_HASH:
             break
-    last = (
-        keyed.where(F.col("hash").startswith(prefix))
-        .groupBy("hash", "key")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .orderBy("hash", "key")
-        .limit(FINAL_BUCKET_ROWS)
-        .collect()
-    )
-    for row in last:
-        if row.n >= missing:
-            return Cut(row.hash, row.key, missing, row.n)
-        missing -= row.n
+    # Either few rows are left here or a single repeated hash; both are few groups.
+    last = hashes.where(F.col("hash").startswith(prefix)).groupBy("hash").agg(F.count(F.lit(1)))
+    for found, rows in sorted(last.collect()):
+        if rows >= missing:
+            return Cut(found, missing, rows)
+        missing -= rows
     raise AssertionError("the bucket that holds the n-th row is shorter than counted")
 
 
 def within(cut: Cut | None, key: str, seed) -> Column:
-    """True for rows up to and including the cut key."""
+    """True for rows up to and including the cut."""
     if cut is None:
         return F.lit(True)
-    text = F.col(f"`{key}`").cast("string")
-    hashed = F.coalesce(seeded_hash(text, seed), F.lit("~"))
-    at_cut = text.isNull() if cut.key is None else text <= cut.key
-    return (hashed < cut.hash) | ((hashed == cut.hash) & at_cut)
+    return seeded_hash(F.col(f"`{key}`"), seed) <= cut.hash
 
 
 def sample_rows(df: DataFrame, key: str, n: int, seed, cut: Cut | None = None) -> DataFrame:
@@ -100,9 +85,9 @@ def sample_rows(df: DataFrame, key: str, n: int, seed, cut: Cut | None = None) -
     if cut.rows_kept == cut.rows_there:
         return picked
     # The sample ends inside a repeated key: take only as many of its rows as fit.
-    is_cut_key = F.col(f"`{key}`").cast("string").eqNullSafe(F.lit(cut.key))
-    partial = df.where(is_cut_key).orderBy(*[F.col(f"`{c}`") for c in df.columns]).limit(cut.rows_kept)
-    return picked.where(~is_cut_key).union(partial)
+    hashed = seeded_hash(F.col(f"`{key}`"), seed)
+    partial = df.where(hashed == cut.hash).orderBy(*[F.col(f"`{c}`") for c in df.columns]).limit(cut.rows_kept)
+    return df.where(hashed < cut.hash).union(partial)
 
 
 def rows_of_sample(

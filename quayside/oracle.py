@@ -8,6 +8,7 @@ from __future__ import annotations
 
 # What counts as a number, a date and time, and an empty field.
 NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+SHORT_INTEGER = r"^\s*[+-]?[0-9]{1,18}\s*$"
 INTEGER = r"^\s*[+-]?[0-9]+\s*$"
 NULL_TOKENS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
@@ -227,7 +228,7 @@ def _profile(source: str, table: str, columns: str) -> str:
     """One row per column of a table of text columns."""
     parts = []
     for c in columns.split():
-        whole = f"({_number(c)} AND NOT contains({c}, '.') AND regexp_matches({c}, '{INTEGER}'))"
+        whole = f"regexp_matches({c}, '{SHORT_INTEGER}')"
         moment = f"(try_strptime({c}, '%Y-%m-%d %H:%M:%S') IS NOT NULL)"
         parts.append(
             f"SELECT '{table}' AS table_name, '{c}' AS column_name, count(*) AS n_rows, "
@@ -501,6 +502,9 @@ SELECT sha256(text) AS text_sha256, count(*) AS n FROM documents GROUP BY text H
         "latest_documents": """
 SELECT doc_id, text, lang, source, n_chars FROM (
   SELECT *, row_number() OVER (PARTITION BY text ORDER BY doc_id DESC) AS rn FROM documents) WHERE rn = 1""",
+        "latest_event_per_user": """
+SELECT event_id, ts, user_id, event_type, value, props FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id) AS rn FROM events) WHERE rn = 1""",
         "user_centroids": CENTROIDS,
         "customer_centroids": f"""
 SELECT c_custkey, c_nationkey, n_points, lat, lng
@@ -538,7 +542,7 @@ SELECT p_partkey, coalesce(p_brand, 'unknown') AS p_brand, coalesce(p_type, 'unk
 FROM ({LISTINGS_FLAGGED})""",
         "part_listing_drop": f"SELECT * FROM ({LISTINGS_FLAGGED}) WHERE is_complete",
         "mart_fact_lineitem": f"""
-SELECT strftime(o_orderdate, '%Y-%m') AS order_month, p_brand, s_nationkey, count(*) AS n_items,
+SELECT date_trunc('month', o_orderdate)::DATE AS order_month, p_brand, s_nationkey, count(*) AS n_items,
        sum(l_quantity::DECIMAL(10,2))::{MONEY} AS quantity,
        sum(l_extendedprice::DECIMAL(10,2))::{MONEY} AS revenue
 FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey LEFT JOIN part ON l_partkey = p_partkey

@@ -27,8 +27,8 @@ def area_centroids(geolocation: DataFrame) -> DataFrame:
     return business.centroids(
         geolocation,
         "geolocation_zip_code_prefix",
-        number_or_null(F.col("geolocation_lat").cast("string")),
-        number_or_null(F.col("geolocation_lng").cast("string")),
+        F.expr(number_or_null("cast(geolocation_lat AS string)")),
+        F.expr(number_or_null("cast(geolocation_lng AS string)")),
     )
 
 
@@ -38,7 +38,7 @@ def _located(df: DataFrame, zip_column: str, areas: DataFrame) -> DataFrame:
 
 def latest_reviews(reviews: DataFrame) -> DataFrame:
     """One row per review id: the one answered last."""
-    answered = timestamp_or_null(F.col("review_answer_timestamp").cast("string"))
+    answered = F.expr(timestamp_or_null("cast(review_answer_timestamp AS string)"))
     return latest_per_key(reviews, ["review_id"], [answered.desc_nulls_last()])
 
 
@@ -93,10 +93,10 @@ def fact_orders(orders: DataFrame, items: DataFrame, payments: DataFrame, review
         "order_id",
         "payment_type",
         PAYMENT_TYPES,
-        number_or_null(F.col("payment_value").cast("string"), "decimal(10,2)"),
-        number_or_null(F.col("payment_installments").cast("string"), "int"),
+        F.expr(number_or_null("cast(payment_value AS string)", "decimal(10,2)")),
+        F.expr(number_or_null("cast(payment_installments AS string)", "int")),
     ).withColumnRenamed("total", "paid")
-    answered = timestamp_or_null(F.col("review_answer_timestamp").cast("string"))
+    answered = F.expr(timestamp_or_null("cast(review_answer_timestamp AS string)"))
     score = latest_per_key(
         reviews.select("order_id", "review_score", "review_answer_timestamp"),
         ["order_id"],

@@ -11,97 +11,87 @@ from quayside.functions import text as tx
 from quayside.operators import keys
 from quayside.spec import TableSpec
 
+COLUMNS_PER_SCAN = 3
+
 
 def profile_columns(df: DataFrame, table: str, approximate: bool = False) -> DataFrame:
     """One row per column: rows, nulls, distinct values, key flag, lengths, likely type.
 
-    Exact: columns become (column, value) pairs that are counted once per distinct
-    value, combined inside each map task, so a value that fills a third of a column
-    is one record per task.  Types and lengths are judged on distinct values only.
+    Exact: each column is counted once per distinct value, combined inside each map
+    task, so a value that fills a third of a column is one record per task.  A column
+    is scanned and shuffled alone and in its own type; together the columns are read
+    once.  Types and lengths are judged on distinct values only.
     Approximate: a single pass with sketches and no shuffle of values, for tables
     whose distinct values are too many to move.
     """
     if approximate:
         return _profile_by_sketch(df, table)
-    pairs = df.select(
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("value"))
-                    for c in df.columns
-                ]
-            )
-        ).alias("p")
-    ).select("p.*")
-    counted = pairs.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
-    value = F.col("value")
-    summary = counted.groupBy("column_name").agg(
-        F.sum("n").alias("n_rows"),
-        F.coalesce(F.sum(F.when(value.isNull(), F.col("n"))), F.lit(0)).alias("n_nulls"),
-        F.count("value").alias("n_distinct"),
-        F.min(F.length(value)).alias("min_length"),
-        F.max(F.length(value)).alias("max_length"),
-        F.min(value).alias("example"),
-        *_type_evidence(value),
-    )
-    return _finish_profile(summary, table)
+    parts = []
+    for c in df.columns:
+        counted = df.groupBy(F.col(tx.name(c)).alias("raw")).agg(F.count(F.lit(1)).alias("n"))
+        judged = counted.selectExpr(
+            "n", "cast(raw AS string) AS value", f"{tx.likely_kind('cast(raw AS string)')} AS kind"
+        )
+        parts.append(
+            judged.selectExpr(
+                "sum(n) AS n_rows",
+                "coalesce(sum(CASE WHEN value IS NULL THEN n END), 0) AS n_nulls",
+                "count(value) AS n_distinct",
+                *_measures("value", "kind"),
+            ).selectExpr(f"{tx.literal(c)} AS column_name", "*")
+        )
+    return _finish_profile(reduce(DataFrame.unionByName, parts), table)
 
 
-def _type_evidence(value):
-    whole = tx.is_number(value) & ~tx.has_decimal_point(value) & value.try_cast("bigint").isNotNull()
+def _measures(value: str, kind: str) -> list[str]:
     return [
-        F.coalesce(F.bool_and(whole), F.lit(False)).alias("all_whole"),
-        F.coalesce(F.bool_and(tx.is_number(value)), F.lit(False)).alias("all_numbers"),
-        F.coalesce(F.bool_and(F.when(value.isNotNull(), tx.timestamp_or_null(value).isNotNull())), F.lit(False)).alias(
-            "all_moments"
-        ),
+        f"min(length({value})) AS min_length",
+        f"max(length({value})) AS max_length",
+        f"min({kind}) AS min_kind",
+        f"max({kind}) AS max_kind",
+        f"min({value}) AS example",
     ]
 
 
 def _finish_profile(summary: DataFrame, table: str) -> DataFrame:
-    likely = (
-        F.when(F.col("all_whole"), "int")
-        .when(F.col("all_numbers"), "decimal")
-        .when(F.col("all_moments"), "timestamp")
-        .otherwise("string")
-    )
-    return summary.select(
-        F.lit(table).alias("table_name"),
+    return summary.selectExpr(
+        f"{tx.literal(table)} AS table_name",
         "column_name",
-        F.col("n_rows").cast("bigint").alias("n_rows"),
-        F.col("n_nulls").cast("bigint").alias("n_nulls"),
-        F.round(100.0 * F.col("n_nulls").cast("double") / F.col("n_rows").cast("double"), 2).alias("null_percent"),
-        F.col("n_distinct").cast("bigint").alias("n_distinct"),
-        ((F.col("n_nulls") == 0) & (F.col("n_distinct") == F.col("n_rows"))).alias("is_key"),
+        "cast(n_rows AS bigint) AS n_rows",
+        "cast(n_nulls AS bigint) AS n_nulls",
+        "round(100.0D * cast(n_nulls AS double) / cast(n_rows AS double), 2) AS null_percent",
+        "cast(n_distinct AS bigint) AS n_distinct",
+        "(n_nulls = 0 AND n_distinct = n_rows) AS is_key",
         "min_length",
         "max_length",
-        likely.alias("likely_type"),
+        "CASE WHEN max_kind = 0 THEN 'int' WHEN max_kind = 1 THEN 'decimal' "
+        "WHEN min_kind = 2 AND max_kind = 2 THEN 'timestamp' ELSE 'string' END AS likely_type",
         "example",
     )
 
 
 def _profile_by_sketch(df: DataFrame, table: str) -> DataFrame:
-    aggregates = []
-    for c in df.columns:
-        value = F.col(f"`{c}`").cast("string")
-        measures = {
-            "n_rows": F.count(F.lit(1)),
-            "n_nulls": F.count_if(value.isNull()),
-            "n_distinct": F.approx_count_distinct(value, 0.01),
-            "min_length": F.min(F.length(value)),
-            "max_length": F.max(F.length(value)),
-            "example": F.min(value),
-        }
-        whole, numbers, moments = _type_evidence(value)
-        aggregates.append(
-            F.struct(
-                F.lit(c).alias("column_name"), *[m.alias(n) for n, m in measures.items()], whole, numbers, moments
-            ).alias(c)
+    """A few columns per aggregation, as in the checks: short code, each column read once."""
+    parts = []
+    for start in range(0, len(df.columns), COLUMNS_PER_SCAN):
+        columns = df.columns[start : start + COLUMNS_PER_SCAN]
+        texts = tx.as_text(df.select(*[F.col(tx.name(c)) for c in columns]))
+        judged = texts.selectExpr(
+            "*", *[f"{tx.likely_kind(tx.name(c))} AS {tx.name('__kind_' + c)}" for c in columns]
         )
-    one_row = df.agg(*aggregates)
-    return _finish_profile(
-        one_row.select(F.inline(F.array(*[F.col(f"`{c}`") for c in df.columns]))), table
-    )
+        aggregates = ["count(1) AS n_rows"]
+        for i, c in enumerate(columns):
+            measures = [
+                f"count_if({tx.name(c)} IS NULL) AS n_nulls",
+                f"approx_count_distinct({tx.name(c)}) AS n_distinct",
+                *_measures(tx.name(c), tx.name("__kind_" + c)),
+            ]
+            named = [m.rsplit(" AS ", 1) for m in measures]
+            fields = ", ".join(f"'{label}', {measure}" for measure, label in named)
+            aggregates.append(f"named_struct('column_name', {tx.literal(c)}, {fields}) AS c{i}")
+        structs = ", ".join(f"c{i}" for i in range(len(columns)))
+        parts.append(judged.selectExpr(*aggregates).selectExpr("n_rows", f"inline(array({structs}))"))
+    return _finish_profile(reduce(DataFrame.unionByName, parts), table)
 
 
 def null_patterns(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from quayside.functions.text import NULL_TOKENS, typed
+from quayside.functions.text import NULL_TOKENS, name, typed
 from quayside.plans import publish, validation
 from quayside.session import new_run_folder
 from quayside.sources import csv, files
@@ -14,7 +13,7 @@ from quayside.spec import TableSpec
 
 def typed_table(df: DataFrame, spec: TableSpec) -> DataFrame:
     """The declared columns, in declared order, with their real types."""
-    return df.select(*[typed(c, F.col(f"`{c.name}`")).alias(c.name) for c in spec.columns])
+    return df.selectExpr(*[f"{typed(c, name(c.name))} AS {name(c.name)}" for c in spec.columns])
 
 
 def read_text_tables(

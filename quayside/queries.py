@@ -201,7 +201,7 @@ def check_numeric_range(spark, sf):
 def check_row_rules(spark, sf):
     """A rule across two dates of a row, and minimum values."""
     rule = RowRule(
-        "shipped_after_order", ("l_shipdate", "o_orderdate"), lambda c: c("l_shipdate") >= c("o_orderdate")
+        "shipped_after_order", ("l_shipdate", "o_orderdate"), "{l_shipdate} >= {o_orderdate}"
     )
     spec = TableSpec(
         "lineitem",
@@ -293,12 +293,17 @@ def _sampled(spark, sf) -> dict[str, DataFrame]:
 
 @registered
 def sample_lineitem(spark, sf):
-    return _sampled(spark, sf)["lineitem"]
+    """Items of the sampled orders: hash filter in the scan, then the exact semi-join."""
+    orders = load(spark, sf, "orders")
+    cut = sampling.find_cut(orders, "o_orderkey", SAMPLE_SIZE, SEED)
+    picked = sampling.sample_rows(orders, "o_orderkey", SAMPLE_SIZE, SEED, cut)
+    return sampling.rows_of_sample(load(spark, sf, "lineitem"), "l_orderkey", picked, "o_orderkey", SEED, cut)
 
 
 @registered
 def sample_customer(spark, sf):
-    return _sampled(spark, sf)["customer"]
+    """Customers of the sampled orders."""
+    return keys.in_keys(load(spark, sf, "customer"), "c_custkey", sample_orders(spark, sf), "o_custkey")
 
 
 @registered
@@ -400,7 +405,13 @@ def duplicate_documents(spark, sf):
 @registered
 def latest_documents(spark, sf):
     """One document per text, the one with the highest id."""
-    return ranked.latest_per_key(load(spark, sf, "documents"), [_text_digest()], [F.col("doc_id").desc()])
+    return ranked.latest_by_id(load(spark, sf, "documents"), _text_digest(), F.col("doc_id"), "doc_id")
+
+
+@registered
+def latest_event_per_user(spark, sf):
+    """One row per key without a row id: the newest, other columns as tie-break."""
+    return ranked.latest_per_key(load(spark, sf, "events"), ["user_id"], [F.col("ts").desc()])
 
 
 # --- Business questions -----------------------------------------------------------
@@ -550,7 +561,7 @@ def mart_fact_lineitem(spark, sf):
         branded, load(spark, sf, "supplier").select("s_suppkey", "s_nationkey"), "l_suppkey", "s_suppkey"
     )
     return placed.groupBy(
-        F.date_format("o_orderdate", "yyyy-MM").alias("order_month"), "p_brand", "s_nationkey"
+        F.trunc("o_orderdate", "month").alias("order_month"), "p_brand", "s_nationkey"
     ).agg(
         F.count(F.lit(1)).alias("n_items"),
         business.money_sum(F.col("l_quantity")).alias("quantity"),

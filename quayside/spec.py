@@ -7,10 +7,9 @@ the walk of the sampler.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column as SparkColumn
 from pyspark.sql import types as T
 
 INTEGER_TYPES = ("smallint", "int", "bigint")
@@ -59,13 +58,13 @@ class ForeignKey:
 class RowRule:
     """A condition over one row.  Only a definite *false* breaks it, null passes.
 
-    ``test`` receives a function from a column name to its typed value (null
-    where the text does not convert) and returns a boolean column.
+    ``test`` is SQL with each column in braces, ``"{late} >= {early}"``; it sees typed
+    values, null where a text does not convert.
     """
 
     name: str
     columns: tuple[str, ...]
-    test: Callable[[Callable[[str], SparkColumn]], SparkColumn]
+    test: str
 
 
 @dataclass(frozen=True)
