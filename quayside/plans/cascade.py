@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quayside.operators import keys, ranked, sampling
 from quayside.session import cut_lineage
-from quayside.sources import csv
+from quayside.sources import csv, files
 from quayside.spec import TableSpec, by_name
 
 POINTS_PER_AREA = 3
@@ -111,6 +111,23 @@ def orphans_per_edge(tables: dict[str, DataFrame], specs: tuple[TableSpec, ...])
     return reduce(DataFrame.unionByName, parts)
 
 
+def sample_files(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    specs: tuple[TableSpec, ...],
+    root: str = "orders",
+    n: int = 3000,
+    seed=0.42,
+) -> DataFrame:
+    """Sample the CSV files of a folder into another.  Any missing file stops the run."""
+    lost = [r.file_name for r in files.missing_files(spark, source, [s.file_name for s in specs]).collect()]
+    if lost:
+        raise FileNotFoundError(f"not in {source}: {', '.join(sorted(lost))}")
+    tables = {s.name: csv.read_by_position(spark, f"{source}/{s.file_name}", s) for s in specs}
+    return write_sample(spark, cascade_sample(tables, specs, root, n, seed), specs, target)
+
+
 def write_sample(
     spark: SparkSession, sample: dict[str, DataFrame], specs: tuple[TableSpec, ...], directory: str
 ) -> DataFrame:

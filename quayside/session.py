@@ -49,6 +49,12 @@ def new_run_folder(spark: SparkSession, purpose: str) -> str:
 
 
 def cut_lineage(df):
-    """Reliable checkpoint: the rows survive the loss of the executors that made them."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write the rows to the shared folder and read them from there.
+
+    They survive the loss of the executors that made them, and as a columnar table they
+    carry their size, so later joins are planned knowing it.
+    """
+    spark = df.sparkSession
+    path = new_run_folder(spark, "rows")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
