@@ -6,6 +6,8 @@ calls instead of thousands of single column operations.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame
 
 from quayside.spec import Column
@@ -35,6 +37,11 @@ def literal(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def moment(value: datetime) -> str:
+    """A date and time without a zone, whatever the zone of the session or the machine."""
+    return f"timestamp_ntz'{value:%Y-%m-%d %H:%M:%S}'"
+
+
 def matches(text: str, pattern: str) -> str:
     return f"rlike({text}, r'{pattern}')"
 

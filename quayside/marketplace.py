@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from quayside.spec import Column, ForeignKey, RowRule, TableSpec
 
-# --- Fixed values: column names, widths, domains and row counts of the public
-# --- dataset.  They must match the source files for results to be right.
+# --- Fixed values: domains, row counts and file names of the public dataset, and, in
+# --- the functions below, its column names, widths and types.  They must match the
+# --- source files and the staged tables for results to be right.
 
 ORDER_STATUSES = (
     "delivered", "shipped", "canceled", "unavailable",
@@ -28,8 +29,6 @@ EXPECTED_ROWS = {
 
 TRANSLATION_FILE = "product_category_name_translation.csv"
 
-# --- End of fixed values.
-
 
 def _identifier(name: str) -> Column:
     return Column(name, required=True, width=32)

@@ -64,7 +64,7 @@ def payments_per_order(
     The methods come from a closed list, one flag each, so the state of a group has a
     fixed size however many payments it holds.  Other methods are counted apart.
     """
-    flags = [F.max(F.when(F.col(kind) == k, F.lit(k))).alias(f"__{i}") for i, k in enumerate(known_kinds)]
+    flags = [F.bool_or(F.col(kind) == k).alias(f"__{i}") for i, k in enumerate(known_kinds)]
     extra = [F.max(instalments).alias("max_instalments")] if instalments is not None else []
     grouped = payments.groupBy(order_key).agg(
         F.count(F.lit(1)).alias("n_payments"),
@@ -73,7 +73,7 @@ def payments_per_order(
         *extra,
         *flags,
     )
-    names = [F.col(f"__{i}") for i in range(len(known_kinds))]
+    names = [F.when(F.col(f"__{i}"), F.lit(k)) for i, k in enumerate(known_kinds)]
     return grouped.withColumn("methods", F.concat_ws("+", *names)).drop(
         *[f"__{i}" for i in range(len(known_kinds))]
     )

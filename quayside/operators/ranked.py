@@ -26,14 +26,17 @@ def latest_per_key(df: DataFrame, key: list[Column | str], newest_first: list[Co
     return top_per_group(df, key, newest_first + [F.col(f"`{c}`") for c in df.columns], 1)
 
 
-def latest_by_id(df: DataFrame, group: Column, newest: Column, id_column: str) -> DataFrame:
+def latest_by_id(df: DataFrame, group: Column, id_column: str, newest: Column | None = None) -> DataFrame:
     """One row per group where rows have a unique id: the newest, ties to the highest id.
 
-    The winners are found on three narrow columns, combined inside each map task; whole
-    rows move once, spread by id, so neither wide rows nor hot groups pile up.
+    Without ``newest`` the highest id wins.  The winners are found on narrow columns,
+    combined inside each map task; whole rows move once, spread by id, so neither wide
+    rows nor hot groups pile up.
     """
-    narrow = df.select(group.alias("__group"), F.struct(newest.alias("newest"), F.col(id_column).alias("id")).alias("__row"))
-    winners = narrow.groupBy("__group").agg(F.max("__row")["id"].alias("__id"))
+    last = F.max(id_column)
+    if newest is not None:
+        last = F.max(F.struct(newest.alias("newest"), F.col(id_column).alias("id")))["id"]
+    winners = df.groupBy(group.alias("__group")).agg(last.alias("__id"))
     return df.join(winners.select("__id"), F.col(id_column) == F.col("__id"), "left_semi")
 
 

@@ -557,7 +557,9 @@ FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey LEFT JOIN ({CUSTOMER
 SELECT d::DATE AS date, year(d)::INTEGER AS year, quarter(d)::INTEGER AS quarter, month(d)::INTEGER AS month,
        day(d)::INTEGER AS day, (isodow(d) - 1)::INTEGER AS weekday, isodow(d) >= 6 AS is_weekend
 FROM (SELECT unnest(generate_series(min(o_orderdate)::DATE, max(o_orderdate)::DATE, INTERVAL 1 DAY)) AS d FROM orders)""",
-        "missing_table_files": """
-SELECT 'geolocation.parquet' AS file_name FROM orders HAVING count(*) >= 0""",
+        "table_file_completeness": "\nUNION ALL\n".join(
+            f"SELECT '{t}.parquet' AS file_name, count(*) AS n_rows, 'present' AS status FROM {t}" for t in KEYS
+        )
+        + "\nUNION ALL\nSELECT 'geolocation.parquet', 0, 'missing'",
     }
     return sql

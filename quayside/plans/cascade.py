@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quayside.operators import keys, ranked, sampling
 from quayside.session import cut_lineage
 from quayside.sources import csv, files
-from quayside.spec import TableSpec, by_name
+from quayside.spec import ForeignKey, TableSpec, by_name
 
 POINTS_PER_AREA = 3
 
@@ -26,69 +26,96 @@ def cascade_sample(
     n: int = 3000,
     seed=0.42,
     points_per_area: int = POINTS_PER_AREA,
+    only: tuple[str, ...] | None = None,
 ) -> dict[str, DataFrame]:
     """Draw ``n`` rows of ``root`` and derive every other table from them.
 
     Children of a sampled table keep the rows that refer to it; parents keep the rows
     that a sampled table refers to; lookup tables stay whole; a table reached only by
-    weak references keeps a few points per key.  The drawn rows, and children that lead
-    on to further tables, are written to the shared folder once: others derive from them.
+    weak references keeps a few points per key.  Tables that others are derived from
+    are written to the shared folder once.  ``only`` names the tables wanted.
     """
     known = by_name(specs)
     key = known[root].key[0]
     cut = sampling.find_cut(tables[root], key, n, seed) if n > 0 else None
-    sample = {root: cut_lineage(sampling.sample_rows(tables[root], key, n, seed, cut))}
 
-    below = [root]
-    for name in below:
+    via = _reached_downward(specs, root)
+    above = _reached_upward(known, list(via))
+    members = [*via, *above]
+    weak = [
+        s.name
+        for s in specs
+        if s.name not in members
+        and not s.lookup
+        and any(fk.weak and fk.parent == s.name for m in members for fk in known[m].foreign_keys)
+    ]
+    derived = {*above, *weak}
+    done: dict[str, DataFrame] = {}
+
+    def users(name: str, weakly: bool) -> list[tuple[DataFrame, str, str]]:
+        return [
+            (sampled(m), fk.column, fk.parent_column)
+            for m in members
+            if m != name
+            for fk in known[m].foreign_keys
+            if fk.parent == name and fk.weak == weakly
+        ]
+
+    def referred_to(name: str, weakly: bool) -> tuple[DataFrame, str]:
+        sides = users(name, weakly)
+        wanted = keys.union_of_keys(*[(df, column) for df, column, _ in sides])
+        area = sides[0][2]
+        return keys.in_keys(tables[name], area, wanted, "key"), area
+
+    def derive(name: str) -> DataFrame:
+        if name == root:
+            return sampling.sample_rows(tables[root], key, n, seed, cut)
+        if name in via:
+            fk = via[name]
+            if fk.parent == root and n > 0:
+                return sampling.rows_of_sample(tables[name], fk.column, sampled(root), key, seed, cut)
+            return keys.in_keys(tables[name], fk.column, sampled(fk.parent), fk.parent_column)
+        if name in above:
+            return referred_to(name, weakly=False)[0]
+        near, area = referred_to(name, weakly=True)
+        first = next(c for c in known[name].column_names if c != area)
+        return ranked.points_per_area(near, area, first, points_per_area)
+
+    def sampled(name: str) -> DataFrame:
+        if name not in done:
+            df = derive(name)
+            leads_on = name == root or any(fk.parent in derived for fk in known[name].foreign_keys)
+            done[name] = cut_lineage(df) if leads_on else df
+        return done[name]
+
+    lookups = [s.name for s in specs if s.lookup]
+    chosen = [t for t in (*members, *weak, *lookups) if only is None or t in only]
+    return {t: tables[t] if known[t].lookup else sampled(t) for t in chosen}
+
+
+def _reached_downward(specs: tuple[TableSpec, ...], root: str) -> dict[str, ForeignKey | None]:
+    """Tables that refer to the root, directly or not, with the reference that leads there."""
+    via: dict[str, ForeignKey | None] = {root: None}
+    queue = [root]
+    for parent in queue:
         for spec in specs:
-            for fk in spec.foreign_keys:
-                if fk.weak or fk.parent != name or spec.name in sample or spec.lookup:
-                    continue
-                child = tables[spec.name]
-                if name == root and n > 0:
-                    kept = sampling.rows_of_sample(child, fk.column, sample[root], key, seed, cut)
-                else:
-                    kept = keys.in_keys(child, fk.column, sample[name], fk.parent_column)
-                leads_on = any(e.parent not in sample and not e.weak for e in spec.foreign_keys)
-                sample[spec.name] = cut_lineage(kept) if leads_on else kept
-                below.append(spec.name)
-
-    frontier = list(sample)
-    for name in frontier:
+            edge = next((fk for fk in spec.foreign_keys if fk.parent == parent and not fk.weak), None)
+            if edge and spec.name not in via and not spec.lookup:
+                via[spec.name] = edge
+                queue.append(spec.name)
+    return via
+
+
+def _reached_upward(known: dict[str, TableSpec], members: list[str]) -> list[str]:
+    """Tables that the members refer to, directly or not, and that are not members."""
+    found: list[str] = []
+    queue = list(members)
+    for name in queue:
         for fk in known[name].foreign_keys:
-            if fk.weak or fk.parent in below or known[fk.parent].lookup:
-                continue
-            users = [
-                (sample[child], edge.column)
-                for child in list(sample)
-                for edge in known[child].foreign_keys
-                if edge.parent == fk.parent and not edge.weak
-            ]
-            wanted = keys.union_of_keys(*users)
-            sample[fk.parent] = keys.in_keys(tables[fk.parent], fk.parent_column, wanted, "key")
-            if fk.parent not in frontier:
-                frontier.append(fk.parent)
-
-    for spec in specs:
-        if spec.lookup:
-            sample[spec.name] = tables[spec.name]
-        elif spec.name not in sample:
-            edges = [
-                (sample[s.name], fk)
-                for s in specs
-                if s.name in sample
-                for fk in s.foreign_keys
-                if fk.parent == spec.name
-            ]
-            if not edges:
-                continue
-            area = edges[0][1].parent_column
-            wanted = keys.union_of_keys(*[(df, fk.column) for df, fk in edges])
-            near = keys.in_keys(tables[spec.name], area, wanted, "key")
-            first = next(c for c in spec.column_names if c != area)
-            sample[spec.name] = ranked.points_per_area(near, area, first, points_per_area)
-    return sample
+            if not fk.weak and fk.parent not in queue and not known[fk.parent].lookup:
+                found.append(fk.parent)
+                queue.append(fk.parent)
+    return found
 
 
 def orphans_per_edge(tables: dict[str, DataFrame], specs: tuple[TableSpec, ...]) -> DataFrame:

@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quayside.functions.text import moment
 from quayside.plans import publish
 from quayside.sources import csv, files
 from quayside.spec import TableSpec, by_name
@@ -26,7 +27,7 @@ def with_lineage(df: DataFrame, run_ts: datetime) -> DataFrame:
     return df.select(
         "*",
         F.col("_metadata.file_name").alias("_source_file"),
-        F.lit(run_ts).cast("timestamp_ntz").alias("_ingested_at"),
+        F.expr(moment(run_ts)).alias("_ingested_at"),
     )
 
 

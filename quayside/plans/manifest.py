@@ -52,7 +52,7 @@ def write_manifest(
     One line per file rather than one object for all, so the manifest of a million
     files is still written and read in parallel.
     """
-    stamp = F.date_format(F.lit(generated_at).cast("timestamp_ntz"), "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
+    stamp = F.lit(f"{generated_at:%Y-%m-%dT%H:%M:%S}+00:00")
     constants = [F.lit(v).alias(k) for k, v in header.items()]
     (
         manifest.select(

@@ -13,7 +13,7 @@ from quayside.functions import text as tx
 from quayside.operators import business, checks, keys, ranked, sampling
 from quayside.plans import cascade, landing, manifest, profile, publish, staging, validation
 from quayside.session import new_run_folder
-from quayside.sources import csv, files
+from quayside.sources import csv
 from quayside.spec import Column, RowRule, TableSpec, by_name
 from quayside.star import load, spoiled, star_specs, text_table, text_tables
 
@@ -286,9 +286,9 @@ def sample_orders(spark, sf):
     return sampling.sample_rows(load(spark, sf, "orders"), "o_orderkey", SAMPLE_SIZE, SEED)
 
 
-def _sampled(spark, sf) -> dict[str, DataFrame]:
+def _sampled(spark, sf, *only: str) -> dict[str, DataFrame]:
     tables = {spec.name: load(spark, sf, spec.name) for spec in star_specs()}
-    return cascade.cascade_sample(tables, star_specs(), "orders", SAMPLE_SIZE, SEED)
+    return cascade.cascade_sample(tables, star_specs(), "orders", SAMPLE_SIZE, SEED, only=only or None)
 
 
 @registered
@@ -303,23 +303,23 @@ def sample_lineitem(spark, sf):
 @registered
 def sample_customer(spark, sf):
     """Customers of the sampled orders."""
-    return keys.in_keys(load(spark, sf, "customer"), "c_custkey", sample_orders(spark, sf), "o_custkey")
+    return _sampled(spark, sf, "customer")["customer"]
 
 
 @registered
 def sample_part(spark, sf):
-    return _sampled(spark, sf)["part"]
+    return _sampled(spark, sf, "part")["part"]
 
 
 @registered
 def sample_supplier(spark, sf):
-    return _sampled(spark, sf)["supplier"]
+    return _sampled(spark, sf, "supplier")["supplier"]
 
 
 @registered
 def sample_nation(spark, sf):
     """Nations of sampled customers or sampled suppliers."""
-    return _sampled(spark, sf)["nation"]
+    return _sampled(spark, sf, "nation")["nation"]
 
 
 @registered
@@ -405,7 +405,7 @@ def duplicate_documents(spark, sf):
 @registered
 def latest_documents(spark, sf):
     """One document per text, the one with the highest id."""
-    return ranked.latest_by_id(load(spark, sf, "documents"), _text_digest(), F.col("doc_id"), "doc_id")
+    return ranked.latest_by_id(load(spark, sf, "documents"), _text_digest(), "doc_id")
 
 
 @registered
@@ -629,6 +629,18 @@ def csv_records_per_file(spark, sf):
 
 
 @registered
-def missing_table_files(spark, sf):
-    """Expected files that the folder does not hold."""
-    return files.missing_files(spark, sf, [f"{t}.parquet" for t in STAR_FILES] + ["geolocation.parquet"])
+def table_file_completeness(spark, sf):
+    """Expected files against the files the rows of the tables come from, with their rows."""
+    seen = reduce(
+        DataFrame.unionByName,
+        [load(spark, sf, t).select(F.col("_metadata.file_name").alias("file_name")) for t in STAR_FILES],
+    )
+    counted = keys.rows_per_key(seen, ["file_name"])
+    expected = spark.createDataFrame(
+        [(f"{t}.parquet",) for t in (*STAR_FILES, "geolocation")], "file_name string"
+    )
+    return expected.join(counted, "file_name", "left").select(
+        "file_name",
+        F.coalesce("n", F.lit(0)).alias("n_rows"),
+        F.when(F.col("n").isNull(), "missing").otherwise("present").alias("status"),
+    )

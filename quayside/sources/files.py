@@ -67,21 +67,22 @@ def hash_files(
         F.col("length").alias("bytes"),
         F.sha2("content", 256).alias("sha256"),
     )
+    nothing = hashlib.sha256(b"").hexdigest()
+    empty = _empty_files(spark, directory, pattern).select(
+        "file_name", F.lit(0).cast("bigint").alias("bytes"), F.lit(nothing).alias("sha256")
+    )
+    hashed = small.unionByName(empty)
+    large = list_files(spark, directory, pattern).where(F.col("bytes") > max(whole_file_bytes, 0))
+    if large.isEmpty():
+        return hashed
     # An explicit partition count keeps adaptive execution from packing the few
     # bytes of all paths, and with them all the hashing, into one task.
-    tasks = 4 * spark.sparkContext.defaultParallelism
-    large = (
-        list_files(spark, directory, pattern)
-        .where((F.col("bytes") > whole_file_bytes) & (F.col("bytes") > 0))
-        .repartition(tasks, "path")
+    streamed = (
+        large.repartition(4 * spark.sparkContext.defaultParallelism, "path")
         .mapInPandas(_stream_hashes, "file_name string, path string, bytes bigint, sha256 string")
         .select("file_name", "bytes", "sha256")
     )
-    nothing = hashlib.sha256(b"").hexdigest()
-    empty = _empty_files(spark, directory, pattern).select(
-        "file_name", F.lit(0).cast("bigint").alias("bytes"), F.lit(nothing).alias("sha256")
-    )
-    return small.unionByName(large).unionByName(empty)
+    return hashed.unionByName(streamed)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

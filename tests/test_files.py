@@ -167,3 +167,21 @@ def test_manifest_kept_as_one_object(spark, tmp_path):
 def test_missing_files(spark, tmp_path):
     put(tmp_path, "a.csv", "x\n")
     assert [r.file_name for r in files.missing_files(spark, str(tmp_path), ["a.csv", "b.csv"]).collect()] == ["b.csv"]
+
+
+def test_load_time_does_not_depend_on_the_time_zone(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    put(tmp_path / "in", "t.csv", "a,b\n1,x\n")
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        landing.land_raw(spark, (spec(),), str(tmp_path / "in"), str(tmp_path / "raw"), "r1", RUN_TS)
+        landed = publish.read_published(spark, str(tmp_path / "raw"), "t")
+        assert landed.selectExpr("cast(_ingested_at as string) s").first().s == "2024-05-06 07:08:09"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_bytes_that_are_no_utf8_are_replaced(spark, tmp_path):
+    path = put(tmp_path, "t.csv", b"a,b\n\xff\xfe,x\n2,y\n")
+    assert csv.records_per_file(spark, path, spec()).first().rows == 2
+    assert csv.read_by_position(spark, path, spec()).where("b = 'x'").first().a == "��"
