@@ -2,6 +2,7 @@
 
     land      CSV files -> all-text tables with lineage
     stage     CSV files -> checked, typed tables (--check-only writes no tables)
+    mart      facts and dimensions from landed and staged tables
     sample    cut a referentially complete sample of the CSV files
     manifest  write bytes, rows and SHA-256 of the CSV files
     verify    compare the CSV files with a manifest
@@ -20,7 +21,7 @@ from datetime import datetime, timezone
 from pyspark.sql import SparkSession
 
 from quayside.marketplace import marketplace_specs
-from quayside.plans import cascade, landing, manifest, publish, staging, validation
+from quayside.plans import cascade, landing, manifest, mart, publish, staging, validation
 from quayside.session import build_session
 
 
@@ -41,6 +42,7 @@ def _parser() -> argparse.ArgumentParser:
         added.add_argument("--sample", action="store_true", help="do not compare rows with the full data set")
         if name == "stage":
             added.add_argument("--check-only", action="store_true")
+    command("mart", "staging_root", "raw_root", "root").add_argument("--run-id", default=None)
     added = command("sample", "source", "target")
     added.add_argument("--orders", type=int, default=3000)
     added.add_argument("--seed", type=float, default=0.42)
@@ -66,6 +68,9 @@ def run(spark: SparkSession, argv: list[str]) -> int:
             report = staging.stage(spark, tables, staged, args.root, run_id, args.check_only, not args.sample)
             validation.problem_totals(report).show(50, False)
             report.where("severity = 'warn' and n_violations > 0").show(50, False)
+        elif args.command == "mart":
+            mart.publish_mart(spark, args.staging_root, args.raw_root, args.root, run_id)
+            publish.published_tables(spark, args.root).show(50, False)
         elif args.command == "sample":
             cascade.sample_files(spark, args.source, args.target, specs, "orders", args.orders, args.seed).show(50, False)
         elif args.command == "manifest":

@@ -85,7 +85,10 @@ def typed(column: Column, text: str) -> str:
     if column.type == "string":
         return text
     if column.is_timestamp:
-        return f"cast(regexp_replace(trim({text}), r'\\s+', ' ') AS timestamp_ntz)"
+        return (
+            f"CASE WHEN {matches(text, TIMESTAMP_PATTERN)} THEN cast({text} AS timestamp_ntz) "
+            f"ELSE cast(regexp_replace({text}, r'\\s+', ' ') AS timestamp_ntz) END"
+        )
     return f"cast(trim({text}) AS {column.type})"
 
 

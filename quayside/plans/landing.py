@@ -73,7 +73,7 @@ def land_raw(
         if s.file_name not in lost
     }
     corrupt = F.count_if(F.col(csv.CORRUPT).isNotNull())
-    written = publish.write_version(spark, tables, root, run_id, corrupt=corrupt)
+    written = publish.write_version(spark, tables, root, run_id, (csv.CORRUPT,), corrupt=corrupt)
     known = by_name(specs)
     broken = [name for name, w in written.items() if w.measures["corrupt"]]
     if broken:

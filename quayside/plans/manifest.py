@@ -15,31 +15,40 @@ ENTRY = "struct<bytes:bigint,rows:bigint,sha256:string>"
 
 
 def csv_manifest(spark: SparkSession, directory: str, specs: tuple[TableSpec, ...]) -> DataFrame:
-    """file_name, bytes, rows and sha256 of each table's file."""
-    counts = reduce(
-        DataFrame.unionByName,
-        [csv.records_per_file(spark, f"{directory}/{s.file_name}", s) for s in specs],
-    )
-    wanted = [s.file_name for s in specs]
-    hashed = files.hash_files(spark, directory).where(F.col("file_name").isin(*wanted))
-    return _with_rows(hashed, counts)
+    """file_name, bytes, rows and sha256 of each table's file, or of each part of its folder."""
+    lost = [r.file_name for r in files.missing_files(spark, directory, [s.file_name for s in specs]).collect()]
+    if lost:
+        raise FileNotFoundError(f"not in {directory}: {', '.join(sorted(lost))}")
+    counts = {
+        s.file_name: csv.records_per_file(spark, f"{directory}/{s.file_name}", s) for s in specs
+    }
+    return _manifest(spark, directory, counts)
 
 
-def parquet_manifest(spark: SparkSession, paths: list[str], directory: str, pattern: str) -> DataFrame:
+def parquet_manifest(spark: SparkSession, directory: str, file_names: list[str]) -> DataFrame:
     """The same for Parquet files; their rows come from the file footers."""
-    counts = (
-        reduce(
-            DataFrame.unionByName,
-            [spark.read.parquet(p).select(F.col("_metadata.file_name").alias("file_name")) for p in paths],
-        )
-        .groupBy("file_name")
-        .agg(F.count(F.lit(1)).alias("rows"))
+    counts = {}
+    for name in file_names:
+        rows = spark.read.parquet(f"{directory}/{name}").select(F.col("_metadata.file_name").alias("file_name"))
+        counts[name] = rows.groupBy("file_name").agg(F.count(F.lit(1)).alias("rows"))
+    return _manifest(spark, directory, counts)
+
+
+def _manifest(spark: SparkSession, directory: str, counts: dict[str, DataFrame]) -> DataFrame:
+    """Hashes of all files beside their row counts; parts of a folder are named folder/part."""
+    part = F.col("file_name")
+    label = part
+    for name in counts:
+        label = F.when(F.col("path").contains(f"/{name}/"), F.concat(F.lit(f"{name}/"), part)).otherwise(label)
+    hashed = files.hash_files(spark, [f"{directory}/{name}" for name in counts]).withColumn("file_name", label)
+    counted = reduce(
+        DataFrame.unionByName,
+        [
+            rows.withColumn("file_name", F.when(part == name, part).otherwise(F.concat(F.lit(f"{name}/"), part)))
+            for name, rows in counts.items()
+        ],
     )
-    return _with_rows(files.hash_files(spark, directory, pattern), counts)
-
-
-def _with_rows(hashed: DataFrame, counts: DataFrame) -> DataFrame:
-    return hashed.join(counts, "file_name", "left").select(
+    return hashed.join(counted, "file_name", "left").select(
         "file_name", "bytes", F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows"), "sha256"
     )
 
@@ -106,6 +115,9 @@ def check_manifest(
     if not files.path_exists(spark, manifest_path):
         return None
     read = read_object_manifest if object_form else read_manifest
-    there = {r.file_name for r in files.list_files(spark, directory).collect()}
-    present = tuple(s for s in specs if s.file_name in there)
-    return compare_manifests(read(spark, manifest_path), csv_manifest(spark, directory, present))
+    lost = {r.file_name for r in files.missing_files(spark, directory, [s.file_name for s in specs]).collect()}
+    present = tuple(s for s in specs if s.file_name not in lost)
+    expected = read(spark, manifest_path)
+    if not present:
+        return compare_manifests(expected, expected.limit(0))
+    return compare_manifests(expected, csv_manifest(spark, directory, present))

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.functions.text import number_or_null, timestamp_or_null
 from quayside.marketplace import PAYMENT_TYPES
 from quayside.operators import business
 from quayside.operators.ranked import latest_per_key
+from quayside.plans import publish
 
 # The source misspells "length"; the mart puts it right.
 RENAMED = {
@@ -148,3 +149,12 @@ def build_mart(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
         "dim_seller": dim_seller(tables["sellers"], areas),
         "dim_date": dim_date(tables["orders"]),
     }
+
+
+def publish_mart(spark: SparkSession, staging_root: str, raw_root: str, root: str, run_id: str) -> dict[str, int]:
+    """Build the mart from published tables, typed where staged and else as landed, and publish it."""
+    staged = {r.table_name for r in publish.published_tables(spark, staging_root).collect()}
+    landed = {r.table_name for r in publish.published_tables(spark, raw_root).collect()} - staged
+    tables = {t: publish.read_published(spark, staging_root, t) for t in staged}
+    tables |= {t: publish.read_published(spark, raw_root, t) for t in landed}
+    return publish.publish(spark, build_mart(tables), root, run_id)

@@ -34,17 +34,18 @@ class Written:
     measures: dict[str, int]
 
 
-def write_counted(df: DataFrame, path: str, **measures: Column) -> Written:
+def write_counted(df: DataFrame, path: str, drop: tuple[str, ...] = (), **measures: Column) -> Written:
     """Write Parquet and count in the same pass; extra measures ride along.
 
+    Columns in ``drop`` serve the measures and are not written.
+
     The counters sit directly in front of the writer, in the last stage of the job,
     where Spark counts each task's success once.
     """
     seen = Observation()
     counters = [F.count(F.lit(1)).alias("rows")] + [c.alias(n) for n, c in measures.items()]
     observed = df.observe(seen, *counters)
-    dropped = [c for c in df.columns if c.startswith("_corrupt")]
-    observed.drop(*dropped).write.mode("overwrite").parquet(path)
+    observed.drop(*drop).write.mode("overwrite").parquet(path)
     found = {k: int(v or 0) for k, v in seen.get.items()}
     return Written(path, found.pop("rows"), found)
 
@@ -57,14 +58,19 @@ def read_pointer(spark: SparkSession, root: str) -> dict:
 
 
 def write_version(
-    spark: SparkSession, tables: dict[str, DataFrame], root: str, run_id: str, **measures: Column
+    spark: SparkSession,
+    tables: dict[str, DataFrame],
+    root: str,
+    run_id: str,
+    drop: tuple[str, ...] = (),
+    **measures: Column,
 ) -> dict[str, Written]:
     if read_pointer(spark, root)["run_id"] == run_id:
         raise PublishFailed(f"run {run_id} is the published one; give the new run its own id")
 
     def write(item: tuple[str, DataFrame]) -> tuple[str, Written]:
         name, df = item
-        return name, write_counted(df, f"{root}/version={run_id}/{name}", **measures)
+        return name, write_counted(df, f"{root}/version={run_id}/{name}", drop, **measures)
 
     with ThreadPoolExecutor(PARALLEL_WRITES) as pool:
         return dict(pool.map(write, tables.items()))

@@ -593,9 +593,7 @@ STAR_FILES = ("customer", "lineitem", "nation", "orders", "part", "region", "sup
 
 
 def _manifest(spark, sf) -> DataFrame:
-    return manifest.parquet_manifest(spark, [f"{sf}/{t}.parquet" for t in STAR_FILES], sf, "*.parquet").where(
-        F.col("file_name").isin(*[f"{t}.parquet" for t in STAR_FILES])
-    )
+    return manifest.parquet_manifest(spark, sf, [f"{t}.parquet" for t in STAR_FILES])
 
 
 @registered

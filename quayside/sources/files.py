@@ -1,4 +1,4 @@
-"""Files as rows: listing, completeness, SHA-256, and small files written at once."""
+"""Files as rows: listing, completeness, SHA-256, and small files replaced in one step."""
 
 from __future__ import annotations
 
@@ -16,30 +16,31 @@ WHOLE_FILE_BYTES = 64 * 1024 * 1024
 BLOCK_BYTES = 4 * 1024 * 1024
 
 
-def _empty_files(spark: SparkSession, directory: str, pattern: str) -> DataFrame:
-    """Names of files without content, which Spark's file scans leave out."""
-    pathname = spark._jvm.org.apache.hadoop.fs.Path(directory, pattern)
-    found = pathname.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pathname) or []
-    names = [(e.getPath().getName(), str(e.getPath())) for e in found if e.isFile() and e.getLen() == 0]
-    return spark.createDataFrame(
-        [n for n in names if not n[0].startswith(("_", "."))], "file_name string, path string"
-    )
+def _status(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    filesystem = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return filesystem.getFileStatus(target) if filesystem.exists(target) else None
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    return _status(spark, path) is not None
+
+
+def _is_empty_file(spark: SparkSession, path: str) -> bool:
+    status = _status(spark, path)
+    return status is not None and status.isFile() and status.getLen() == 0
+
 
+def list_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """path, file_name and bytes of the given files, or of the files in the given folders.
 
-def list_files(spark: SparkSession, directory: str, pattern: str = "*") -> DataFrame:
-    """file_name, path and bytes of every matching file; contents are not read."""
-    filled = (
+    Contents are not read.  Spark's scans leave out files without content.
+    """
+    return (
         spark.read.format("binaryFile")
-        .option("pathGlobFilter", pattern)
-        .load(directory)
-        .select(
-            F.substring_index("path", "/", -1).alias("file_name"),
-            "path",
-            F.col("length").alias("bytes"),
-        )
+        .load(paths)
+        .select("path", F.substring_index("path", "/", -1).alias("file_name"), F.col("length").alias("bytes"))
     )
-    empty = _empty_files(spark, directory, pattern).withColumn("bytes", F.lit(0).cast("bigint"))
-    return filled.unionByName(empty)
 
 
 def _stream_hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -57,39 +58,36 @@ def _stream_hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield batch.assign(sha256=digests)
 
 
-def hash_files(
-    spark: SparkSession, directory: str, pattern: str = "*", whole_file_bytes: int = WHOLE_FILE_BYTES
-) -> DataFrame:
-    """file_name, bytes and sha256 of every file, whatever its size."""
-    content = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(directory)
+def hash_files(spark: SparkSession, paths: list[str], whole_file_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
+    """path, file_name, bytes and sha256 of files, or of the files in folders, of any size."""
+    nothing = hashlib.sha256(b"").hexdigest()
+    empty = [p for p in paths if _is_empty_file(spark, p)]
+    hashed = spark.createDataFrame(
+        [(p, p.rsplit("/", 1)[-1], 0, nothing) for p in empty],
+        "path string, file_name string, bytes bigint, sha256 string",
+    )
+    filled = [p for p in paths if p not in empty]
+    if not filled:
+        return hashed
+    content = spark.read.format("binaryFile").load(filled)
     small = content.where(F.col("length") <= whole_file_bytes).select(
+        "path",
         F.substring_index("path", "/", -1).alias("file_name"),
         F.col("length").alias("bytes"),
         F.sha2("content", 256).alias("sha256"),
     )
-    nothing = hashlib.sha256(b"").hexdigest()
-    empty = _empty_files(spark, directory, pattern).select(
-        "file_name", F.lit(0).cast("bigint").alias("bytes"), F.lit(nothing).alias("sha256")
-    )
-    hashed = small.unionByName(empty)
-    large = list_files(spark, directory, pattern).where(F.col("bytes") > max(whole_file_bytes, 0))
+    hashed = hashed.unionByName(small)
+    large = list_files(spark, filled).where(F.col("bytes") > whole_file_bytes)
     if large.isEmpty():
         return hashed
     # An explicit partition count keeps adaptive execution from packing the few
     # bytes of all paths, and with them all the hashing, into one task.
-    streamed = (
-        large.repartition(4 * spark.sparkContext.defaultParallelism, "path")
-        .mapInPandas(_stream_hashes, "file_name string, path string, bytes bigint, sha256 string")
-        .select("file_name", "bytes", "sha256")
+    streamed = large.repartition(4 * spark.sparkContext.defaultParallelism, "path").mapInPandas(
+        _stream_hashes, "path string, file_name string, bytes bigint, sha256 string"
     )
     return hashed.unionByName(streamed)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
-
-
 def missing_files(spark: SparkSession, directory: str, expected: list[str]) -> DataFrame:
     """Expected names that the directory does not hold (as a file or a folder of parts)."""
     target = spark._jvm.org.apache.hadoop.fs.Path(directory)

@@ -18,6 +18,10 @@ def test_land_stage_sample_manifest_verify(spark, tmp_path, capsys):
     assert run(spark, ["stage", source, staged]) == 0
     assert publish.published_tables(spark, staged).count() == 5
     assert run(spark, ["tables", staged]) == 0
+    gold = str(tmp_path / "gold")
+    assert run(spark, ["mart", staged, raw, gold, "--run-id", "m1"]) == 0
+    assert publish.read_published(spark, gold, "fact_orders").count() == 60
+    assert publish.published_tables(spark, gold).count() == 6
     assert run(spark, ["sample", source, small, "--orders", "20"]) == 0
     orders = next(s for s in marketplace_specs() if s.name == "orders")
     assert csv.read_by_position(spark, f"{small}/orders.csv", orders).count() == 20

@@ -122,7 +122,8 @@ def test_hashes_in_the_jvm_and_by_blocks_agree(spark, tmp_path):
         put(tmp_path, name, data)
     expected = {n: (len(d), hashlib.sha256(d).hexdigest()) for n, d in content.items()}
     for limit in (0, 100, 10**9):
-        found = files.hash_files(spark, str(tmp_path), whole_file_bytes=limit).collect()
+        paths = [str(tmp_path / n) for n in content]
+        found = files.hash_files(spark, paths, whole_file_bytes=limit).collect()
         assert {r.file_name: (r.bytes, r.sha256) for r in found} == expected
 
 
@@ -150,6 +151,18 @@ def test_manifest_tells_changed_missing_and_unlisted_files(spark, tmp_path):
     assert (line.generated_at, line.sample_orders, line.rows) == ("2024-05-06T07:08:09+00:00", 3000, 1)
 
 
+def test_manifest_of_a_table_in_parts(spark, tmp_path):
+    whole, parts = spec("whole"), spec("parts")
+    put(tmp_path, "whole.csv", "a,b\n1,x\n")
+    (tmp_path / "parts.csv").mkdir()
+    put(tmp_path / "parts.csv", "p1", "a,b\n1,x\n2,y\n")
+    put(tmp_path / "parts.csv", "p2", "a,b\n3,z\n")
+    rows = manifest.csv_manifest(spark, str(tmp_path), (whole, parts)).collect()
+    assert {r.file_name: r.rows for r in rows} == {"whole.csv": 1, "parts.csv/p1": 2, "parts.csv/p2": 1}
+    with pytest.raises(FileNotFoundError, match="none.csv"):
+        manifest.csv_manifest(spark, str(tmp_path), (whole, spec("none")))
+
+
 def test_no_manifest_is_no_failure(spark, tmp_path):
     assert manifest.check_manifest(spark, str(tmp_path / "none.json"), str(tmp_path), ()) is None
 
