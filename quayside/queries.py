@@ -629,9 +629,11 @@ def csv_records_per_file(spark, sf):
 @registered
 def table_file_completeness(spark, sf):
     """Expected files against the files the rows of the tables come from, with their rows."""
+    # A table may be one file or a folder of parts; either way the name is the one that ends in .parquet first.
+    table_file = F.regexp_extract("_metadata.file_path", r"/([^/]+\.parquet)(/|$)", 1)
     seen = reduce(
         DataFrame.unionByName,
-        [load(spark, sf, t).select(F.col("_metadata.file_name").alias("file_name")) for t in STAR_FILES],
+        [load(spark, sf, t).select(table_file.alias("file_name")) for t in STAR_FILES],
     )
     counted = keys.rows_per_key(seen, ["file_name"])
     expected = spark.createDataFrame(
