@@ -34,6 +34,7 @@ def _parser() -> argparse.ArgumentParser:
         for argument in arguments:
             added.add_argument(argument)
         added.add_argument("--prefix", help="first word of the published file names")
+        added.add_argument("--file", action="append", default=[], metavar="TABLE=NAME", help="file of one table")
         return added
 
     for name in ("land", "stage"):
@@ -56,7 +57,7 @@ def _parser() -> argparse.ArgumentParser:
 
 def run(spark: SparkSession, argv: list[str]) -> int:
     args = _parser().parse_args(argv)
-    specs = marketplace_specs(args.prefix)
+    specs = marketplace_specs(args.prefix, dict(pair.split("=", 1) for pair in args.file))
     staged = tuple(s for s in specs if s.staged)
     now = datetime.now(timezone.utc).replace(tzinfo=None, microsecond=0)
     run_id = getattr(args, "run_id", None) or f"{now:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:6]}"

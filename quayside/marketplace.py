@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from quayside.spec import Column, ForeignKey, RowRule, TableSpec
 
-# --- Fixed values: domains, row counts and file names of the public dataset, and, in
+# --- Fixed values: domains and row counts of the public dataset, and, in
 # --- the functions below, its column names, widths and types.  They must match the
 # --- source files and the staged tables for results to be right.
 
@@ -27,8 +27,6 @@ EXPECTED_ROWS = {
     "geolocation": 1_000_163,
 }
 
-TRANSLATION_FILE = "product_category_name_translation.csv"
-
 
 def _identifier(name: str) -> Column:
     return Column(name, required=True, width=32)
@@ -50,19 +48,19 @@ def _place(owner: str) -> tuple[Column, ...]:
     )
 
 
-def marketplace_specs(prefix: str | None = None) -> tuple[TableSpec, ...]:
+def marketplace_specs(
+    prefix: str | None = None, file_names: dict[str, str] | None = None
+) -> tuple[TableSpec, ...]:
     """Specifications of all nine tables.
 
     ``prefix`` is the first word of the published file names
     (``<prefix>_customers_dataset.csv``); without it files are ``<table>.csv``.
+    ``file_names`` names the files of tables that follow neither form.
     """
 
     def file_of(table: str) -> str:
-        if prefix is None:
-            return f"{table}.csv"
-        if table == "product_category_translation":
-            return TRANSLATION_FILE
-        return f"{prefix}_{table}_dataset.csv"
+        usual = f"{table}.csv" if prefix is None else f"{prefix}_{table}_dataset.csv"
+        return (file_names or {}).get(table, usual)
 
     def table(name: str, columns, **options) -> TableSpec:
         return TableSpec(

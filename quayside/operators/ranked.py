@@ -11,10 +11,25 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# Spark places the partial limit only up to this k (its default threshold); beyond it
+# groups are first cut in this many salted pieces.
+PARTIAL_LIMIT = 1000
+PIECES = 64
+
+
 def top_per_group(
     df: DataFrame, group: list[Column | str], order: list[Column], k: int, rank_as: str | None = None
 ) -> DataFrame:
     """The first ``k`` rows of each group; give a total order for a repeatable result."""
+    if k > PARTIAL_LIMIT:
+        salted = df.withColumn("__piece", F.pmod(F.xxhash64(*df.columns), F.lit(PIECES)))
+        df = _first_rows(salted, [*group, "__piece"], order, k, None).drop("__piece")
+    return _first_rows(df, group, order, k, rank_as)
+
+
+def _first_rows(
+    df: DataFrame, group: list[Column | str], order: list[Column], k: int, rank_as: str | None
+) -> DataFrame:
     name = rank_as or "__rank"
     ranked = df.withColumn(name, F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
     kept = ranked.where(F.col(name) <= k)

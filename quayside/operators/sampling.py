@@ -19,6 +19,7 @@ from quayside.operators.keys import in_keys
 PREFIX_DIGITS = 3
 FINAL_BUCKET_ROWS = 100_000
 HASH_DIGITS = 32
+ROW_DIGEST = "__row_digest"
 NULL_HASH = "~"  # sorts after every hexadecimal digest
 
 
@@ -84,9 +85,16 @@ def sample_rows(df: DataFrame, key: str, n: int, seed, cut: Cut | None = None) -
     picked = df.where(within(cut, key, seed))
     if cut.rows_kept == cut.rows_there:
         return picked
-    # The sample ends inside a repeated key: take only as many of its rows as fit.
+    # The sample ends inside a repeated key.  Of its rows take as many as fit, drawn by
+    # the hash of the whole row; rows alike in every column are interchangeable.
     hashed = seeded_hash(F.col(f"`{key}`"), seed)
-    partial = df.where(hashed == cut.hash).orderBy(*[F.col(f"`{c}`") for c in df.columns]).limit(cut.rows_kept)
+    rest = df.where(hashed == cut.hash)
+    if key == ROW_DIGEST:
+        partial = rest.limit(cut.rows_kept)
+    else:
+        digest = F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])), 256)
+        partial = sample_rows(rest.withColumn(ROW_DIGEST, digest), ROW_DIGEST, cut.rows_kept, seed)
+        partial = partial.drop(ROW_DIGEST)
     return df.where(hashed < cut.hash).union(partial)
 
 

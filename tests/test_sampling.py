@@ -48,6 +48,28 @@ def test_a_key_that_fills_most_rows_still_gives_n_rows(spark, monkeypatch, n):
     assert sampling.sample_rows(df, "k", n, 3).count() == n
 
 
+def test_rows_of_a_split_key_do_not_depend_on_partitioning(spark):
+    df = spark.sql("select case when id < 600 then -1 else id end as k, id as v from range(700)")
+    picks = [
+        {r.v for r in sampling.sample_rows(d, "k", 640, 3).collect()} for d in (df, df.repartition(13))
+    ]
+    assert len(picks[0]) == 640 and picks[0] == picks[1]
+
+
+def test_rows_alike_in_every_column_can_be_split(spark):
+    df = spark.sql("select 5 as k, 'same' as v from range(300)")
+    assert sampling.sample_rows(df, "k", 120, 3).count() == 120
+
+
+def test_a_large_k_cuts_a_hot_group_in_pieces(spark):
+    df = spark.sql("select case when id % 2 = 0 then 1 else id end as g, hash(id) as v, id from range(20000)")
+    k = ranked.PARTIAL_LIMIT + 500
+    kept = ranked.top_per_group(df, ["g"], [df.v, df.id], k)
+    expected = sorted((r.v, r.id) for r in df.where("g = 1").collect())[:k]
+    assert sorted((r.v, r.id) for r in kept.where("g = 1").collect()) == expected
+    assert kept.columns == df.columns and kept.where("g <> 1").count() == df.where("g <> 1").count()
+
+
 def test_null_keys_are_rows_too(spark):
     df = spark.sql("select case when id % 2 = 0 then null else id end as k, id as v from range(40)")
     for n in (5, 20, 30, 39):

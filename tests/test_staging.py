@@ -30,8 +30,9 @@ def test_parents_come_before_children():
 
 
 def test_published_names_take_a_prefix():
-    named = by_name(marketplace_specs("x"))
+    named = by_name(marketplace_specs("x", {"geolocation": "places.csv"}))
     assert named["order_items"].file_name == "x_order_items_dataset.csv"
+    assert named["geolocation"].file_name == "places.csv"
 
 
 def test_clean_files_are_published_with_their_types_and_again_the_same(spark, source, tmp_path):
