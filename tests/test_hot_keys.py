@@ -1,0 +1,52 @@
+"""The answers stay right when one key of each kind holds a third of all rows."""
+
+import duckdb
+import pytest
+
+import __spark_entry__ as contract
+from test_oracle import comparable
+
+SOURCE = "/root/testdata/sf0.01"
+PLAIN = ("region", "nation", "customer", "supplier", "part", "orders", "documents")
+HOT = {
+    "lineitem": """
+SELECT * EXCLUDE (rn) REPLACE (CASE WHEN rn % 3 = 0 THEN 1 ELSE l_orderkey END AS l_orderkey,
+                               CASE WHEN rn % 3 = 1 THEN 1 ELSE l_partkey END AS l_partkey)
+FROM (SELECT *, row_number() OVER () AS rn FROM '{source}/lineitem.parquet')""",
+    "events": """
+SELECT * REPLACE (CASE WHEN event_id % 3 = 0 THEN 7 ELSE user_id END AS user_id)
+FROM '{source}/events.parquet'""",
+}
+
+
+@pytest.fixture(scope="module")
+def hot(tmp_path_factory):
+    folder = tmp_path_factory.mktemp("hot")
+    con = duckdb.connect()
+    for t in PLAIN:
+        con.execute(f"COPY (SELECT * FROM '{SOURCE}/{t}.parquet') TO '{folder}/{t}.parquet' (FORMAT parquet)")
+    for t, sql in HOT.items():
+        con.execute(f"COPY ({sql.format(source=SOURCE)}) TO '{folder}/{t}.parquet' (FORMAT parquet)")
+    for t in (*PLAIN, *HOT):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{folder}/{t}.parquet'")
+    return str(folder), con
+
+
+@pytest.mark.parametrize(
+    "name",
+    [
+        "check_foreign_keys", "check_primary_key_lineitem", "order_totals", "customer_value", "sample_lineitem",
+        "sample_part", "events_three_per_user", "latest_event_per_user", "event_mix", "mart_fact_lineitem",
+        "relationship_cardinality", "violation_examples", "profile_lineitem", "user_centroids",
+    ],
+)
+def test_hot_keys(spark, hot, name):
+    folder, con = hot
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = contract.queries()[name](spark, folder)
+        actual = comparable(df.columns, df.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    answer = con.execute(contract.oracle_sql()[name])
+    assert actual == comparable([d[0] for d in answer.description], answer.fetchall())
