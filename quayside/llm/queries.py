@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quayside.llm import exact_dedup
+from quayside.llm import exact_dedup, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -28,6 +29,13 @@ def op9_exact_dedup(spark, sf_dir):
     return verdicts.selectExpr("doc_id", "keep_id", "group_size", "kept", "digest AS text_sha256")
 
 
+@registered
+def op7_simhash(spark, sf_dir):
+    """Documents whose fingerprints are linked by differences of at most two bits."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hex_print(F.col("print")).alias("fingerprint"), "component_id")
+
+
 ORACLE_SQL: dict[str, str] = {
     "op9_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
