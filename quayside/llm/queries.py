@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import exact_dedup, simhash
+from quayside.llm import exact_dedup, language, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -36,6 +36,20 @@ def op7_simhash(spark, sf_dir):
     return found.select("doc_id", simhash.hex_print(F.col("print")).alias("fingerprint"), "component_id")
 
 
+def remainder(divisor: int) -> Column:
+    """crc32 of the document's id as text, modulo the divisor: it tells which documents teach."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor
+
+
+@registered
+def op8_language(spark, sf_dir):
+    """The language of every document, learned from three quarters of them."""
+    docs = table(spark, sf_dir, "documents")
+    net = language.fit(docs, remainder(4) != 2)
+    answers = language.predict(docs, net)
+    return answers.select("doc_id", F.coalesce(remainder(4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 ORACLE_SQL: dict[str, str] = {
     "op9_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
