@@ -223,14 +223,11 @@ def training_windows(docs: DataFrame, learn_from: Column) -> list[tuple[str, byt
     )
     draw = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(SEED))
     chosen = labelled.where(F.pmod(draw, F.lit(spread)) < share[F.col("lang")])
-    starts = F.array(
-        *[F.pmod(F.xxhash64("doc_id", F.lit(k)), F.greatest(F.length("text") - WINDOW, F.lit(0)) + 1) + 1 for k in range(WINDOWS_PER_DOC)]
+    places = F.greatest(F.length("text") - WINDOW, F.lit(0)) + 1
+    starts = [(F.pmod(F.xxhash64("doc_id", F.lit(k)), places) + 1).cast("int") for k in range(WINDOWS_PER_DOC)]
+    pieces = chosen.select("lang", "text", F.explode(F.array_distinct(F.array(*starts))).alias("start")).select(
+        "lang", F.substring("text", F.col("start"), F.lit(WINDOW)).alias("piece")
     )
-    pieces = chosen.select(
-        "lang",
-        F.explode(F.array_distinct(starts)).cast("int").alias("start"),
-        "text",
-    ).selectExpr("lang", f"substring(text, start, {WINDOW}) AS piece")
     limit = 2 * DOCS_PER_LANGUAGE * WINDOWS_PER_DOC * len(counts)
     rows = pieces.limit(limit).collect()
     return sorted((r["lang"], r["piece"].encode("utf-8", "replace")[:WINDOW]) for r in rows)
