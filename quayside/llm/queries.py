@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import exact_dedup, language, simhash
+from quayside.llm import exact_dedup, language, main_text, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -50,6 +50,12 @@ def op8_language(spark, sf_dir):
     return answers.select("doc_id", F.coalesce(remainder(4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+@registered
+def op10_main_text(spark, sf_dir):
+    """The article of every page, by the container paths its host's pages agree on."""
+    return main_text.extract(table(spark, sf_dir, "pages"))
+
+
 ORACLE_SQL: dict[str, str] = {
     "op9_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
