@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import exact_dedup, language, main_text, simhash
+from quayside.llm import exact_dedup, grid_join, language, main_text, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -36,6 +36,12 @@ def op7_simhash(spark, sf_dir):
     return found.select("doc_id", simhash.hex_print(F.col("print")).alias("fingerprint"), "component_id")
 
 
+@registered
+def op6_grid_order_join(spark, sf_dir):
+    """Vectors linked by a cosine of at least 0.9, as components with link counts."""
+    return grid_join.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def remainder(divisor: int) -> Column:
     """crc32 of the document's id as text, modulo the divisor: it tells which documents teach."""
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor
