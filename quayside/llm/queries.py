@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import exact_dedup, grid_join, language, main_text, simhash
+from quayside.llm import config_packing, exact_dedup, grid_join, language, main_text, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -36,6 +36,12 @@ def op7_simhash(spark, sf_dir):
     return found.select("doc_id", simhash.hex_print(F.col("print")).alias("fingerprint"), "component_id")
 
 
+@registered
+def op2_config_packing(spark, sf_dir):
+    """All documents as token ids, packed into as few sequences of 2048 as the plan needs."""
+    return config_packing.pack(table(spark, sf_dir, "documents"))
+
+
 @registered
 def op6_grid_order_join(spark, sf_dir):
     """Vectors linked by a cosine of at least 0.9, as components with link counts."""
