@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import config_packing, exact_dedup, grid_join, language, main_text, simhash
+from quayside.llm import config_packing, exact_dedup, grid_join, language, main_text, simhash, token_output
+from quayside.session import new_run_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -36,6 +37,14 @@ def op7_simhash(spark, sf_dir):
     return found.select("doc_id", simhash.hex_print(F.col("print")).alias("fingerprint"), "component_id")
 
 
+@registered
+def op1_token_output(spark, sf_dir):
+    """All documents packed and written as binary rows, then every segment read back."""
+    folder = new_run_folder(spark, "packed")
+    token_output.write_packed(table(spark, sf_dir, "documents"), folder)
+    return token_output.read_segments(spark, folder)
+
+
 @registered
 def op2_config_packing(spark, sf_dir):
     """All documents as token ids, packed into as few sequences of 2048 as the plan needs."""
