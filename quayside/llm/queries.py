@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import config_packing, exact_dedup, grid_join, language, main_text, simhash, token_output
+from quayside.llm import config_packing, exact_dedup, grid_join, language, main_text, pfair_mixing, simhash, token_output
 from quayside.session import new_run_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,6 +51,15 @@ def op2_config_packing(spark, sf_dir):
     return config_packing.pack(table(spark, sf_dir, "documents"))
 
 
+@registered
+def op4_pfair_mixing(spark, sf_dir):
+    """Where each document stands when sources are interleaved by the root of their sizes."""
+    mixed = pfair_mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.withColumn("source", F.expr("CASE WHEN source_key != '-' THEN substring(source_key, 2) END")).drop(
+        "source_key"
+    )
+
+
 @registered
 def op6_grid_order_join(spark, sf_dir):
     """Vectors linked by a cosine of at least 0.9, as components with link counts."""
@@ -78,6 +87,55 @@ def op10_main_text(spark, sf_dir):
 
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_pfair_mixing": """
+        WITH RECURSIVE docs AS (
+            SELECT doc_id, source, CASE WHEN source IS NULL THEN '-' ELSE '=' || source END AS name,
+                   coalesce(length(text), 0) AS chars, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS digest
+            FROM documents
+        ), roots AS (
+            SELECT name, CAST(floor(sqrt(CAST(sum(chars) AS DOUBLE))) AS BIGINT) + 1 AS root FROM docs GROUP BY name
+        ), spread AS (
+            SELECT name, (1000 - count(*) OVER ()) * root AS due, CAST(sum(root) OVER () AS BIGINT) AS total
+            FROM roots
+        ), ranked AS (
+            SELECT name, 1 + due // total AS whole,
+                   row_number() OVER (ORDER BY due % total DESC, name) AS place,
+                   sum(1 + due // total) OVER () AS given
+            FROM spread
+        ), shares AS (
+            SELECT name, CAST(whole + CASE WHEN place <= 1000 - given THEN 1 ELSE 0 END AS BIGINT) AS k FROM ranked
+        ), sources AS (
+            SELECT list(name ORDER BY name) AS names, list(k ORDER BY name) AS ks, count(*) AS n FROM shares
+        ), frame(slot, chosen, done) AS (
+            SELECT CAST(-1 AS BIGINT), CAST(0 AS BIGINT), [CAST(0 AS BIGINT) FOR x IN ks] FROM sources
+            UNION ALL
+            SELECT slot + 1, pick.j, [done[j] + CASE WHEN j = pick.j THEN 1 ELSE 0 END FOR j IN range(1, n + 1)]
+            FROM (
+                SELECT slot, done, n, list_min([
+                    {'deadline': ((done[j] + 1) * 1000 + ks[j] - 1) // ks[j], 'j': j}
+                    FOR j IN range(1, n + 1)
+                    IF done[j] < ks[j] AND done[j] * 1000 // ks[j] <= slot + 1
+                ]) AS pick
+                FROM frame, sources
+                WHERE slot < 999
+            )
+        ), slots AS (
+            SELECT names[chosen] AS name, ks[chosen] AS k, slot,
+                   row_number() OVER (PARTITION BY chosen ORDER BY slot) AS i
+            FROM frame, sources WHERE slot >= 0
+        ), placed AS (
+            SELECT *, CAST(sum(chars) OVER (PARTITION BY name ORDER BY digest, doc_id
+                           ROWS UNBOUNDED PRECEDING) AS BIGINT) - chars AS start
+            FROM docs
+        ), turns AS (
+            SELECT doc_id, source, name, start, start // 200000 + 1 AS block FROM placed
+        )
+        SELECT doc_id, source, CAST(s.k AS INTEGER) AS k, block, start,
+               (block - 1) // s.k * 1000 + (s.i - 1) * 1000 // s.k AS release,
+               (block - 1) // s.k * 1000 + (s.i * 1000 + s.k - 1) // s.k AS deadline,
+               (block - 1) // s.k * 1000 + s.slot AS position
+        FROM turns t JOIN slots s ON s.name = t.name AND s.i = (t.block - 1) % s.k + 1
+    """,
     "op9_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept,
