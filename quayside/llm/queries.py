@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import config_packing, exact_dedup, grid_join, language, main_text, pfair_mixing, simhash, token_output
+from quayside.llm import config_packing, exact_dedup, grid_join, language, lattice_lm, main_text, pfair_mixing, simhash, token_output
 from quayside.session import new_run_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def remainder(divisor: int) -> Column:
+    """crc32 of the document's id as text, modulo the divisor: it tells which documents teach."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor
+
+
 @registered
 def op9_exact_dedup(spark, sf_dir):
     """Which documents stay when each text may occur once; the largest doc_id wins."""
@@ -51,6 +56,13 @@ def op2_config_packing(spark, sf_dir):
     return config_packing.pack(table(spark, sf_dir, "documents"))
 
 
+@registered
+def op3_lattice_lm(spark, sf_dir):
+    """The log10 probability of every document, learned from nine tenths of them."""
+    found = lattice_lm.score_texts(table(spark, sf_dir, "documents"), remainder(10) != 0)
+    return found.withColumn("held_out", F.coalesce(remainder(10) == 0, F.lit(False)))
+
+
 @registered
 def op4_pfair_mixing(spark, sf_dir):
     """Where each document stands when sources are interleaved by the root of their sizes."""
@@ -66,11 +78,6 @@ def op6_grid_order_join(spark, sf_dir):
     return grid_join.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
-def remainder(divisor: int) -> Column:
-    """crc32 of the document's id as text, modulo the divisor: it tells which documents teach."""
-    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor
-
-
 @registered
 def op8_language(spark, sf_dir):
     """The language of every document, learned from three quarters of them."""
