@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import config_packing, exact_dedup, grid_join, language, lattice_lm, main_text, pfair_mixing, simhash, token_output
+from quayside.llm import config_packing, exact_dedup, grid_join, language, lattice_lm, main_text, pfair_mixing, simhash, token_output, warc
 from quayside.session import new_run_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,6 +72,14 @@ def op4_pfair_mixing(spark, sf_dir):
     )
 
 
+@registered
+def op5_warc(spark, sf_dir):
+    """All pages written as WARC archives, and what is read back from them."""
+    folder = new_run_folder(spark, "warc")
+    collection = warc.write_archives(table(spark, sf_dir, "pages"), folder)
+    return warc.read_archives(spark, folder, collection).drop("archive")
+
+
 @registered
 def op6_grid_order_join(spark, sf_dir):
     """Vectors linked by a cosine of at least 0.9, as components with link counts."""
@@ -143,6 +151,20 @@ ORACLE_SQL: dict[str, str] = {
                (block - 1) // s.k * 1000 + s.slot AS position
         FROM turns t JOIN slots s ON s.name = t.name AND s.i = (t.block - 1) % s.k + 1
     """,
+    "op5_warc": """
+        WITH payloads AS (
+            SELECT page_id, coalesce(html, '') AS payload FROM pages
+        ), firsts AS (
+            SELECT page_id, strlen(payload) AS payload_bytes, sha256(payload) AS payload_digest,
+                   CASE WHEN strlen(payload) >= 100 THEN min(page_id) OVER (PARTITION BY payload)
+                        ELSE page_id END AS first
+            FROM payloads
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id != first THEN first END AS refers_to
+        FROM firsts
+    """,
     "op9_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept,
