@@ -103,8 +103,8 @@ def bitmap_of(digests: DataFrame) -> DataFrame:
     """One row for each piece of a bitmap that has a bit set: at most 2 MB in all."""
     return (
         digests.select(_bit(F.col("digest")).alias("bit"))
-        .groupBy(F.expr(f"bit div {BITS_PER_ROW}").alias("piece"))
-        .agg(F.expr(f"bitmap_construct_agg(bit % {BITS_PER_ROW})").alias("bits"))
+        .groupBy(F.expr(f"bit div {BITS_PER_ROW}").alias("__piece"))
+        .agg(F.expr(f"bitmap_construct_agg(bit % {BITS_PER_ROW})").alias("__bits"))
     )
 
 
@@ -115,12 +115,12 @@ def marked(docs: DataFrame, bitmap: DataFrame, digest: Column, keep: bool = True
     """
     bit = _bit(digest)
     rows = docs.withColumn("__bit", bit).withColumn("__piece", F.expr(f"__bit div {BITS_PER_ROW}"))
-    joined = rows.join(F.broadcast(bitmap.withColumnRenamed("piece", "__piece")), "__piece", "left")
+    joined = rows.join(F.broadcast(bitmap), "__piece", "left")
     byte = F.expr(
-        f"conv(hex(substring(bits, cast((__bit % {BITS_PER_ROW}) div 8 + 1 as int), 1)), 16, 10)"
+        f"conv(hex(substring(__bits, cast((__bit % {BITS_PER_ROW}) div 8 + 1 as int), 1)), 16, 10)"
     ).cast("int")
     is_set = F.coalesce(F.getbit(byte, (F.col("__bit") % 8).cast("int")) == 1, F.lit(False))
-    return joined.where(is_set if keep else ~is_set).drop("__bit", "__piece", "bits")
+    return joined.where(is_set if keep else ~is_set).drop("__bit", "__piece", "__bits")
 
 
 def verified_groups(docs: DataFrame, state: DigestState, digest=sha256_hex) -> DataFrame:

@@ -170,3 +170,15 @@ def near_duplicates(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
 
 def hex_print(print_: Column) -> Column:
     return F.lower(F.lpad(F.hex(print_), 16, "0"))
+
+
+def drop_near_copies(docs: DataFrame) -> DataFrame:
+    """One document of each component, the one with the smallest doc_id, with all columns.
+
+    Documents without a doc_id stay.  The documents to drop are joined by id; if they are
+    few, measured, they are broadcast and the texts are not shuffled.
+    """
+    found = near_duplicates(docs).where("doc_id != component_id")
+    dropped = cut_lineage(found.select(F.col("doc_id").alias("__id")).distinct())
+    rows = docs.withColumn("__own", F.col("doc_id").cast("bigint"))
+    return rows.join(dropped, rows["__own"] == dropped["__id"], "left_anti").drop("__own")
