@@ -7,6 +7,7 @@
     manifest  write bytes, rows and SHA-256 of the CSV files
     verify    compare the CSV files with a manifest
     tables    list what is published under a folder
+    clean     remove the versions under a folder that no published table belongs to
 
 Ends with status 1 when data is missing, broken or changed.
 """
@@ -18,7 +19,7 @@ import sys
 import uuid
 from datetime import datetime, timezone
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from quayside.marketplace import marketplace_specs
 from quayside.plans import cascade, landing, manifest, mart, publish, staging, validation
@@ -47,14 +48,32 @@ def _parser() -> argparse.ArgumentParser:
     added = command("sample", "source", "target")
     added.add_argument("--orders", type=int, default=3000)
     added.add_argument("--seed", type=float, default=0.42)
-    added = command("manifest", "source", "target")
-    added.add_argument("--orders", type=int, default=3000)
+    manifest_command = command("manifest", "source", "target")
+    manifest_command.add_argument("--orders", type=int, default=3000)
     added = command("verify", "source", "manifest")
     added.add_argument("--object-form", action="store_true", help="the manifest is one JSON object")
+    for name in ("dataset", "source", "license"):
+        manifest_command.add_argument(f"--{name}", dest=f"{name}_field", help=f"{name} field of the header")
     command("tables", "root")
+    command("clean", "root")
     return parser
 
 
+def _text(value) -> str:
+    if value is None or isinstance(value, bool):
+        return {None: "null", True: "true", False: "false"}[value]
+    return str(value)
+
+
+def show(df: DataFrame) -> list:
+    """Print all rows, one per line; returns them."""
+    rows = df.collect()
+    print(*df.columns, sep="\t")
+    for row in rows:
+        print(*map(_text, row), sep="\t")
+    return rows
+
+
 def run(spark: SparkSession, argv: list[str]) -> int:
     args = _parser().parse_args(argv)
     specs = marketplace_specs(args.prefix, dict(pair.split("=", 1) for pair in args.file))
@@ -63,31 +82,35 @@ def run(spark: SparkSession, argv: list[str]) -> int:
     run_id = getattr(args, "run_id", None) or f"{now:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:6]}"
     try:
         if args.command == "land":
-            landing.land_raw(spark, specs, args.source, args.root, run_id, now, not args.sample).show(50, False)
+            show(landing.land_raw(spark, specs, args.source, args.root, run_id, now, not args.sample))
         elif args.command == "stage":
-            tables = staging.read_text_tables(spark, args.source, staged)
-            report = staging.stage(spark, tables, staged, args.root, run_id, args.check_only, not args.sample)
-            validation.problem_totals(report).show(50, False)
-            report.where("severity = 'warn' and n_violations > 0").show(50, False)
+            report = staging.stage_files(
+                spark, args.source, staged, args.root, run_id, args.check_only, not args.sample
+            )
+            show(validation.problem_totals(report))
+            show(report.where("severity = 'warn' and n_violations > 0"))
         elif args.command == "mart":
             mart.publish_mart(spark, args.staging_root, args.raw_root, args.root, run_id)
-            publish.published_tables(spark, args.root).show(50, False)
+            show(publish.published_tables(spark, args.root))
         elif args.command == "sample":
-            cascade.sample_files(spark, args.source, args.target, specs, "orders", args.orders, args.seed).show(50, False)
+            show(cascade.sample_files(spark, args.source, args.target, specs, "orders", args.orders, args.seed))
         elif args.command == "manifest":
             built = manifest.csv_manifest(spark, args.source, specs)
-            manifest.write_manifest(built, args.target, now, args.orders)
+            fields = {n: getattr(args, f"{n}_field") for n in ("dataset", "source", "license")}
+            header = {n: v for n, v in fields.items() if v is not None}
+            manifest.write_manifest(built, args.target, now, args.orders, **header)
         elif args.command == "verify":
             found = manifest.check_manifest(spark, args.manifest, args.source, specs, args.object_form)
             if found is None:
                 print("no manifest, nothing to compare")
                 return 0
-            found.orderBy("file_name").show(100, False)
-            return 1 if found.where("status in ('missing', 'changed')").count() else 0
+            return 1 if any(r.status in ("missing", "changed") for r in show(found.orderBy("file_name"))) else 0
+        elif args.command == "clean":
+            print(*publish.remove_superseded(spark, args.root), sep="\n")
         else:
-            publish.published_tables(spark, args.root).show(100, False)
+            show(publish.published_tables(spark, args.root))
     except (
-        FileNotFoundError, validation.ValidationFailed, landing.LandingFailed,
+        FileNotFoundError, validation.ValidationFailed, landing.LandingFailed, staging.BrokenRecords,
         publish.PublishFailed, cascade.OrphansFound,
     ) as problem:
         print(problem, file=sys.stderr)

@@ -92,15 +92,18 @@ def typed(column: Column, text: str) -> str:
     return f"cast(trim({text}) AS {column.type})"
 
 
-def exceeds_scale(text: str, scale: int) -> str:
-    """More digits after the point than ``scale``, trailing zeros not counted.
+def exceeds_scale(text: str, value: str, scale: int) -> str:
+    """More decimal places than ``scale``, trailing zeros not counted.
 
-    The pattern is applied only to texts long enough to need it.
+    Plain numbers are judged by their digits, with a pattern that is applied only to
+    texts long enough to need it; numbers with an exponent by their exact value.
     """
+    exact = f"try_cast({text} AS decimal(38,18))"
+    unit = f"{10.0**-scale:.{scale}f}BD"
+    rounding = f"({exact} % {unit} <> 0 OR ({exact} = 0 AND {value} <> 0))"
     digits = rf"length(regexp_extract({text}, r'\.([0-9]*[1-9])0*\s*$', 1))"
-    return (
-        f"({has_decimal_point(text)} AND length({text}) - instr({text}, '.') > {scale} AND {digits} > {scale})"
-    )
+    long = f"{has_decimal_point(text)} AND length({text}) - instr({text}, '.') > {scale} AND {digits} > {scale}"
+    return f"(CASE WHEN {has_exponent(text)} THEN {rounding} ELSE {long} END)"
 
 
 def likely_kind(text: str) -> str:
@@ -117,11 +120,14 @@ def key_text(columns: list[str] | tuple[str, ...], separator: str = " | ") -> st
     return f"concat_ws({literal(separator)}, {parts})"
 
 
-def null_tokens(df: DataFrame, tokens: tuple[str, ...]) -> DataFrame:
-    """Turn the given field values into null in every column of an all-text table."""
+def null_tokens(df: DataFrame, tokens: tuple[str, ...], keep: tuple[str, ...] = ()) -> DataFrame:
+    """Turn the given field values into null in an all-text table, except in columns to keep."""
     listed = ", ".join(literal(t) for t in tokens)
     return df.selectExpr(
-        *[f"CASE WHEN {name(c)} NOT IN ({listed}) THEN {name(c)} END AS {name(c)}" for c in df.columns]
+        *[
+            name(c) if c in keep else f"CASE WHEN {name(c)} NOT IN ({listed}) THEN {name(c)} END AS {name(c)}"
+            for c in df.columns
+        ]
     )
 
 

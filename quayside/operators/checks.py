@@ -104,7 +104,7 @@ def _column_checks(c: Column) -> list[Check]:
         add("below_minimum", f"{_fact('val', c.name)} < {c.minimum}", silenced_by=number_rule)
     if c.is_decimal:
         add("numeric_range", _out_of_decimal_range(c))
-        add("excess_scale", f"{_fact('num', c.name)} AND {tx.exceeds_scale(text, c.scale)}", "warn")
+        add("excess_scale", f"{_fact('num', c.name)} AND {tx.exceeds_scale(text, _fact('val', c.name), c.scale)}", "warn")
     if c.is_timestamp:
         add("timestamp", f"{text} IS NOT NULL AND {_fact('ts', c.name)} IS NULL")
     if c.allowed is not None:

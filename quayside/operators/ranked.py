@@ -7,8 +7,11 @@ that group is.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 # Spark places the partial limit only up to this k (its default threshold); beyond it
@@ -41,17 +44,13 @@ def latest_per_key(df: DataFrame, key: list[Column | str], newest_first: list[Co
     return top_per_group(df, key, newest_first + [F.col(f"`{c}`") for c in df.columns], 1)
 
 
-def latest_by_id(df: DataFrame, group: Column, id_column: str, newest: Column | None = None) -> DataFrame:
-    """One row per group where rows have a unique id: the newest, ties to the highest id.
+def latest_by_id(df: DataFrame, group: Column, id_column: str) -> DataFrame:
+    """One row per group where rows have a unique id: the one with the highest id.
 
-    Without ``newest`` the highest id wins.  The winners are found on narrow columns,
-    combined inside each map task; whole rows move once, spread by id, so neither wide
-    rows nor hot groups pile up.
+    The winners are found on narrow columns, combined inside each map task; whole rows
+    move once, spread by id, so neither wide rows nor hot groups pile up.
     """
-    last = F.max(id_column)
-    if newest is not None:
-        last = F.max(F.struct(newest.alias("newest"), F.col(id_column).alias("id")))["id"]
-    winners = df.groupBy(group.alias("__group")).agg(last.alias("__id"))
+    winners = df.groupBy(group.alias("__group")).agg(F.max(id_column).alias("__id"))
     return df.join(winners.select("__id"), F.col(id_column) == F.col("__id"), "left_semi")
 
 
@@ -63,11 +62,29 @@ def points_per_area(df: DataFrame, area: str, order: str, k: int = 3, numeric: b
 
 
 def smallest_values(df: DataFrame, group: list[str], value: str, k: int = 3, rank_as: str = "rank") -> DataFrame:
-    """The ``k`` smallest distinct values of each group, ranked.
+    """The ``k`` smallest distinct values of each group, ranked, for few groups and a small k.
 
-    ``distinct`` combines repeats inside each map task and spreads the rest by
-    (group, value), so a rule that every row breaks does not land in one task.
+    k aggregations one after the other, each finding the smallest value above the last
+    one of its group.  A task sends one record per group, however many values a group
+    has and however often one is repeated.  The groups and their last values go through
+    the driver: at most k rows for each group.
     """
-    return top_per_group(
-        df.select(*group, value).distinct(), group, [F.col(value)], k, rank_as=rank_as
-    )
+    rows = df.select(*group, value)
+    found, last = [], None
+    for place in range(1, k + 1):
+        # Only groups that had a value before can have a further one.
+        further = rows if last is None else rows.where(_above(group, value, last))
+        last = further.groupBy(*group).agg(F.min(value).alias(value)).where(F.col(value).isNotNull()).collect()
+        found += [(*row, place) for row in last]
+        if not last:
+            break
+    schema = rows.schema.add(rank_as, T.IntegerType())
+    return df.sparkSession.createDataFrame(found, schema)
+
+
+def _above(group: list[str], value: str, last: list) -> Column:
+    higher = [
+        reduce(Column.__and__, [F.col(g).eqNullSafe(F.lit(row[g])) for g in group] + [F.col(value) > row[value]])
+        for row in last
+    ]
+    return reduce(Column.__or__, higher, F.lit(False))

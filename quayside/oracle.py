@@ -84,8 +84,12 @@ def _out_of_range(c: str, kind: str) -> str:
     )
 
 
-def _places(c: str) -> str:
-    return f"length(regexp_extract({c}, '\\.([0-9]*[1-9])0*\\s*$', 1))"
+def _too_fine(c: str) -> str:
+    """Rounding to two places changes the number."""
+    return (
+        f"(TRY_CAST({c} AS DECIMAL(38,18)) <> TRY_CAST({c} AS DECIMAL(38,2)) "
+        f"OR (TRY_CAST({c} AS DECIMAL(38,18)) = 0 AND TRY_CAST({c} AS DOUBLE) <> 0))"
+    )
 
 
 def _bad_time(c: str) -> str:
@@ -143,7 +147,7 @@ def _rule_list() -> list[tuple[str, str, str, str, str, str | None]]:
             table, "numeric_range", column,
             f"({_number(column)} AND TRY_CAST({column} AS DECIMAL(10,2)) IS NULL)",
         )
-        add(table, "excess_scale", column, f"({_number(column)} AND {_places(column)} > 2)", "warn")
+        add(table, "excess_scale", column, f"({_number(column)} AND {_too_fine(column)})", "warn")
     add("orders", "timestamp", "o_orderdate", _bad_time("o_orderdate"))
     add("lineitem", "timestamp", "l_shipdate", _bad_time("l_shipdate"))
     add("orders", "domain", "o_orderstatus", "o_orderstatus NOT IN ('F', 'O', 'P')")
@@ -408,6 +412,7 @@ FROM (SELECT p_partkey,
       FROM part)""",
         "stage_lineitem_typed": TYPED_LINEITEM,
         "publish_staging": TYPED_LINEITEM,
+        "stage_star_files": TYPED_LINEITEM,
         "published_tables": "\nUNION ALL\n".join(
             f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in KEYS
         ),
@@ -445,6 +450,13 @@ SELECT 'numeric_range', 'as_int', count(*),
 UNION ALL
 SELECT 'numeric_range', 'as_money', count(*),
        count(*) FILTER (WHERE TRY_CAST((l_orderkey * 1000000)::VARCHAR AS DECIMAL(10,2)) IS NULL) FROM lineitem""",
+        "check_excess_scale": f"""
+SELECT 'excess_scale' AS rule, 'amount' AS columns, count(*) AS n_rows,
+       count(*) FILTER (WHERE {_too_fine('amount')}) AS n_violations
+FROM (SELECT CASE WHEN l_orderkey % 97 = 0 THEN '12345e-4' WHEN l_partkey % 71 = 0 THEN '1.2345e0'
+             WHEN l_suppkey % 33 = 0 THEN '1200E-4' WHEN l_partkey % 53 = 0 THEN '0.125'
+             WHEN l_partkey % 54 = 0 THEN '1.500' WHEN l_partkey % 55 = 0 THEN '1e-30'
+             ELSE l_extendedprice::VARCHAR END AS amount FROM lineitem)""",
         "check_row_rules": """
 SELECT 'below_minimum' AS rule, 'l_linenumber' AS columns, count(*) AS n_rows,
        count(*) FILTER (WHERE l_linenumber < 1) AS n_violations FROM lineitem
@@ -484,12 +496,22 @@ SELECT * FROM nation WHERE n_nationkey IN (
         "sample_orphans": _sample_orphans(),
         "events_three_per_user": _events_per_user("value::VARCHAR"),
         "events_three_per_user_numeric": _events_per_user("value"),
+        "sample_event_points": PICKED + """
+SELECT event_id, ts, user_id, event_type, value, props FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id::VARCHAR) AS rn FROM events
+) WHERE rn <= 3 AND user_id IN (SELECT c_custkey FROM s_customer)""",
         "nations_in_use": """
 SELECT c_nationkey AS nation_key FROM customer UNION SELECT s_nationkey FROM supplier""",
         "profile_customer": _profile(_as_text("customer", CUSTOMER), "customer", CUSTOMER),
         "profile_part": SPOILED + _profile("t_part", "part", PART),
         "profile_orders": _profile(_as_text("orders", ORDERS), "orders", ORDERS),
         "profile_lineitem": _profile(_as_text("lineitem", LINEITEM), "lineitem", LINEITEM),
+        "profile_lineitem_approximate": f"""
+SELECT * EXCLUDE (n_distinct) REPLACE (NULL::BOOLEAN AS is_key)
+FROM ({_profile(_as_text("lineitem", LINEITEM), "lineitem", LINEITEM)})""",
+        "profile_estimates": "\nUNION ALL\n".join(
+            f"SELECT '{c}' AS column_name, true AS is_close" for c in LINEITEM.split()
+        ),
         "null_patterns": SPOILED + """
 SELECT null_columns, count(*) AS n_rows FROM (
   SELECT concat_ws('+', CASE WHEN p_brand IS NULL THEN 'p_brand' END,
@@ -553,10 +575,108 @@ SELECT c_custkey, c_name, c_nationkey, coalesce(n_name, c_nationkey::VARCHAR) AS
        coalesce(n_orders, 0) AS n_orders, coalesce(lifetime_value, 0)::{MONEY} AS lifetime_value,
        coalesce(is_repeat, false) AS is_repeat
 FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey LEFT JOIN ({CUSTOMER_VALUE}) ON o_custkey = c_custkey""",
+        "mart_orders": f"""
+WITH o AS (
+  SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_orderstatus AS order_status,
+         o_orderdate AS order_purchase_timestamp,
+         CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderdate END AS order_approved_at,
+         CASE WHEN o_orderstatus IN ('F', 'P') THEN o_orderdate END AS order_delivered_carrier_date,
+         CASE WHEN o_orderstatus = 'F' THEN o_orderdate END AS order_delivered_customer_date,
+         o_orderdate - INTERVAL 3 DAY AS order_estimated_delivery_date
+  FROM orders
+), t AS (
+  SELECT l_orderkey AS order_id, count(*) AS n_items,
+         sum(l_extendedprice::DECIMAL(10,2) + l_quantity::DECIMAL(10,2))::{MONEY} AS total
+  FROM lineitem GROUP BY 1
+), e AS (
+  SELECT *, CASE event_type WHEN 'click' THEN 'credit_card' WHEN 'view' THEN 'boleto'
+                 WHEN 'purchase' THEN 'voucher' ELSE event_type END AS kind FROM events
+), p AS (
+  SELECT user_id AS order_id, count(*) AS n_payments, sum(value::DECIMAL(10,2))::{MONEY} AS paid,
+         count(*) FILTER (WHERE kind NOT IN ('credit_card', 'boleto', 'voucher')) AS n_other_methods,
+         max(length(props))::INTEGER AS max_instalments,
+         concat_ws('+', CASE WHEN bool_or(kind = 'credit_card') THEN 'credit_card' END,
+                   CASE WHEN bool_or(kind = 'boleto') THEN 'boleto' END,
+                   CASE WHEN bool_or(kind = 'voucher') THEN 'voucher' END) AS methods
+  FROM e GROUP BY 1
+), r AS (
+  SELECT order_id, review_score FROM (
+    SELECT user_id AS order_id, event_id % 5 + 1 AS review_score,
+           row_number() OVER (PARTITION BY user_id ORDER BY date_trunc('second', ts) DESC, event_id % 5) AS rn
+    FROM events) WHERE rn = 1
+)
+SELECT o.*, CASE WHEN order_delivered_customer_date IS NOT NULL THEN 'delivered'
+                 WHEN order_delivered_carrier_date IS NOT NULL THEN 'posted'
+                 WHEN order_approved_at IS NOT NULL THEN 'approved' ELSE 'not_approved' END AS stage,
+       date_diff('day', order_estimated_delivery_date::DATE, order_delivered_customer_date::DATE)::INTEGER AS days_late,
+       n_items, total, n_payments, paid, n_other_methods, max_instalments, methods, review_score
+FROM o LEFT JOIN t USING (order_id) LEFT JOIN p USING (order_id) LEFT JOIN r USING (order_id)""",
+        "mart_order_items": f"""
+SELECT l_orderkey AS order_id, l_linenumber AS order_item_id, l_partkey AS product_id,
+       l_extendedprice::DECIMAL(10,2) AS price, l_quantity::DECIMAL(10,2) AS freight_value,
+       o_custkey AS customer_id, o_orderstatus AS order_status, day AS order_date, stage
+FROM lineitem LEFT JOIN (
+  SELECT orders.*, o_orderdate::DATE AS day,
+         CASE WHEN o_orderstatus = 'F' THEN 'delivered' WHEN o_orderstatus = 'P' THEN 'posted'
+              WHEN o_orderpriority <> '5-LOW' THEN 'approved' ELSE 'not_approved' END AS stage
+  FROM orders) ON o_orderkey = l_orderkey""",
+        "mart_reviews": """
+SELECT review_id, order_id, review_score, review_answer_timestamp FROM (
+  SELECT event_id // 2 AS review_id, user_id AS order_id, event_id % 5 + 1 AS review_score,
+         strftime(ts, '%Y-%m-%d %H:%M:%S') AS review_answer_timestamp,
+         row_number() OVER (PARTITION BY event_id // 2
+                            ORDER BY date_trunc('second', ts) DESC, user_id, event_id % 5) AS rn
+  FROM events) WHERE rn = 1""",
+        "mart_people": f"""
+WITH placed AS (
+  SELECT c_custkey // 3 AS customer_unique_id, o_orderkey, o_orderdate, c_custkey % 100 AS customer_zip_code_prefix,
+         c_mktsegment AS customer_city, c_nationkey AS customer_state, total
+  FROM orders JOIN customer ON o_custkey = c_custkey LEFT JOIN (
+    SELECT l_orderkey, sum(l_extendedprice::DECIMAL(10,2) + l_quantity::DECIMAL(10,2)) AS total
+    FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey
+), valued AS (
+  SELECT customer_unique_id, count(*) AS n_orders, coalesce(sum(total), 0)::{MONEY} AS lifetime_value,
+         count(*) > 1 AS is_repeat FROM placed GROUP BY 1
+), home AS (
+  SELECT * FROM (SELECT customer_unique_id, customer_zip_code_prefix, customer_city, customer_state,
+    row_number() OVER (PARTITION BY customer_unique_id ORDER BY o_orderdate DESC, customer_zip_code_prefix,
+                       customer_city, customer_state) AS rn FROM placed) WHERE rn = 1
+)
+SELECT customer_unique_id, n_orders, lifetime_value, is_repeat, customer_zip_code_prefix, customer_city,
+       customer_state, lat, lng
+FROM valued JOIN home USING (customer_unique_id)
+LEFT JOIN ({CENTROIDS}) ON user_id = customer_zip_code_prefix""",
+        "mart_products": f"""
+SELECT product_id, product_category_name, product_name_length, product_description_length, product_photos_qty,
+       coalesce(n_name, product_category_name) AS category, missing_fields, missing_fields = '' AS is_complete
+FROM (
+  SELECT *, concat_ws('+', CASE WHEN product_category_name IS NULL THEN 'product_category_name' END,
+                      CASE WHEN product_name_length IS NULL THEN 'product_name_lenght' END,
+                      CASE WHEN product_description_length IS NULL THEN 'product_description_lenght' END,
+                      CASE WHEN product_photos_qty IS NULL THEN 'product_photos_qty' END) AS missing_fields
+  FROM (SELECT p_partkey AS product_id, (p_partkey % 40)::VARCHAR AS product_category_name,
+               CASE WHEN p_partkey % 54 = 0 THEN NULL WHEN p_partkey % 101 = 0 THEN 'x'
+                    ELSE p_size::VARCHAR END AS product_name_length,
+               CASE WHEN p_partkey % 54 <> 0 THEN length(p_brand) END::INTEGER AS product_description_length,
+               CASE WHEN p_partkey % 54 <> 0 THEN length(p_type) END::INTEGER AS product_photos_qty
+        FROM part)
+) LEFT JOIN nation ON n_nationkey::VARCHAR = product_category_name""",
+        "mart_sellers": f"""
+SELECT s_suppkey AS seller_id, s_nationkey AS seller_zip_code_prefix, lat, lng
+FROM supplier LEFT JOIN ({CENTROIDS}) ON user_id = s_nationkey""",
         "mart_dim_date": """
 SELECT d::DATE AS date, year(d)::INTEGER AS year, quarter(d)::INTEGER AS quarter, month(d)::INTEGER AS month,
        day(d)::INTEGER AS day, (isodow(d) - 1)::INTEGER AS weekday, isodow(d) >= 6 AS is_weekend
 FROM (SELECT unnest(generate_series(min(o_orderdate)::DATE, max(o_orderdate)::DATE, INTERVAL 1 DAY)) AS d FROM orders)""",
+        "manifest_comparison": """
+SELECT * FROM (VALUES ('customer.parquet', 'ok', NULL), ('lineitem.parquet', 'ok', NULL),
+  ('nation.parquet', 'ok', NULL), ('orders.parquet', 'changed', 'rows'), ('part.parquet', 'unlisted', NULL),
+  ('parts.parquet', 'missing', NULL), ('region.parquet', 'ok', NULL), ('supplier.parquet', 'ok', NULL)
+) AS found(file_name, status, differs)""",
+        "file_manifest_totals": "\nUNION ALL\n".join(
+            f"SELECT '{t}.parquet' AS table_file, count(*) AS n_rows, true AS has_bytes, true AS has_digests FROM {t}"
+            for t in KEYS
+        ),
         "table_file_completeness": "\nUNION ALL\n".join(
             f"SELECT '{t}.parquet' AS file_name, count(*) AS n_rows, 'present' AS status FROM {t}" for t in KEYS
         )

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.operators import keys, ranked, sampling
-from quayside.session import cut_lineage
+from quayside.session import cut_lineage, working_folder
 from quayside.sources import csv, files
 from quayside.spec import ForeignKey, TableSpec, by_name
 
@@ -61,11 +61,10 @@ def cascade_sample(
             if fk.parent == name and fk.weak == weakly
         ]
 
-    def referred_to(name: str, weakly: bool) -> tuple[DataFrame, str]:
+    def referred_to(name: str, rows: DataFrame, weakly: bool) -> DataFrame:
         sides = users(name, weakly)
         wanted = keys.union_of_keys(*[(df, column) for df, column, _ in sides])
-        area = sides[0][2]
-        return keys.in_keys(tables[name], area, wanted, "key"), area
+        return keys.in_keys(rows, sides[0][2], wanted, "key")
 
     def derive(name: str) -> DataFrame:
         if name == root:
@@ -76,10 +75,12 @@ def cascade_sample(
                 return sampling.rows_of_sample(tables[name], fk.column, sampled(root), key, seed, cut)
             return keys.in_keys(tables[name], fk.column, sampled(fk.parent), fk.parent_column)
         if name in above:
-            return referred_to(name, weakly=False)[0]
-        near, area = referred_to(name, weakly=True)
+            return referred_to(name, tables[name], weakly=False)
+        # The points are cut before the join: whole areas stay or go, so the answer is the
+        # same, and a hot area is a few rows per task before anything is shuffled.
+        area = next(fk.parent_column for m in members for fk in known[m].foreign_keys if fk.weak and fk.parent == name)
         first = next(c for c in known[name].column_names if c != area)
-        return ranked.points_per_area(near, area, first, points_per_area)
+        return referred_to(name, ranked.points_per_area(tables[name], area, first, points_per_area), weakly=True)
 
     def sampled(name: str) -> DataFrame:
         if name not in done:
@@ -152,7 +153,8 @@ def sample_files(
     if lost:
         raise FileNotFoundError(f"not in {source}: {', '.join(sorted(lost))}")
     tables = {s.name: csv.read_by_position(spark, f"{source}/{s.file_name}", s) for s in specs}
-    return write_sample(spark, cascade_sample(tables, specs, root, n, seed), specs, target)
+    with working_folder(spark):
+        return write_sample(spark, cascade_sample(tables, specs, root, n, seed), specs, target)
 
 
 def write_sample(

@@ -31,24 +31,6 @@ def with_lineage(df: DataFrame, run_ts: datetime) -> DataFrame:
     )
 
 
-def _explain_corrupt(spark: SparkSession, path: str, spec: TableSpec) -> str:
-    """File by file: how many records do not fit, and the first line of one of them."""
-    source = csv.read_by_position(spark, path, spec, keep_corrupt=True)
-    # The whole record goes along because Spark refuses to read the corrupt column alone.
-    record = F.struct(csv.CORRUPT, *spec.column_names)
-    bad = (
-        source.where(F.col(csv.CORRUPT).isNotNull())
-        .groupBy(F.col("_metadata.file_name").alias("file_name"))
-        .agg(F.count(F.lit(1)).alias("n"), F.min(record)[csv.CORRUPT].alias("record"))
-        .orderBy("file_name")
-        .limit(20)
-        .collect()
-    )
-    return "; ".join(
-        f"{r.file_name}: {r.n:,} bad record(s), such as {r.record.splitlines()[0]!r}" for r in bad
-    )
-
-
 def land_raw(
     spark: SparkSession,
     specs: tuple[TableSpec, ...],
@@ -72,15 +54,13 @@ def land_raw(
         for s in specs
         if s.file_name not in lost
     }
-    corrupt = F.count_if(F.col(csv.CORRUPT).isNotNull())
-    written = publish.write_version(spark, tables, root, run_id, (csv.CORRUPT,), corrupt=corrupt)
+    written = publish.write_version(spark, tables, root, run_id, (csv.CORRUPT,), corrupt=csv.corrupt_records())
     known = by_name(specs)
     broken = [name for name, w in written.items() if w.measures["corrupt"]]
     if broken:
+        publish.drop_version(spark, root, run_id)
         raise LandingFailed(
-            "; ".join(
-                _explain_corrupt(spark, f"{source}/{known[name].file_name}", known[name]) for name in broken
-            )
+            "; ".join(csv.explain_corrupt(spark, f"{source}/{known[n].file_name}", known[n]) for n in broken)
         )
     publish.switch_pointer(spark, root, run_id, written, keep_others=True)
     rows = []

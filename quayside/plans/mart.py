@@ -86,7 +86,8 @@ def fact_orders(orders: DataFrame, items: DataFrame, payments: DataFrame, review
     """One row per order: stage, delay, totals, payments and latest review score.
 
     Every one-to-many side is reduced to one row per order first; orders without
-    items, payments or reviews stay.
+    items, payments or reviews stay.  ``reviews`` are all reviews as landed: one review
+    may belong to several orders, and each of them has its score.
     """
     totals = business.order_totals(items, "order_id", total=F.col("price") + F.col("freight_value"))
     paid = business.payments_per_order(
@@ -142,8 +143,9 @@ def build_mart(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return {
         "fact_order_items": fact_order_items(tables["order_items"], tables["orders"]),
         "fact_orders": fact_orders(
-            tables["orders"], tables["order_items"], tables["order_payments"], latest_reviews(tables["order_reviews"])
+            tables["orders"], tables["order_items"], tables["order_payments"], tables["order_reviews"]
         ),
+        "dim_review": latest_reviews(tables["order_reviews"]),
         "dim_customer": dim_customer(tables["customers"], tables["orders"], tables["order_items"], areas),
         "dim_product": dim_product(tables["products"], tables["product_category_translation"]),
         "dim_seller": dim_seller(tables["sellers"], areas),

@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quayside.functions import text as tx
 from quayside.operators import keys
@@ -34,13 +35,13 @@ def profile_columns(df: DataFrame, table: str, approximate: bool = False) -> Dat
         )
         parts.append(
             judged.selectExpr(
-                "sum(n) AS n_rows",
+                "coalesce(sum(n), 0) AS n_rows",
                 "coalesce(sum(CASE WHEN value IS NULL THEN n END), 0) AS n_nulls",
                 "count(value) AS n_distinct",
                 *_measures("value", "kind"),
             ).selectExpr(f"{tx.literal(c)} AS column_name", "*")
         )
-    return _finish_profile(reduce(DataFrame.unionByName, parts), table)
+    return _finish_profile(reduce(DataFrame.unionByName, parts), table, "n_rows > 0 AND n_nulls = 0 AND n_distinct = n_rows")
 
 
 def _measures(value: str, kind: str) -> list[str]:
@@ -53,15 +54,15 @@ def _measures(value: str, kind: str) -> list[str]:
     ]
 
 
-def _finish_profile(summary: DataFrame, table: str) -> DataFrame:
+def _finish_profile(summary: DataFrame, table: str, is_key: str) -> DataFrame:
     return summary.selectExpr(
         f"{tx.literal(table)} AS table_name",
         "column_name",
         "cast(n_rows AS bigint) AS n_rows",
         "cast(n_nulls AS bigint) AS n_nulls",
-        "round(100.0D * cast(n_nulls AS double) / cast(n_rows AS double), 2) AS null_percent",
+        "round(100.0D * cast(n_nulls AS double) / nullif(cast(n_rows AS double), 0D), 2) AS null_percent",
         "cast(n_distinct AS bigint) AS n_distinct",
-        "(n_nulls = 0 AND n_distinct = n_rows) AS is_key",
+        f"cast(({is_key}) AS boolean) AS is_key",
         "min_length",
         "max_length",
         "CASE WHEN max_kind = 0 THEN 'int' WHEN max_kind = 1 THEN 'decimal' "
@@ -71,19 +72,26 @@ def _finish_profile(summary: DataFrame, table: str) -> DataFrame:
 
 
 def _profile_by_sketch(df: DataFrame, table: str) -> DataFrame:
-    """A few columns per aggregation, as in the checks: short code, each column read once."""
+    """A few columns per aggregation, as in the checks: short code, each column read once.
+
+    Distinct values are estimated in the column's own type, and an estimate cannot tell
+    a key, so ``is_key`` is null.  The type is judged from the column's own where that
+    says enough, and for texts only if their first character allows a number or a date.
+    """
     parts = []
     for start in range(0, len(df.columns), COLUMNS_PER_SCAN):
         columns = df.columns[start : start + COLUMNS_PER_SCAN]
-        texts = tx.as_text(df.select(*[F.col(tx.name(c)) for c in columns]))
-        judged = texts.selectExpr(
-            "*", *[f"{tx.likely_kind(tx.name(c))} AS {tx.name('__kind_' + c)}" for c in columns]
+        own = df.select(*[F.col(tx.name(c)) for c in columns])
+        judged = own.selectExpr(
+            *[f"{tx.name(c)} AS {tx.name('__raw_' + c)}" for c in columns],
+            *[f"cast({tx.name(c)} AS string) AS {tx.name(c)}" for c in columns],
+            *[f"{_kind(own, c)} AS {tx.name('__kind_' + c)}" for c in columns],
         )
         aggregates = ["count(1) AS n_rows"]
         for i, c in enumerate(columns):
             measures = [
                 f"count_if({tx.name(c)} IS NULL) AS n_nulls",
-                f"approx_count_distinct({tx.name(c)}) AS n_distinct",
+                f"approx_count_distinct({tx.name('__raw_' + c)}) AS n_distinct",
                 *_measures(tx.name(c), tx.name("__kind_" + c)),
             ]
             named = [m.rsplit(" AS ", 1) for m in measures]
@@ -91,7 +99,20 @@ def _profile_by_sketch(df: DataFrame, table: str) -> DataFrame:
             aggregates.append(f"named_struct('column_name', {tx.literal(c)}, {fields}) AS c{i}")
         structs = ", ".join(f"c{i}" for i in range(len(columns)))
         parts.append(judged.selectExpr(*aggregates).selectExpr("n_rows", f"inline(array({structs}))"))
-    return _finish_profile(reduce(DataFrame.unionByName, parts), table)
+    return _finish_profile(reduce(DataFrame.unionByName, parts), table, "NULL")
+
+
+def _kind(df: DataFrame, column: str) -> str:
+    """``likely_kind`` of a column's text, from its type where that is enough."""
+    text, kind = tx.name(column), df.schema[column].dataType
+    if isinstance(kind, T.ByteType | T.ShortType | T.IntegerType) or isinstance(kind, T.DecimalType) and kind.scale:
+        return f"CASE WHEN {text} IS NOT NULL THEN {int(isinstance(kind, T.DecimalType))} END"
+    if isinstance(kind, T.FloatType | T.DoubleType):
+        finite = f"abs({text}) < double('infinity')"
+        return f"CASE WHEN {text} IS NULL THEN NULL WHEN {finite} THEN 1 ELSE 3 END"
+    text = f"cast({text} AS string)"
+    # Numbers and dates begin with a space, a sign, a point or a digit.
+    return f"CASE WHEN ascii({text}) BETWEEN 58 AND 127 THEN 3 ELSE {tx.likely_kind(text)} END"
 
 
 def null_patterns(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

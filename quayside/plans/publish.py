@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from quayside.session import remove_folder
 from quayside.sources import files
 
 POINTER = "_CURRENT"
@@ -92,12 +93,38 @@ def switch_pointer(
     )
 
 
+def drop_version(spark: SparkSession, root: str, run_id: str) -> None:
+    """Remove what a failed run has written; tables that the pointer names are never touched."""
+    if f"version={run_id}" not in _versions_in_use(spark, root):
+        remove_folder(spark, f"{root}/version={run_id}")
+
+
+def _versions_in_use(spark: SparkSession, root: str) -> set[str]:
+    return {t["path"].split("/")[0] for t in read_pointer(spark, root)["tables"].values()}
+
+
+def remove_superseded(spark: SparkSession, root: str) -> list[str]:
+    """Remove the versions that no published table belongs to; returns their names.
+
+    For when no reader of an older version is left and no run is under way.
+    """
+    found = files.names_in(spark, root)
+    old = sorted(n for n in found if n.startswith("version=") and n not in _versions_in_use(spark, root))
+    for name in old:
+        remove_folder(spark, f"{root}/{name}")
+    return old
+
+
 def publish(
     spark: SparkSession, tables: dict[str, DataFrame], root: str, run_id: str, keep_others: bool = False
 ) -> dict[str, int]:
     """Write and switch; returns rows per table."""
-    written = write_version(spark, tables, root, run_id)
-    switch_pointer(spark, root, run_id, written, keep_others)
+    try:
+        written = write_version(spark, tables, root, run_id)
+        switch_pointer(spark, root, run_id, written, keep_others)
+    except Exception:
+        drop_version(spark, root, run_id)
+        raise
     return {name: w.rows for name, w in written.items()}
 
 

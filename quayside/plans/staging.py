@@ -6,11 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quayside.functions.text import NULL_TOKENS, name, typed
 from quayside.plans import publish, validation
-from quayside.session import new_run_folder
+from quayside.session import new_run_folder, working_folder
 from quayside.sources import csv, files
 from quayside.spec import TableSpec
 
 
+class BrokenRecords(Exception):
+    pass
+
+
 def typed_table(df: DataFrame, spec: TableSpec) -> DataFrame:
     """The declared columns, in declared order, with their real types."""
     return df.selectExpr(*[f"{typed(c, name(c.name))} AS {name(c.name)}" for c in spec.columns])
@@ -25,20 +29,30 @@ def read_text_tables(
 ) -> dict[str, DataFrame]:
     """The CSV files bound by name.  Any missing file stops the run.
 
-    The checks read a table several times, a few columns each.  With ``keep`` the
-    text is parsed once into columnar files in the shared folder and read from there.
+    Records with too few or too many fields stop it too, by file.  The checks read a
+    table several times, a few columns each.  With ``keep`` the text is parsed once into
+    columnar files in the shared folder and read from there.
     """
     lost = [r.file_name for r in files.missing_files(spark, source, [s.file_name for s in specs]).collect()]
     if lost:
         raise FileNotFoundError(f"not in {source}: {', '.join(sorted(lost))}")
-    tables = {
-        s.name: csv.read_by_name(spark, f"{source}/{s.file_name}", s, na_tokens) for s in specs
-    }
-    if not keep:
-        return tables
-    folder = new_run_folder(spark, "text")
-    written = publish.write_version(spark, tables, folder, "text")
-    return {name: spark.read.parquet(w.path) for name, w in written.items()}
+    paths = {s.name: f"{source}/{s.file_name}" for s in specs}
+    tables = {s.name: csv.read_by_name(spark, paths[s.name], s, na_tokens, keep_corrupt=True) for s in specs}
+    if keep:
+        folder = new_run_folder(spark, "text")
+        written = publish.write_version(
+            spark, tables, folder, "text", (csv.CORRUPT,), corrupt=csv.corrupt_records()
+        )
+        broken = [name for name, w in written.items() if w.measures["corrupt"]]
+    else:
+        broken = [name for name, df in tables.items() if not df.where(f"{csv.CORRUPT} IS NOT NULL").isEmpty()]
+    if broken:
+        raise BrokenRecords(
+            "; ".join(csv.explain_corrupt(spark, paths[s.name], s, by_name=True) for s in specs if s.name in broken)
+        )
+    if keep:
+        return {name: spark.read.parquet(w.path) for name, w in written.items()}
+    return {s.name: csv.read_by_name(spark, paths[s.name], s, na_tokens) for s in specs}
 
 
 def stage(
@@ -61,3 +75,22 @@ def stage(
     if not check_only:
         publish.publish(spark, {s.name: typed_table(tables[s.name], s) for s in specs}, root, run_id)
     return report
+
+
+def stage_files(
+    spark: SparkSession,
+    source: str,
+    specs: tuple[TableSpec, ...],
+    root: str,
+    run_id: str,
+    check_only: bool = False,
+    compare_rows: bool = False,
+) -> DataFrame:
+    """Read, check and publish the CSV files; leaves nothing in the shared folder.
+
+    Returns the report as it is stored beside the data.
+    """
+    with working_folder(spark):
+        tables = read_text_tables(spark, source, specs)
+        stage(spark, tables, specs, root, run_id, check_only, compare_rows)
+    return spark.read.parquet(f"{root}/reports/run_id={run_id}")

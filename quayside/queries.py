@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime
 from functools import reduce
 
@@ -11,11 +12,11 @@ from pyspark.sql import functions as F
 
 from quayside.functions import text as tx
 from quayside.operators import business, checks, keys, ranked, sampling
-from quayside.plans import cascade, landing, manifest, profile, publish, staging, validation
+from quayside.plans import cascade, landing, manifest, mart, profile, publish, staging, validation
 from quayside.session import new_run_folder
-from quayside.sources import csv
-from quayside.spec import Column, RowRule, TableSpec, by_name
-from quayside.star import load, spoiled, star_specs, text_table, text_tables
+from quayside.sources import csv, files
+from quayside.spec import Column, ForeignKey, RowRule, TableSpec, by_name
+from quayside.star import TABLES, load, spoiled, star_specs, text_table, text_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -103,12 +104,24 @@ def stage_lineitem_typed(spark, sf):
 
 
 def _publish_star(spark, sf) -> str:
+    """Text written once, as reading from files does it, then checked and published from there."""
     root = new_run_folder(spark, "staging")
-    specs = star_specs(strict=False)
-    staging.stage(spark, text_tables(spark, sf), specs, root, "r1")
+    written = publish.write_version(spark, text_tables(spark, sf), new_run_folder(spark, "text"), "text")
+    tables = {name: spark.read.parquet(w.path) for name, w in written.items()}
+    staging.stage(spark, tables, star_specs(strict=False), root, "r1")
     return root
 
 
+@registered
+def stage_star_files(spark, sf):
+    """All seven tables out to CSV, bound by header name, checked and published; line items read back."""
+    folder, specs = new_run_folder(spark, "files"), star_specs(strict=False)
+    for spec in specs:
+        csv.write_csv(text_table(spark, sf, spec.name), f"{folder}/in/{spec.file_name}")
+    staging.stage_files(spark, f"{folder}/in", specs, f"{folder}/out", "r1")
+    return publish.read_published(spark, f"{folder}/out", "lineitem")
+
+
 @registered
 def publish_staging(spark, sf):
     """All seven tables checked and published, then line items read through the pointer."""
@@ -197,6 +210,17 @@ def check_numeric_range(spark, sf):
     return _rules(df, spec, "numeric_range")
 
 
+@registered
+def check_excess_scale(spark, sf):
+    """Amounts with more decimals than their type, some of them written with an exponent."""
+    dirt = """CASE WHEN l_orderkey % 97 = 0 THEN '12345e-4' WHEN l_partkey % 71 = 0 THEN '1.2345e0'
+        WHEN l_suppkey % 33 = 0 THEN '1200E-4' WHEN l_partkey % 53 = 0 THEN '0.125'
+        WHEN l_partkey % 54 = 0 THEN '1.500' WHEN l_partkey % 55 = 0 THEN '1e-30'
+        ELSE cast(l_extendedprice AS string) END"""
+    amounts = load(spark, sf, "lineitem").select(F.expr(dirt).alias("amount"))
+    return _rules(amounts, TableSpec("amounts", (Column("amount", "decimal(10,2)"),)), "excess_scale")
+
+
 @registered
 def check_row_rules(spark, sf):
     """A rule across two dates of a row, and minimum values."""
@@ -328,6 +352,20 @@ def sample_orphans(spark, sf):
     return cascade.orphans_per_edge(_sampled(spark, sf), star_specs())
 
 
+@registered
+def sample_event_points(spark, sf):
+    """Three events of each customer of the sample: a table reached by a weak reference."""
+    events = TableSpec("events", tuple(Column(c) for c in load(spark, sf, "events").columns))
+    specs = tuple(
+        replace(s, foreign_keys=(*s.foreign_keys, ForeignKey("c_custkey", "events", "user_id", weak=True)))
+        if s.name == "customer"
+        else s
+        for s in star_specs()
+    )
+    tables = {t: load(spark, sf, t) for t in (*TABLES, "events")}
+    return cascade.cascade_sample(tables, (*specs, events), "orders", SAMPLE_SIZE, SEED, only=("events",))["events"]
+
+
 @registered
 def events_three_per_user(spark, sf):
     """At most three events per user, in text order of the value."""
@@ -370,10 +408,22 @@ def profile_lineitem(spark, sf):
     return profile.profile_columns(text_table(spark, sf, "lineitem"), "lineitem")
 
 
+@registered
+def profile_estimates(spark, sf):
+    """Whether the estimated number of distinct values is within a fifth of the exact one."""
+    exact = profile.profile_columns(text_table(spark, sf, "lineitem"), "lineitem")
+    estimate = profile.profile_columns(text_table(spark, sf, "lineitem"), "lineitem", approximate=True)
+    both = exact.join(estimate.select("column_name", F.col("n_distinct").alias("estimate")), "column_name")
+    return both.select(
+        "column_name", (F.abs(F.col("estimate") - F.col("n_distinct")) <= F.col("n_distinct") / 5).alias("is_close")
+    )
+
+
 @registered
 def profile_lineitem_approximate(spark, sf):
     """The single-pass profile; its distinct counts are estimates."""
-    return profile.profile_columns(text_table(spark, sf, "lineitem"), "lineitem", approximate=True)
+    found = profile.profile_columns(text_table(spark, sf, "lineitem"), "lineitem", approximate=True)
+    return found.drop("n_distinct")
 
 
 @registered
@@ -582,6 +632,110 @@ def mart_dim_customer(spark, sf):
     )
 
 
+def _as_marketplace(spark, sf) -> dict[str, DataFrame]:
+    """The star tables under the names the mart reads; events stand for payments, reviews and places."""
+    events = load(spark, sf, "events")
+    kinds = F.expr(
+        "CASE event_type WHEN 'click' THEN 'credit_card' WHEN 'view' THEN 'boleto' "
+        "WHEN 'purchase' THEN 'voucher' ELSE event_type END"
+    )
+    blank = {"order_approved_at": "o_orderpriority <> '5-LOW'"}
+    blank |= {"order_delivered_carrier_date": "o_orderstatus IN ('F', 'P')"}
+    blank |= {"order_delivered_customer_date": "o_orderstatus = 'F'"}
+    part = spoiled(load(spark, sf, "part"), "part")
+    return {
+        "orders": load(spark, sf, "orders").select(
+            F.col("o_orderkey").alias("order_id"),
+            F.col("o_custkey").alias("customer_id"),
+            F.col("o_orderstatus").alias("order_status"),
+            F.col("o_orderdate").alias("order_purchase_timestamp"),
+            *[F.when(F.expr(test), F.col("o_orderdate")).alias(c) for c, test in blank.items()],
+            F.expr("o_orderdate - INTERVAL 3 DAYS").alias("order_estimated_delivery_date"),
+        ),
+        "order_items": load(spark, sf, "lineitem").select(
+            F.col("l_orderkey").alias("order_id"),
+            F.col("l_linenumber").alias("order_item_id"),
+            F.col("l_partkey").alias("product_id"),
+            F.col("l_extendedprice").cast("decimal(10,2)").alias("price"),
+            F.col("l_quantity").cast("decimal(10,2)").alias("freight_value"),
+        ),
+        "order_payments": events.select(
+            F.col("user_id").alias("order_id"),
+            kinds.alias("payment_type"),
+            F.col("value").alias("payment_value"),
+            F.length("props").alias("payment_installments"),
+        ),
+        # A review belongs to two events, and so to two orders.
+        "order_reviews": events.select(
+            F.expr("event_id DIV 2").alias("review_id"),
+            F.col("user_id").alias("order_id"),
+            F.expr("event_id % 5 + 1").alias("review_score"),
+            F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("review_answer_timestamp"),
+        ),
+        "customers": load(spark, sf, "customer").select(
+            F.col("c_custkey").alias("customer_id"),
+            F.expr("c_custkey DIV 3").alias("customer_unique_id"),
+            F.expr("c_custkey % 100").alias("customer_zip_code_prefix"),
+            F.col("c_mktsegment").alias("customer_city"),
+            F.col("c_nationkey").alias("customer_state"),
+        ),
+        "products": part.select(
+            F.col("p_partkey").alias("product_id"),
+            F.expr("cast(cast(p_partkey % 40 AS int) AS string)").alias("product_category_name"),
+            F.col("p_size").alias("product_name_lenght"),
+            F.length("p_brand").alias("product_description_lenght"),
+            F.length("p_type").alias("product_photos_qty"),
+        ),
+        "product_category_translation": load(spark, sf, "nation").select(
+            F.col("n_nationkey").cast("string").alias("product_category_name"),
+            F.col("n_name").alias("product_category_name_english"),
+        ),
+        "sellers": load(spark, sf, "supplier").select(
+            F.col("s_suppkey").alias("seller_id"), F.col("s_nationkey").alias("seller_zip_code_prefix")
+        ),
+        "geolocation": events.select(
+            F.col("user_id").alias("geolocation_zip_code_prefix"),
+            F.col("value").alias("geolocation_lat"),
+            F.hour("ts").alias("geolocation_lng"),
+        ),
+    }
+
+
+@registered
+def mart_orders(spark, sf):
+    """The order fact: stage, delay, totals, payments and the latest review score of every order."""
+    return mart.build_mart(_as_marketplace(spark, sf))["fact_orders"]
+
+
+@registered
+def mart_order_items(spark, sf):
+    """The item fact with the order's customer, day, stage and status."""
+    return mart.build_mart(_as_marketplace(spark, sf))["fact_order_items"]
+
+
+@registered
+def mart_reviews(spark, sf):
+    """One row per review id, the one answered last."""
+    return mart.build_mart(_as_marketplace(spark, sf))["dim_review"]
+
+
+@registered
+def mart_people(spark, sf):
+    """One row per person with lifetime value, latest address and the centre of its area."""
+    return mart.build_mart(_as_marketplace(spark, sf))["dim_customer"]
+
+
+@registered
+def mart_products(spark, sf):
+    """Products with translated category and flags for empty listing fields."""
+    return mart.build_mart(_as_marketplace(spark, sf))["dim_product"]
+
+
+@registered
+def mart_sellers(spark, sf):
+    return mart.build_mart(_as_marketplace(spark, sf))["dim_seller"]
+
+
 @registered
 def mart_dim_date(spark, sf):
     return business.calendar(load(spark, sf, "orders"), "o_orderdate")
@@ -602,6 +756,17 @@ def file_manifest(spark, sf):
     return _manifest(spark, sf).orderBy("file_name")
 
 
+@registered
+def file_manifest_totals(spark, sf):
+    """Rows by table from the manifest, and whether each of its files has bytes and a digest of its own."""
+    entries = _manifest(spark, sf).withColumn("table_file", F.substring_index("file_name", "/", 1))
+    return entries.groupBy("table_file").agg(
+        F.sum("rows").alias("n_rows"),
+        (F.min("bytes") > 0).alias("has_bytes"),
+        (F.count_distinct("sha256") == F.count(F.lit(1))).alias("has_digests"),
+    )
+
+
 @registered
 def manifest_comparison(spark, sf):
     """The files against a written manifest with one altered, one lost and one added entry."""
@@ -629,18 +794,13 @@ def csv_records_per_file(spark, sf):
 @registered
 def table_file_completeness(spark, sf):
     """Expected files against the files the rows of the tables come from, with their rows."""
-    # A table may be one file or a folder of parts; either way the name is the one that ends in .parquet first.
-    table_file = F.regexp_extract("_metadata.file_path", r"/([^/]+\.parquet)(/|$)", 1)
-    seen = reduce(
-        DataFrame.unionByName,
-        [load(spark, sf, t).select(table_file.alias("file_name")) for t in STAR_FILES],
-    )
-    counted = keys.rows_per_key(seen, ["file_name"])
-    expected = spark.createDataFrame(
-        [(f"{t}.parquet",) for t in (*STAR_FILES, "geolocation")], "file_name string"
-    )
-    return expected.join(counted, "file_name", "left").select(
-        "file_name",
-        F.coalesce("n", F.lit(0)).alias("n_rows"),
-        F.when(F.col("n").isNull(), "missing").otherwise("present").alias("status"),
-    )
+    expected = [f"{t}.parquet" for t in (*STAR_FILES, "geolocation")]
+    lost = files.missing_files(spark, sf, expected)
+    present = sorted(set(expected) - {r.file_name for r in lost.collect()})
+    counted = [
+        spark.read.parquet(f"{sf}/{name}").agg(F.count(F.lit(1)).alias("n_rows")).withColumn("file_name", F.lit(name))
+        for name in present
+    ]
+    there = reduce(DataFrame.unionByName, counted).withColumn("status", F.lit("present"))
+    gone = lost.withColumns({"n_rows": F.lit(0).cast("bigint"), "status": F.lit("missing")})
+    return there.unionByName(gone).select("file_name", "n_rows", "status")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -44,8 +46,32 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_working: ContextVar[str | None] = ContextVar("working", default=None)
+
+
 def new_run_folder(spark: SparkSession, purpose: str) -> str:
-    return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+    return f"{_working.get() or shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def working_folder(spark: SparkSession):
+    """Everything that is written to the shared folder within goes when the block ends.
+
+    What the block returns must not be read afterwards from there, so it suits work
+    that ends with a written result.
+    """
+    path = new_run_folder(spark, "work")
+    token = _working.set(path)
+    try:
+        yield path
+    finally:
+        _working.reset(token)
+        remove_folder(spark, path)
 
 
 def cut_lineage(df):

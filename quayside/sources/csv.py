@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayside.functions.text import NULL_TOKENS, null_tokens
+from quayside.functions.text import NULL_TOKENS, name, null_tokens
 from quayside.spec import TableSpec
 
 CORRUPT = "_corrupt_record"
@@ -38,18 +38,48 @@ def read_by_position(spark: SparkSession, path: str, spec: TableSpec, keep_corru
 
 
 def read_by_name(
-    spark: SparkSession, path: str, spec: TableSpec, na_tokens: tuple[str, ...] = NULL_TOKENS
+    spark: SparkSession,
+    path: str,
+    spec: TableSpec,
+    na_tokens: tuple[str, ...] = NULL_TOKENS,
+    keep_corrupt: bool = False,
 ) -> DataFrame:
     """Bind columns by header name and turn the null tokens into null.
 
     Only header lines are read to learn the names.  Files of one directory whose
-    headers differ are refused by Spark (``enforceSchema`` off).
+    headers differ are refused by Spark (``enforceSchema`` off).  ``keep_corrupt`` is
+    that of :func:`read_by_position`.
     """
     header = _reader(spark, spec.multiline).option("inferSchema", False).csv(path).columns
     names = [c.lstrip("﻿") for c in header]
     schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
-    df = _reader(spark, spec.multiline).option("enforceSchema", False).schema(schema).csv(path)
-    return null_tokens(df.toDF(*names), na_tokens)
+    reader = _reader(spark, spec.multiline).option("enforceSchema", False)
+    if keep_corrupt:
+        schema = schema.add(CORRUPT, T.StringType())
+        names.append(CORRUPT)
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False)
+    return null_tokens(reader.schema(schema).csv(path).toDF(*names), na_tokens, keep=(CORRUPT,))
+
+
+def corrupt_records():
+    """How many records have too few or too many fields, as an aggregate."""
+    return F.count_if(F.col(CORRUPT).isNotNull())
+
+
+def explain_corrupt(spark: SparkSession, path: str, spec: TableSpec, by_name: bool = False) -> str:
+    """File by file: how many records do not fit, and the first line of one of them."""
+    read = read_by_name if by_name else read_by_position
+    source = read(spark, path, spec, keep_corrupt=True)
+    # The whole record goes along because Spark refuses to read the corrupt column alone.
+    record = F.struct(CORRUPT, *[F.col(name(c)) for c in source.columns if c != CORRUPT])
+    bad = (
+        source.where(F.col(CORRUPT).isNotNull())
+        .groupBy(F.col("_metadata.file_name").alias("file_name"))
+        .agg(F.count(F.lit(1)).alias("n"), F.min(record)[CORRUPT].alias("record"))
+        .orderBy("file_name")
+        .collect()
+    )
+    return "; ".join(f"{r.file_name}: {r.n:,} bad record(s), such as {r.record.splitlines()[0]!r}" for r in bad)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
