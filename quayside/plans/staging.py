@@ -45,7 +45,7 @@ def read_text_tables(
         )
         broken = [name for name, w in written.items() if w.measures["corrupt"]]
     else:
-        broken = [name for name, df in tables.items() if not df.where(f"{csv.CORRUPT} IS NOT NULL").isEmpty()]
+        broken = [name for name, df in tables.items() if df.where(f"{csv.CORRUPT} IS NOT NULL").take(1)]
     if broken:
         raise BrokenRecords(
             "; ".join(csv.explain_corrupt(spark, paths[s.name], s, by_name=True) for s in specs if s.name in broken)

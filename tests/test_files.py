@@ -116,15 +116,79 @@ def test_rows_in_must_equal_rows_stored(spark, tmp_path):
     assert publish.read_pointer(spark, root)["run_id"] is None
 
 
-def test_hashes_in_the_jvm_and_by_blocks_agree(spark, tmp_path):
-    content = {"a.bin": b"x" * 10, "b.bin": bytes(range(256)) * 50_000, "c.bin": b""}
-    for name, data in content.items():
+CONTENT = {"a b.bin": b"x" * 10, "50%25 ü.bin": bytes(range(256)) * 50_000, "c.bin": b"", "d.zst": b"plain"}
+
+
+@pytest.mark.parametrize("prefix", ["", "file:", "file://"])
+def test_files_of_any_size_and_name_are_hashed(spark, tmp_path, prefix):
+    for name, data in CONTENT.items():
         put(tmp_path, name, data)
-    expected = {n: (len(d), hashlib.sha256(d).hexdigest()) for n, d in content.items()}
-    for limit in (0, 100, 10**9):
-        paths = [str(tmp_path / n) for n in content]
-        found = files.hash_files(spark, paths, whole_file_bytes=limit).collect()
-        assert {r.file_name: (r.bytes, r.sha256) for r in found} == expected
+    expected = {n: (len(d), hashlib.sha256(d).hexdigest()) for n, d in CONTENT.items()}
+    paths = [f"{prefix}{tmp_path / n}" for n in CONTENT]
+    found = files.hash_files(spark, paths).collect()
+    assert {r.file_name: (r.bytes, r.sha256) for r in found} == expected
+
+
+def test_parts_of_folders_are_listed_even_if_empty_but_not_hidden_ones(spark, tmp_path):
+    folder = tmp_path / "t a.csv"
+    (folder / "day=1").mkdir(parents=True)
+    for name, data in {"p1": "x", "p2": "", "_SUCCESS": "", ".p1.crc": "y", "day=1/p3": "zz"}.items():
+        put(folder, name, data)
+    found = files.hash_files(spark, [str(folder), str(tmp_path / "none")]).collect()
+    assert {(r.path.removeprefix(str(folder)), r.bytes) for r in found} == {("/p1", 1), ("/p2", 0), ("/day=1/p3", 2)}
+
+
+def test_paths_are_taken_apart_by_scheme():
+    assert files.split_path("/a b%/c") == ("file:///", "/a b%/c")
+    assert files.split_path("file:///a:b/c") == ("file:///", "/a:b/c")
+    assert files.split_path("s3a://bucket/a b%20/c") == ("s3://bucket/", "a b%20/c")
+    assert files.split_path("hdfs://host:8020/x/y") == ("hdfs://host:8020/", "x/y")
+
+
+def test_a_scheme_that_cannot_be_read_is_refused_by_name(spark):
+    with pytest.raises(ValueError, match="scheme dbfs"):
+        files.hash_files(spark, ["/tmp", "dbfs:/x/y"])
+
+
+def test_a_part_that_was_lost_or_emptied_is_seen(spark, tmp_path):
+    (tmp_path / "t.csv").mkdir()
+    for name in ("p 1", "p2", "p3"):
+        put(tmp_path / "t.csv", name, "a,b\n1,x\n")
+    path = str(tmp_path / "manifest")
+    manifest.write_manifest(manifest.csv_manifest(spark, str(tmp_path), (spec("t"),)), path, RUN_TS, 1)
+    put(tmp_path / "t.csv", "p2", "")
+    (tmp_path / "t.csv" / "p3").unlink()
+    found = manifest.check_manifest(spark, path, str(tmp_path), (spec("t"),)).collect()
+    assert {r.file_name: r.status for r in found} == {"t.csv/p 1": "ok", "t.csv/p2": "changed", "t.csv/p3": "missing"}
+
+
+def test_all_broken_files_are_named(spark, tmp_path):
+    (tmp_path / "in" / "t.csv").mkdir(parents=True)
+    for i in range(25):
+        put(tmp_path / "in" / "t.csv", f"p{i:02d}", f"a,b\n{i},x,EXTRA\n")
+    with pytest.raises(landing.LandingFailed) as failed:
+        landing.land_raw(spark, (spec(),), str(tmp_path / "in"), str(tmp_path / "raw"), "r1", RUN_TS)
+    assert all(f"p{i:02d}: 1 bad record" in str(failed.value) for i in range(25))
+    assert files.names_in(spark, str(tmp_path / "raw")) == []
+
+
+def test_superseded_versions_are_removed_on_demand(spark, tmp_path):
+    root = str(tmp_path / "out")
+    for run in ("r1", "r2"):
+        publish.publish(spark, {"t": spark.range(3)}, root, run)
+    assert publish.remove_superseded(spark, root) == ["version=r1"]
+    assert publish.remove_superseded(spark, root) == []
+    assert publish.read_published(spark, root, "t").count() == 3
+
+
+def test_a_failed_publication_leaves_no_version_behind(spark, tmp_path):
+    root = str(tmp_path / "out")
+    publish.publish(spark, {"t": spark.range(3)}, root, "r1")
+    broken = spark.range(3).selectExpr("raise_error('no') AS x")
+    with pytest.raises(Exception, match="no"):
+        publish.publish(spark, {"t": broken}, root, "r2")
+    assert not [n for n in files.names_in(spark, root) if n == "version=r2"]
+    assert publish.read_published(spark, root, "t").count() == 3
 
 
 def test_manifest_tells_changed_missing_and_unlisted_files(spark, tmp_path):

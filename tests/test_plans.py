@@ -5,7 +5,10 @@ import re
 import pytest
 
 from quayside.operators import business, keys, ranked
+from quayside.plans import cascade
 from quayside.queries import REGISTRY
+from quayside.session import cut_lineage
+from quayside.spec import Column, ForeignKey, TableSpec
 
 SF = "/root/testdata/sf0.001"
 
@@ -32,7 +35,7 @@ def read_columns(text: str, table: str) -> list[set[str]]:
     ]
 
 
-@pytest.mark.parametrize("name", sorted(set(REGISTRY) - {"file_manifest", "manifest_comparison"}))
+@pytest.mark.parametrize("name", sorted(set(REGISTRY) - {"file_manifest", "file_manifest_totals", "manifest_comparison"}))
 def test_no_query_multiplies_rows_or_leaves_the_jvm(unbroadcast, name):
     text = plan(REGISTRY[name](unbroadcast, SF))
     for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas", "MapInArrow"):
@@ -122,3 +125,32 @@ def test_hot_groups_reach_the_shuffle_as_a_few_rows(spark, tmp_path):
     kept = ranked.top_per_group(df, ["k"], [df.payload], 2).where("k = 1").collect()
     smallest = sorted(r.payload for r in df.where("k = 1").select("payload").collect())[:2]
     assert sorted(r.payload for r in kept) == smallest
+
+
+def test_points_of_a_hot_area_are_cut_before_anything_is_shuffled(unbroadcast, tmp_path):
+    spark = unbroadcast
+    specs = (
+        TableSpec("orders", (Column("o"), Column("area")), key=("o",),
+                  foreign_keys=(ForeignKey("area", "places", "k", weak=True),)),
+        TableSpec("places", (Column("k"), Column("payload"))),
+    )
+    orders = spark.range(10).selectExpr("cast(id AS string) AS o", "cast(id AS string) AS area")
+    places = hot(spark, tmp_path, 60_000).selectExpr("cast(k AS string) AS k", "payload")
+    sample = cascade.cascade_sample({"orders": orders, "places": places}, specs, "orders", 10)["places"]
+    lines = plan(sample).splitlines()
+    scan = max(i for i, line in enumerate(lines) if "payload" in line and "FileScan" in line)
+    shuffle = max(i for i, line in enumerate(lines[:scan]) if "Exchange hashpartitioning" in line)
+    assert any("WindowGroupLimit" in line and "Partial" in line for line in lines[shuffle:scan])
+    wanted = places.where("k IN ('1', '2', '4')").groupBy("k").count().collect()
+    kept = sample.groupBy("k").count().collect()
+    assert {r.k: r["count"] for r in kept if r.k in ("1", "2", "4")} == {r.k: min(3, r["count"]) for r in wanted}
+
+
+@pytest.mark.parametrize("value", ["uuid()", "'same'"])
+def test_examples_move_one_record_per_task(spark, value):
+    found = spark.range(0, 50_000, 1, 8).selectExpr("'t' AS table_name", "'r' AS rule", "'c' AS columns", f"{value} AS value")
+    found = cut_lineage(found)
+    shown = ranked.smallest_values(found, ["table_name", "rule", "columns"], "value", 3)
+    assert shown.count() == (3 if value == "uuid()" else 1)
+    text = plan(found.groupBy("table_name", "rule", "columns").agg({"value": "min"}))
+    assert "partial_min" in text

@@ -62,9 +62,9 @@ def test_decimal(spark, value, rule):
 @pytest.mark.parametrize(
     "value, ok",
     [
-        ("2017-10-02 10:56:33", True), ("2017-1-2 3:4:5", True), (None, True),
-        ("2017-10-02", False), ("2017-10-02T10:56:33", False), ("2017-02-30 00:00:00", False),
-        ("2017-10-02 10:56:33.5", False), ("2018-11-04 00:30:00", True), ("02/10/2017 10:00:00", False),
+        ("2021-06-07 11:22:33", True), ("2017-1-2 3:4:5", True), (None, True),
+        ("2017-10-02", False), ("2021-06-07T11:22:33", False), ("2017-02-30 00:00:00", False),
+        ("2021-06-07 11:22:33.5", False), ("2018-11-04 00:30:00", True), ("02/10/2017 10:00:00", False),
     ],
 )
 @pytest.mark.parametrize("zone", ["UTC", "America/Sao_Paulo"])
@@ -124,6 +124,17 @@ def test_missing_column_stops_the_other_checks(spark):
     assert [(r.rule, r.columns, r.n_violations) for r in report] == [("columns_present", "b", 1)]
 
 
+def test_decimal_places_count_however_a_number_is_written(spark):
+    spec = TableSpec("t", (Column("a", "decimal(10,2)"),))
+    cases = {
+        "12345e-4": True, "1.2345e0": True, "1e-30": True, "1.234567890123456789012": True, "0.125": True,
+        "1200e-4": False, "1.5e1": False, "1.500": False, "0e-9": False, "7": False, "1e5": False, "x": False,
+    }
+    df = spark.createDataFrame([(k,) for k in cases], "a string")
+    found = checks.violations(df, spec, {}, {("excess_scale", "a")})
+    assert {r.value for r in found.collect()} == {k for k, bad in cases.items() if bad}
+
+
 def test_examples_are_three_smallest_distinct_values(spark):
     spec = TableSpec("t", (Column("a", width=1), Column("b", "int")))
     rows = [("zz", "x"), ("zz", "x"), ("yy", "1"), ("xx", "y"), ("ww", None), ("q", "1")]

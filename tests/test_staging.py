@@ -5,11 +5,12 @@ from decimal import Decimal
 import pytest
 
 import market
+from quayside import session
 from quayside.marketplace import marketplace_specs
 from quayside.plans import mart, profile, publish, staging, validation
 from quayside.session import new_run_folder
 from quayside.sources import csv
-from quayside.spec import by_name, load_order
+from quayside.spec import Column, TableSpec, by_name, load_order
 
 SPECS = marketplace_specs()
 STAGED = tuple(s for s in SPECS if s.staged)
@@ -42,7 +43,8 @@ def test_clean_files_are_published_with_their_types_and_again_the_same(spark, so
     first = {s.name: publish.read_published(spark, root, s.name) for s in STAGED}
     rows = {n: sorted(map(tuple, df.collect()), key=repr) for n, df in first.items()}
     for s in STAGED:
-        assert first[s.name].schema == s.staged_schema()
+        assert [f.dataType.simpleString() for f in first[s.name].schema] == [c.type for c in s.columns]
+        assert first[s.name].columns == s.column_names
     stage(spark, source, root, "r2")
     assert publish.read_pointer(spark, root)["run_id"] == "r2"
     for s in STAGED:
@@ -124,7 +126,7 @@ def test_a_missing_column_is_one_problem_for_its_table(spark, tmp_path):
 
 def test_delivery_before_purchase_is_refused(spark, tmp_path):
     data = market.tables(20)
-    data["orders"][1][6] = "2017-10-01 00:00:00"
+    data["orders"][1][6] = "2020-03-01 00:00:00"
     source = market.write(tmp_path / "in", data)
     with pytest.raises(validation.ValidationFailed, match="delivered_after_purchase"):
         stage(spark, source, str(tmp_path / "out"), "r1")
@@ -159,6 +161,10 @@ def test_mart(spark, mart_tables):
     assert {r.stage for r in orders.select("stage").distinct().collect()} == {"delivered", "posted"}
     assert orders.where("stage = 'posted' and days_late is not null").count() == 0
     assert orders.where("methods = 'credit_card+voucher'").count() == 24
+    assert orders.where("review_score is not null").count() == 120
+    scores = {r.order_id: r.review_score for r in orders.collect()}
+    assert all(scores[r.order_id] == r.review_score for r in mart_tables["order_reviews"].collect())
+    assert built["dim_review"].count() == 60
     people = built["dim_customer"]
     assert people.count() == 90
     assert people.where("is_repeat").count() == 30
@@ -191,6 +197,61 @@ def test_null_patterns_and_cardinality(spark, mart_tables):
     assert (items.n_parents, items.childless_parents, items.max_children) == (120, 30, 3)
 
 
+def test_profile_of_an_empty_table(spark):
+    empty = spark.createDataFrame([], "a string, b int")
+    for approximate in (False, True):
+        rows = profile.profile_columns(empty, "t", approximate).collect()
+        assert [(r.column_name, r.n_rows, r.n_nulls, r.null_percent, r.n_distinct) for r in rows] == [
+            ("a", 0, 0, None, 0), ("b", 0, 0, None, 0)
+        ]
+        assert {r.is_key for r in rows} == ({None} if approximate else {False})
+
+
+def test_both_profiles_judge_types_alike(spark):
+    df = spark.sql("""
+        SELECT * FROM VALUES
+          (1, 1.0D, 1.50BD, timestamp_ntz'2024-01-01 00:00:00', '7', 'x', '', ' 5', 'é', true),
+          (2, double('NaN'), 2.00BD, timestamp_ntz'2024-01-01 00:00:00.5', '-1', '1x', '2', '6', null, false)
+        AS t(i, d, m, t, n, s, e, w, u, b)""")
+    exact, sketch = (
+        {r.column_name: (r.likely_type, r.min_length, r.max_length, r.example) for r in
+         profile.profile_columns(df, "t", approximate).collect()}
+        for approximate in (False, True)
+    )
+    assert exact == sketch
+
+
+@pytest.mark.parametrize("keep", [True, False])
+@pytest.mark.parametrize("row", ["2,y,EXTRA", "3"])
+@pytest.mark.parametrize("multiline", [True, False])
+def test_rows_of_the_wrong_length_stop_staging(spark, tmp_path, keep, row, multiline):
+    (tmp_path / "t.csv").write_text(f"a,b\n1,x\n{row}\n4,z\n")
+    spec = TableSpec("t", (Column("a", "int"), Column("b")), file_name="t.csv", multiline=multiline)
+    with pytest.raises(staging.BrokenRecords, match=r"t\.csv: 1 bad record"):
+        staging.read_text_tables(spark, str(tmp_path), (spec,), keep=keep)
+
+
+def test_staging_leaves_nothing_in_the_shared_folder(spark, tmp_path, monkeypatch):
+    (tmp_path / "t.csv").write_text("a,b\n1,x\n")
+    (tmp_path / "bad.csv").write_text("a,b\n1,x\ny\n")
+    shared = tmp_path / "shared"
+    monkeypatch.setattr(session, "shared_folder", lambda spark: str(shared))
+    root = str(tmp_path / "out")
+
+    def run(file_name, run_id, kind="int"):
+        spec = TableSpec("t", (Column("a", kind), Column("b")), file_name=file_name)
+        return staging.stage_files(spark, str(tmp_path), (spec,), root, run_id)
+
+    assert run("t.csv", "r1").count() > 0
+    assert not list(shared.glob("*"))
+    with pytest.raises(staging.BrokenRecords):
+        run("bad.csv", "r2")
+    with pytest.raises(validation.ValidationFailed):
+        run("t.csv", "r3", kind="timestamp_ntz")
+    assert not list(shared.glob("*"))
+    assert publish.read_pointer(spark, root)["run_id"] == "r1"
+
+
 def test_profile_of_text(spark, source):
     text = csv.read_by_position(spark, f"{source}/customers.csv", by_name(SPECS)["customers"])
     for approximate in (False, True):
