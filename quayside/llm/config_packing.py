@@ -9,7 +9,7 @@ alone, which has no more entries than the capacity, so the plan is made from it:
    the least sum.  It is solved approximately by multiplicative weights: lengths that are
    covered less weigh more, a knapsack by dynamic programming finds the configuration
    worth most, and an amount of it is added.
-2. Amounts are rounded to whole sequences, never more than the pieces that exist; what is
+2. Amounts are rounded down to whole sequences, never more than the pieces that exist; what is
    left over is packed best-fit decreasing, whole groups of equal sequences at a time.
 
 The plan's size depends on the capacity, not on the number of documents.  Spark then ranks
@@ -37,7 +37,7 @@ CAPACITY = 2048
 END_ID = 0
 ROUNDS = 200  # of the multiplicative weights
 STEP = 0.5  # share of the scarcest length that one round covers
-LEARNING = 2.0  # how fast a covered length loses weight
+LEARNING = 0.3  # how fast a covered length loses weight
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 # Times each length occurs in a sequence, and how many such sequences there are.
@@ -126,7 +126,7 @@ def rounded(amounts: dict[Configuration, float], left: dict[int, int]) -> Plan:
     """Whole numbers of sequences, taken from ``left``; the largest amounts first."""
     plan = []
     for configuration, amount in sorted(amounts.items(), key=lambda x: (-x[1], x[0])):
-        copies = min(max(1, round(amount)), *(left[n] // t for n, t in configuration))
+        copies = min(int(amount + 1e-9), *(left[n] // t for n, t in configuration))
         if copies:
             plan.append((configuration, copies))
             for n, t in configuration:
