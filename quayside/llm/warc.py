@@ -44,7 +44,7 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 
 _ID = "urn:x-page:"
 COLLECTION = "archive string, records bigint, archive_bytes bigint"
-RECORDS = "archive string, page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint"
+RECORDS = "archive string, damage string, page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint"
 
 
 class Record(NamedTuple):
@@ -62,8 +62,8 @@ def parse_record(data: bytes) -> Record:
     head, _, rest = data.partition(b"\r\n\r\n")
     lines = head.decode().split("\r\n")
     headers = dict(line.split(": ", 1) for line in lines[1:])
-    size = int(headers["Content-Length"])
-    if lines[0] != "WARC/1.1" or rest[size:] != b"\r\n\r\n":
+    size = int(headers.get("Content-Length", -1))
+    if lines[0] != "WARC/1.1" or size < 0 or rest[size:] != b"\r\n\r\n":
         raise ValueError("not a whole WARC record")
     return Record(headers, rest[:size])
 
@@ -184,39 +184,48 @@ def write_archives(pages: DataFrame, folder: str, archive_size: int = ARCHIVE_BY
     return cut_lineage(joined.select("page_id", "url", "html", "digest", "refers_to").mapInArrow(write, COLLECTION))
 
 
-def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _page_rows(data: bytes) -> Iterator[dict]:
     def number(uri: str | None) -> int | None:
         text = (uri or "").strip("<>").removeprefix(_ID)
         return int(text) if text else None
 
+    for record in read_archive(data):
+        kind = record.headers["WARC-Type"]
+        if kind == "warcinfo":
+            continue
+        http, _, payload = record.block.partition(b"\r\n\r\n")
+        length = re.search(rb"Content-Length: (\d+)", http)
+        size = int(length[1]) if length else -1
+        digest = record.headers["WARC-Payload-Digest"].removeprefix("sha256:")
+        if size < 0 or kind == "response" and (len(payload), hashlib.sha256(payload).hexdigest()) != (size, digest):
+            raise ValueError("a record does not hold the payload it names")
+        yield {
+            "page_id": number(record.headers["WARC-Record-ID"]),
+            "payload_bytes": size,
+            "payload_digest": digest,
+            "record_type": kind,
+            "refers_to": number(record.headers.get("WARC-Refers-To")),
+        }
+
+
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    import zstandard
+
     for batch in batches:
         for path, content in zip(batch.column("path").to_pylist(), batch.column("content")):
-            found = []
-            for record in read_archive(content.as_py()):
-                kind = record.headers["WARC-Type"]
-                if kind == "warcinfo":
-                    continue
-                http, _, payload = record.block.partition(b"\r\n\r\n")
-                size = int(re.search(rb"Content-Length: (\d+)", http)[1])
-                digest = record.headers["WARC-Payload-Digest"].removeprefix("sha256:")
-                if kind == "response" and (len(payload), hashlib.sha256(payload).hexdigest()) != (size, digest):
-                    raise ValueError(f"a record of {path} does not hold the payload it names")
-                found.append(
-                    {
-                        "archive": path.rsplit("/", 1)[-1],
-                        "page_id": number(record.headers["WARC-Record-ID"]),
-                        "payload_bytes": size,
-                        "payload_digest": digest,
-                        "record_type": kind,
-                        "refers_to": number(record.headers.get("WARC-Refers-To")),
-                    }
-                )
+            archive = path.rsplit("/", 1)[-1]
+            try:
+                found = [{"archive": archive, **row} for row in _page_rows(content.as_py())]
+            except (ValueError, KeyError, struct.error, zstandard.ZstdError) as problem:
+                # The file may be what a lost task left half written.
+                found = [{"archive": archive, "damage": str(problem)}]
             yield pa.RecordBatch.from_pylist(found, _RECORDS)
 
 
 _RECORDS = pa.schema(
     [
         ("archive", pa.string()),
+        ("damage", pa.string()),
         ("page_id", pa.int64()),
         ("payload_bytes", pa.int64()),
         ("payload_digest", pa.string()),
@@ -230,7 +239,8 @@ def read_archives(spark: SparkSession, folder: str, collection: DataFrame) -> Da
     """One row for each page record of the archives that the collection names.
 
     Payloads of responses are read whole and their digest is checked; a revisit's size is
-    that of its HTTP header, its digest that of its record.
+    that of its HTTP header, its digest that of its record.  A damaged archive stops the
+    job if the collection names it; other files in the folder do not matter.
     """
     files = (
         spark.read.format("binaryFile")
@@ -240,4 +250,8 @@ def read_archives(spark: SparkSession, folder: str, collection: DataFrame) -> Da
         .load(folder)
     )
     records = files.select("path", "content").mapInArrow(_read, RECORDS)
-    return records.join(collection.select("archive"), "archive", "left_semi")
+    named = records.join(collection.select("archive", "records"), "archive")
+    # The number of records is looked at so that the test comes after the join.
+    stop = F.raise_error(F.concat("archive", F.lit(": "), "damage")).cast("boolean")
+    sound = F.when(F.col("damage").isNotNull() & (F.col("records") >= 0), stop).otherwise(F.lit(True))
+    return named.where(sound).drop("damage", "records")
