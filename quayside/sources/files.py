@@ -43,7 +43,8 @@ def split_path(path: str) -> tuple[str, str]:
     return f"{known}://{authority}/", inside
 
 
-def _open(path: str):
+def open_path(path: str):
+    """A path's file system, for use within tasks, and the path within it."""
     from pyarrow import fs
 
     root, inside = split_path(path)
@@ -56,7 +57,7 @@ def _list(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     for batch in batches:
         for path in batch["path"]:
-            filesystem, inside = _open(path)
+            filesystem, inside = open_path(path)
             info = filesystem.get_file_info(inside)
             found = [(path, info)] if info.is_file else []
             if info.type == fs.FileType.Directory:
@@ -88,7 +89,7 @@ def _hash(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         digests = []
         for path in batch["path"]:
-            filesystem, inside = _open(path)
+            filesystem, inside = open_path(path)
             digest = hashlib.sha256()
             with filesystem.open_input_stream(inside, compression=None) as stream:
                 while block := stream.read(BLOCK_BYTES):
