@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.session import cut_lineage
+from quayside.sources.files import open_path
 
 ARCHIVE_BYTES = 16 << 20
 REVISIT_BYTES = 100
@@ -131,9 +132,7 @@ def read_archive(data: bytes) -> Iterator[Record]:
 
 
 def _put(uri: str, data: bytes) -> None:
-    from pyarrow import fs
-
-    filesystem, path = fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", uri))
+    filesystem, path = open_path(uri)
     filesystem.create_dir(path.rsplit("/", 1)[0], recursive=True)
     with filesystem.open_output_stream(path, compression=None) as stream:
         stream.write(data)
