@@ -165,6 +165,28 @@ ORACLE_SQL: dict[str, str] = {
                CASE WHEN page_id != first THEN first END AS refers_to
         FROM firsts
     """,
+    "op6_grid_order_join": """
+        WITH RECURSIVE vectors AS (
+            SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+        ), usable AS (
+            SELECT * FROM vectors
+            WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                  AND len(list_filter(e, lambda x: x <> 0)) > 0
+        ), links AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+            ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.9
+        ), reached(a, b) AS (
+            SELECT vec_id, vec_id FROM vectors
+            UNION
+            SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b
+        ), counted AS (
+            SELECT a, count(*) AS n FROM links GROUP BY a
+        )
+        SELECT vec_id, coalesce(max(n), 0) AS n_links, min(reached.b) AS component_id,
+               vec_id = min(reached.b) AS kept
+        FROM vectors JOIN reached ON reached.a = vec_id LEFT JOIN counted ON counted.a = vec_id
+        GROUP BY vec_id
+    """,
     "op9_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept,
