@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.session import cut_lineage
+from quayside.session import cut_lineage, new_run_folder, working_folder
 
 
 def _mark(edges: DataFrame):
@@ -23,6 +23,18 @@ def components(links: DataFrame) -> DataFrame:
     joined, so that adaptive execution can split the links of a node with many.
     Links of a node with itself and nulls are left out; repeated links do no harm.
     """
+    spark = links.sparkSession
+    path = new_run_folder(spark, "components")
+    with working_folder(spark):  # what the rounds have written is of no use afterwards
+        edges = _stars(links)
+        members = edges.select(F.col("u").alias("node"), F.col("v").alias("component_id"))
+        centres = edges.select(F.col("v").alias("node"), F.col("v").alias("component_id")).distinct()
+        members.unionByName(centres).write.parquet(path)
+    return spark.read.schema("node bigint, component_id bigint").parquet(path)
+
+
+def _stars(links: DataFrame) -> DataFrame:
+    """(u, v) of every node u that is not the smallest of its component, and that smallest v."""
     edges = cut_lineage(
         links.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     )
@@ -43,5 +55,4 @@ def components(links: DataFrame) -> DataFrame:
         before, mark = mark, _mark(edges)
         if mark == before:
             break
-    nodes = edges.select(F.col("u").alias("node"), F.col("v").alias("component_id"))
-    return nodes.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component_id")).distinct())
+    return edges
