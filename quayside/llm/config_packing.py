@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quayside.llm import tokens
+from quayside.llm.batches import bounded
 from quayside.session import cut_lineage
 
 CAPACITY = 2048
@@ -69,7 +70,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, toke
             )
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(cut, PIECES)
+    return bounded(rows).mapInArrow(cut, PIECES)
 
 
 def knapsack(lengths: np.ndarray, worth: np.ndarray, most: np.ndarray, capacity: int) -> Configuration:

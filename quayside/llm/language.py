@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quayside.llm.batches import bounded
+
 UNDETERMINED = "und"
 WINDOW = 128
 WIDTHS = (2, 3, 4)
@@ -261,7 +263,7 @@ def predict(docs: DataFrame, net: Network) -> DataFrame:
             )
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(answer, PREDICTED)
+    return bounded(rows).mapInArrow(answer, PREDICTED)
 
 
 def keep_identified(docs: DataFrame, net: Network) -> DataFrame:
@@ -275,4 +277,4 @@ def keep_identified(docs: DataFrame, net: Network) -> DataFrame:
             answers = predict_texts(predictor, batch.column(columns.index("text")).to_pylist())
             yield batch.filter(pa.array([a[0] != UNDETERMINED for a in answers], pa.bool_()))
 
-    return docs.mapInArrow(answer, schema)
+    return bounded(docs).mapInArrow(answer, schema)

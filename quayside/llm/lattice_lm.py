@@ -34,6 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quayside.llm.batches import bounded
 from quayside.session import cut_lineage
 
 VOCABULARY = "piece_bpe_32k.model"
@@ -109,7 +110,7 @@ def log_sum(values: list[float]) -> float:
 
 
 def _text_rows(docs: DataFrame, train: Column) -> DataFrame:
-    return docs.select(
+    return bounded(docs).select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.col("text").cast("string").alias("text"),
         F.coalesce(train, F.lit(False)).alias("train"),

@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quayside.llm.batches import bounded
 from quayside.session import cut_lineage
 
 WINNERS = 5  # layouts tried per host; a page with another one uses its own container
@@ -258,7 +259,7 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every page."""
-    rows = pages.select(
+    rows = bounded(pages).select(
         F.col("page_id").cast("bigint").alias("page_id"),
         F.col("url").cast("string").alias("url"),
         F.col("html").cast("string").alias("html"),

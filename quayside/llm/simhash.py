@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quayside.llm.batches import bounded
 from quayside.llm.components import components
 from quayside.session import cut_lineage
 
@@ -75,7 +76,7 @@ def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id and print (the 64 bits as a signed number) of every whole text."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(_prints, PRINTS)
+    return bounded(rows).mapInArrow(_prints, PRINTS)
 
 
 def _masks(bits: int, offset: int) -> list[int]:

@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.llm import tokens
+from quayside.llm.batches import bounded
 
 CAPACITY = 2048
 END_ID = 49407  # the end-of-text id of the default vocabulary
@@ -173,7 +174,7 @@ def packed(
             yield from flush()
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(pack, PACKED_DDL)
+    return bounded(rows).mapInArrow(pack, PACKED_DDL)
 
 
 def write_packed(docs: DataFrame, path: str, **options) -> None:

@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quayside.llm.batches import bounded
 from quayside.session import cut_lineage
 from quayside.sources.files import open_path
 
@@ -141,7 +142,7 @@ def _put(uri: str, data: bytes) -> None:
 def write_archives(pages: DataFrame, folder: str, archive_size: int = ARCHIVE_BYTES) -> DataFrame:
     """Write the archives into the folder; returns archive, records, archive_bytes of each."""
     html = F.coalesce(F.col("html").cast("string"), F.lit(""))
-    rows = pages.select(
+    rows = bounded(pages).select(
         F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"), html.alias("html")
     ).withColumn("digest", F.sha2(F.col("html").cast("binary"), 256))
     repeated = (

@@ -34,7 +34,7 @@ def ids_of(encoder, text):
     return np.frombuffer(encoder.encode((text or "").encode()), "<u4").tolist()
 
 
-@pytest.mark.parametrize("remembered", [3, 500_000])
+@pytest.mark.parametrize("remembered", [3, tokens.REMEMBERED])
 def test_ids_are_those_of_the_tokenizer(tokenizer, remembered):
     encoder = tokens.WordEncoder(remembered=remembered)
     texts = [t for (t,) in duckdb.sql(f"SELECT text FROM '{SF}/documents.parquet'").fetchall()]
