@@ -23,7 +23,7 @@ import json
 import numpy as np
 
 TOKENIZER = "word_bpe_49k.json"
-REMEMBERED = 120_000  # words, and parts, per Python worker
+REMEMBERED = 250_000  # words, and parts, per Python worker
 
 # Fixed values of the tokenizer: how it splits a word, and how its vocabulary marks an end.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
