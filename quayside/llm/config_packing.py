@@ -8,9 +8,10 @@ alone, which has no more entries than the capacity, so the plan is made from it:
    asks for amounts of configurations that cover every length as often as it occurs, with
    the least sum.  It is solved approximately by multiplicative weights: lengths that are
    covered less weigh more, a knapsack by dynamic programming finds the configuration
-   worth most, and an amount of it is added.
-2. Amounts are rounded down to whole sequences, never more than the pieces that exist; what is
-   left over is packed best-fit decreasing, whole groups of equal sequences at a time.
+   worth most, and an amount of it is added, until every length is covered.
+2. Amounts are rounded to whole sequences as they are added, down or to one, and never need
+   more pieces than are left, so the rounds place every piece.  Only if a caller limits the
+   rounds is there a rest, packed best-fit decreasing, whole groups of equal sequences at a time.
 
 The plan's size depends on the capacity, not on the number of documents.  Spark then ranks
 the pieces of each length and looks up where a rank goes.  Ranks come from counts per
@@ -36,9 +37,10 @@ from quayside.session import cut_lineage
 
 CAPACITY = 2048
 END_ID = 0
-ROUNDS = 200  # of the multiplicative weights
+ROUNDS = None  # of the multiplicative weights; None: until every length is covered
 STEP = 0.5  # share of the scarcest length that one round covers
 LEARNING = 0.3  # how fast a covered length loses weight
+NEXT = 0.999  # share of the last configuration's worth that the next one is first sought above
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 # Times each length occurs in a sequence, and how many such sequences there are.
@@ -73,21 +75,32 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, toke
     return bounded(rows).mapInArrow(cut, PIECES)
 
 
-def knapsack(lengths: np.ndarray, worth: np.ndarray, most: np.ndarray, capacity: int) -> Configuration:
-    """The multiset of lengths that is worth most, each at most ``most`` times, by dynamic programming."""
-    best = np.zeros(capacity + 1)
+def knapsack(
+    lengths: np.ndarray, worth: np.ndarray, most: np.ndarray, capacity: int, at_least: float = 0.0
+) -> Configuration:
+    """The multiset of lengths that is worth most, each at most ``most`` times, by dynamic programming.
+
+    If the best is worth less than ``at_least``, what is found may be worth less than the best.
+    """
+    # Against filling a sequence at the highest worth per id, each length loses something; so
+    # many of it that they lose too much are in nothing worth ``at_least``.
+    density = float((worth / lengths).max())
+    loss = np.maximum(density * lengths - worth, 1e-12)
+    most = np.minimum(most, (max(0.0, density * capacity - at_least) + 1e-9) / loss)
+    best, with_it = np.zeros(capacity + 1), np.zeros(capacity + 1)
     taken = []
-    for k, (length, value, times) in enumerate(zip(lengths.tolist(), worth.tolist(), most.tolist())):
+    for k in np.flatnonzero(most >= 1).tolist():
+        length, value, times = int(lengths[k]), float(worth[k]), int(most[k])
         bundle = 1
         while times > 0:
             bundle = min(bundle, times)
             weight = bundle * length
             if weight > capacity:
                 break
-            with_it = best[: capacity + 1 - weight] + bundle * value
-            better = with_it > best[weight:]
-            best[weight:][better] = with_it[better]
-            taken.append((k, bundle, weight, better))
+            own, above = with_it[: capacity + 1 - weight], best[weight:]
+            np.add(best[: capacity + 1 - weight], bundle * value, out=own)
+            taken.append((k, bundle, weight, own > above))
+            np.maximum(above, own, out=above)
             times -= bundle
             bundle *= 2
     room = int(best.argmax())
@@ -99,39 +112,46 @@ def knapsack(lengths: np.ndarray, worth: np.ndarray, most: np.ndarray, capacity:
     return tuple(sorted(((int(lengths[k]), n) for k, n in chosen.items()), reverse=True))
 
 
-def fractional_cover(counts: dict[int, int], capacity: int, rounds: int = ROUNDS) -> dict[Configuration, float]:
-    """Amounts of configurations by multiplicative weights; lengths covered already are left out."""
+def fractional_cover(counts: dict[int, int], capacity: int, rounds: int | None = ROUNDS) -> dict[Configuration, int]:
+    """Numbers of sequences by multiplicative weights; lengths covered already are left out.
+
+    Every round places half of the pieces of some length, or all that are left of one, or as
+    many whole sequences of them as there can be; so rounds grow with the number of lengths.
+    """
     lengths = np.array(sorted(counts, reverse=True))
-    number = np.array([counts[n] for n in lengths.tolist()], float)
-    most = np.minimum(number, capacity // lengths).astype(int)
+    number = np.array([counts[n] for n in lengths.tolist()], np.int64)
     place = {n: i for i, n in enumerate(lengths.tolist())}
-    covered = np.zeros(len(lengths))
+    left = number.copy()
     # The weight a length starts with: the space it takes, and a little more for long ones.
     space = (lengths / capacity) ** 1.1
-    amounts: dict[Configuration, float] = {}
-    for _ in range(rounds):
-        lacking = covered < 1 - 1e-9
-        if not lacking.any():
-            break
-        worth = space * np.exp(-LEARNING * covered)
-        chosen = knapsack(lengths[lacking], worth[lacking], most[lacking], capacity)
-        where = np.array([place[n] for n, _ in chosen])
-        times = np.array([t for _, t in chosen])
-        amount = float((number[where] * np.minimum(STEP, 1 - covered[where]) / times).min())
-        amounts[chosen] = amounts.get(chosen, 0.0) + amount
-        covered[where] += amount * times / number[where]
+    amounts: dict[Configuration, int] = {}
+    last, done = 0.0, 0
+    while left.any() and (rounds is None or done < rounds):
+        lacking = left > 0
+        worth = space * np.exp(-LEARNING * (1 - left / number))
+        most = np.minimum(left, capacity // lengths)
+        at_least = NEXT * last
+        while True:
+            chosen = knapsack(lengths[lacking], worth[lacking], most[lacking], capacity, at_least)
+            where = np.array([place[n] for n, _ in chosen], np.int64)
+            times = np.array([t for _, t in chosen], np.int64)
+            last = float(worth[where] @ times)
+            if last >= at_least * (1 - 1e-9):
+                break
+            at_least = last
+        amount = max(1, int((np.minimum(STEP * number[where], left[where]) / times).min()))
+        amounts[chosen] = amounts.get(chosen, 0) + amount
+        left[where] -= amount * times
+        done += 1
     return amounts
 
 
-def rounded(amounts: dict[Configuration, float], left: dict[int, int]) -> Plan:
-    """Whole numbers of sequences, taken from ``left``; the largest amounts first."""
-    plan = []
-    for configuration, amount in sorted(amounts.items(), key=lambda x: (-x[1], x[0])):
-        copies = min(int(amount + 1e-9), *(left[n] // t for n, t in configuration))
-        if copies:
-            plan.append((configuration, copies))
-            for n, t in configuration:
-                left[n] -= copies * t
+def placed(amounts: dict[Configuration, int], left: dict[int, int]) -> Plan:
+    """The sequences of the cover, whose pieces are taken from ``left``; the largest numbers first."""
+    plan = sorted(amounts.items(), key=lambda x: (-x[1], x[0]))
+    for configuration, copies in plan:
+        for n, t in configuration:
+            left[n] -= copies * t
     return plan
 
 
@@ -165,9 +185,9 @@ def best_fit(left: dict[int, int], capacity: int) -> Plan:
     return [(content, number) for groups in open_.values() for number, content in groups]
 
 
-def make_plan(counts: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS) -> Plan:
+def make_plan(counts: dict[int, int], capacity: int = CAPACITY, rounds: int | None = ROUNDS) -> Plan:
     left = dict(counts)
-    plan = rounded(fractional_cover(counts, capacity, rounds), left) if counts else []
+    plan = placed(fractional_cover(counts, capacity, rounds), left) if counts else []
     return plan + best_fit(left, capacity)
 
 
@@ -218,7 +238,7 @@ def pack(
     capacity: int = CAPACITY,
     end_id: int = END_ID,
     tokenizer: str | None = None,
-    rounds: int = ROUNDS,
+    rounds: int | None = ROUNDS,
 ) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece."""
     cut = cut_lineage(pieces(docs, capacity, end_id, tokenizer).withColumn("part", F.spark_partition_id()))

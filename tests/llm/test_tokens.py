@@ -194,6 +194,16 @@ def test_amounts_cover_lengths_with_little_more_than_the_least():
     assert sum(amounts.values()) <= 1.1 * sum(n * c for n, c in counts.items()) / 100
 
 
+def test_program_places_every_piece_if_all_lengths_occur():
+    counts = {n: 40 + 100_000 // (n + 100) for n in range(1, config_packing.CAPACITY + 1)}
+    used = Counter()
+    amounts = config_packing.fractional_cover(counts, config_packing.CAPACITY)
+    for content, copies in amounts.items():
+        used.update({n: t * copies for n, t in content})
+    assert used == counts
+    assert sum(amounts.values()) <= 1.005 * sum(n * c for n, c in counts.items()) / config_packing.CAPACITY
+
+
 def test_pack(spark, docs, tokenizer):
     table = docs(*enumerate(TEXTS), (3, "again"), (None, None), schema="doc_id bigint, text string, piece int, rank string")
     found = config_packing.pack(table, capacity=64).collect()
