@@ -198,6 +198,8 @@ def drop_copies(docs: DataFrame, folder: str | None = None) -> DataFrame:
     hits = cut_lineage(bitmap_of(dropped))
     digest = sha256_hex(F.coalesce("text", F.lit("")))
     passed = marked(docs, hits, digest, keep=False)
-    unsure = marked(docs, hits, digest).withColumn("__id", F.col("doc_id").cast("bigint"))
-    gone = dropped.select(F.col("doc_id").alias("__id")).distinct()
-    return passed.unionByName(unsure.join(gone, "__id", "left_anti").drop("__id"))
+    unsure = marked(docs, hits, digest).withColumns({"__id": F.col("doc_id").cast("bigint"), "__digest": digest})
+    # An id may be repeated with unlike texts, so it takes the digest to tell what goes.
+    gone = dropped.select(F.col("doc_id").alias("__gone"), F.col("digest").alias("__gone_digest")).distinct()
+    same = F.col("__id").eqNullSafe(F.col("__gone")) & (F.col("__digest") == F.col("__gone_digest"))
+    return passed.unionByName(unsure.join(gone, same, "left_anti").drop("__id", "__digest"))

@@ -66,6 +66,10 @@ def fingerprint(text: bytes) -> int:
     return int(np.packbits(majority, bitorder="little").view("<u8")[0])
 
 
+def signed(print_: int) -> int:
+    return print_ - (1 << 64) if print_ >= 1 << 63 else print_
+
+
 def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = batch.column("text").cast(pa.binary())
@@ -177,9 +181,23 @@ def drop_near_copies(docs: DataFrame) -> DataFrame:
     """One document of each component, the one with the smallest doc_id, with all columns.
 
     Documents without a doc_id stay.  The documents to drop are joined by id; if they are
-    few, measured, they are broadcast and the texts are not shuffled.
+    few, measured, they are broadcast and the texts are not shuffled.  Only where an id that
+    is dropped also has a text that stays are fingerprints taken again, to tell them apart.
     """
-    found = near_duplicates(docs).where("doc_id != component_id")
-    dropped = cut_lineage(found.select(F.col("doc_id").alias("__id")).distinct())
+    found = cut_lineage(near_duplicates(docs))
+    dropped = found.where("doc_id != component_id").select(F.col("doc_id").alias("__id"), F.col("print").alias("__gone"))
+    ids = cut_lineage(dropped.select("__id").distinct())
+    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("__id"))
+    unlike = cut_lineage(ids.join(kept, "__id", "left_semi"))
     rows = docs.withColumn("__own", F.col("doc_id").cast("bigint"))
-    return rows.join(dropped, rows["__own"] == dropped["__id"], "left_anti").drop("__own")
+    stay = rows.join(ids, rows["__own"] == ids["__id"], "left_anti").drop("__own")
+    if unlike.isEmpty():
+        return stay
+    take = F.pandas_udf(
+        lambda texts: texts.map(lambda t: signed(fingerprint(t or b""))).astype("int64"), "bigint"
+    )
+    unsure = rows.join(unlike, rows["__own"] == unlike["__id"], "left_semi")
+    unsure = unsure.withColumn("__print", take(F.col("text").cast("string").cast("binary")))
+    gone = dropped.distinct()
+    same = (unsure["__own"] == gone["__id"]) & (unsure["__print"] == gone["__gone"])
+    return stay.unionByName(unsure.join(gone, same, "left_anti").drop("__own", "__print"))

@@ -49,6 +49,11 @@ def test_exact_copies_of_an_empty_table_and_of_extra_columns(spark, docs):
     assert sorted(r.doc_id for r in kept.collect()) == [2, 3]
 
 
+def test_an_id_with_unlike_texts_loses_copies_only(docs):
+    kept = exact_dedup.drop_copies(docs((5, "A"), (9, "A"), (5, "B"), (3, "B"), (3, "C"), (None, "C")))
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(3, "C"), (5, "B"), (9, "A")]
+
+
 def test_state_takes_up_later_arrivals(spark, docs, tmp_path):
     state = exact_dedup.DigestState(spark, str(tmp_path / "state"))
     state.ingest(docs((1, "a"), (5, "b")))
@@ -133,6 +138,13 @@ def test_near_copies_keep_one_of_each_component(spark, docs):
     assert simhash.near_duplicates(docs()).count() == 0
 
 
+def test_an_id_with_unlike_texts_loses_near_copies_only(docs):
+    base = " ".join(f"w{i}" for i in range(400))
+    rows = [(3, base), (7, base.upper()), (7, "quite different words here"), (7, None), (8, base)]
+    kept = simhash.drop_near_copies(docs(*rows)).collect()
+    assert sorted((r.doc_id, r.text or "") for r in kept) == [(3, base), (7, ""), (7, "quite different words here")]
+
+
 # --- Components
 
 
