@@ -9,7 +9,8 @@ next.  So after any number of blocks each source has had its share to less than
 
 All windows of one frame lie within it, since every source gets exactly k blocks in FRAME
 slots, so one frame's schedule serves for all of them and every block's slot is arithmetic:
-nothing runs one after the other over the data.  When a source has no blocks left its slots
+nothing runs one after the other over the data.  With more than FRAME sources the frame
+grows, to SLOTS slots for each on average.  When a source has no blocks left its slots
 stay empty and the rest keep their proportions; every document is in the mix once.
 
 The order of documents within a source needs sums of lengths before each document.  They
@@ -23,15 +24,25 @@ repeat an id stand side by side in any order.  Only doc_id, text and source are
 
 from __future__ import annotations
 
+import heapq
+from collections import defaultdict
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.session import cut_lineage
 
 FRAME = 1000
+SLOTS = 4  # of a frame for each source, on average, where there are more than FRAME sources
 BLOCK_CHARS = 200_000
 RANGE_ROWS = 1000  # documents, on average, whose lengths one task sums in order
 HASH_DIGITS = 8  # hexadecimal digits that choose the range
+SCHEDULE = "source_key string, k int, i int, release bigint, deadline bigint, slot int"
+
+
+def frame_for(n_sources: int, frame: int = FRAME) -> int:
+    """The frame itself, or the multiple of it that so many sources need."""
+    return frame if n_sources <= frame else frame * -(-SLOTS * n_sources // frame)
 
 
 def weights(sizes: DataFrame, frame: int = FRAME) -> DataFrame:
@@ -57,8 +68,12 @@ def weights(sizes: DataFrame, frame: int = FRAME) -> DataFrame:
 def frame_schedule(shares: DataFrame, frame: int = FRAME) -> DataFrame:
     """source_key, i (1 to k), release, deadline and slot of every block of one frame.
 
-    One row holds all sources; the slots of the frame are filled by folding over them.
+    One row holds all sources; the slots of the frame are filled by folding over them.  A
+    frame that has grown is filled on the driver, by the same rule, with heaps.
     """
+    if frame > FRAME:
+        rows = _long_schedule([tuple(r) for r in shares.select("source_key", "k").collect()], frame)
+        return shares.sparkSession.createDataFrame(rows, SCHEDULE)
     packed = shares.agg(F.sort_array(F.collect_list(F.struct("source_key", "k"))).alias("sources"))
     # What a source could run next: its deadline, its place in the list, its release.
     waiting = f"""transform(sources, (s, j) -> named_struct(
@@ -93,6 +108,26 @@ def frame_schedule(shares: DataFrame, frame: int = FRAME) -> DataFrame:
     )
 
 
+def _long_schedule(shares: list[tuple[str, int]], frame: int) -> list[tuple]:
+    shares = sorted(shares)
+    done = [0] * len(shares)
+    released = defaultdict(list, {0: list(range(len(shares)))})
+    ready: list[tuple[int, int]] = []  # deadline, place in the list
+    rows = []
+    for slot in range(frame):
+        for j in released.pop(slot, ()):
+            heapq.heappush(ready, (-(-(done[j] + 1) * frame // shares[j][1]), j))
+        if not ready:
+            continue
+        deadline, j = heapq.heappop(ready)
+        name, k = shares[j]
+        rows.append((name, k, done[j] + 1, done[j] * frame // k, deadline, slot))
+        done[j] += 1
+        if done[j] < k:
+            released[max(slot + 1, done[j] * frame // k)].append(j)
+    return rows
+
+
 def source_key(source: Column) -> Column:
     """Sorts as the source does; a null source has a key that no other has."""
     return F.when(source.isNull(), F.lit("-")).otherwise(F.concat(F.lit("="), source.cast("string")))
@@ -140,11 +175,19 @@ def mix(docs: DataFrame, shares: DataFrame | None = None, frame: int = FRAME, bl
 
     The mix is the documents by position, then start, then doc_id.  ``shares`` (source_key,
     k) are the target weights in slots of a frame; they must add up to ``frame`` and name
-    every source.  Without them weights follow from the sizes of the sources.
+    every source, or an error names those without slots.  Without them weights follow from
+    the sizes of the sources, in a frame that grows with their number.
     """
     rows = cut_lineage(_narrow(docs))
     sizes = cut_lineage(source_sizes(rows))
-    schedule = cut_lineage(frame_schedule(shares or weights(sizes, frame), frame))
+    if shares is None:
+        frame = frame_for(sizes.count(), frame)
+        shares = weights(sizes, frame)
+    schedule = cut_lineage(frame_schedule(shares, frame))
+    whole = schedule.groupBy("source_key", "k").agg(F.count(F.lit(1)).alias("n")).where("n = k")
+    lacking = [r[0] for r in sizes.join(whole, "source_key", "left_anti").select("source_key").limit(5).collect()]
+    if lacking:
+        raise ValueError(f"sources without all of their slots in a frame of {frame}: {lacking}")
     placed = starts(rows, sizes).withColumn("block", F.expr(f"start DIV {block_chars} + 1"))
     shares = schedule.select("source_key", "k").distinct()
     turn = placed.join(shares, "source_key").selectExpr(

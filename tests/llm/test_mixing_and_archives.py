@@ -94,6 +94,28 @@ def test_mixed_order_keeps_all_rows_and_columns(spark, docs):
     assert pfair_mixing.in_mixed_order(docs()).count() == 0
 
 
+def test_more_sources_than_slots_lose_no_document(spark, docs):
+    rows = [(i, "x" * 50, None, f"s{i}") for i in range(1_001)]
+    rows += [(2_000 + i, "x" * 90_000, None, "hot") for i in range(20)]
+    found = pfair_mixing.mix(docs(*rows), block_chars=100_000).collect()
+    assert sorted(r.doc_id for r in found) == [r[0] for r in rows]
+    k = {r.source_key: r.k for r in found}
+    assert sum(k.values()) == pfair_mixing.frame_for(1_002) > 1_002 and min(k.values()) >= 1
+    assert k["=hot"] == max(k.values()) and all(r.release <= r.position < r.deadline for r in found)
+    assert len({(r.position) for r in found}) == len({(r.source_key, r.block) for r in found})
+
+
+def test_long_frames_are_filled_by_the_same_rule(spark):
+    weights = {"a": 590, "é": 240, "b": 150, **{f"s{i}": 1 for i in range(20)}}
+    found = pfair_mixing._long_schedule(list(weights.items()), 1000)
+    assert sorted(found) == sorted(map(tuple, pfair_mixing.frame_schedule(shares_of(spark, weights)).collect()))
+
+
+def test_a_source_without_slots_is_an_error(spark, docs):
+    with pytest.raises(ValueError, match="=b"):
+        pfair_mixing.mix(docs((1, "x", None, "a"), (2, "y", None, "b")), shares_of(spark, {"=a": 1000}))
+
+
 # --- Archives
 
 
