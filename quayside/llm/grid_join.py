@@ -56,10 +56,11 @@ def principal_axes(sample: np.ndarray) -> np.ndarray:
 
 
 def _classes(vectors: DataFrame) -> DataFrame:
-    """key, id (smallest vec_id), count, embedding, of each different vector."""
-    return vectors.groupBy("key").agg(
-        F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("count"), F.first("embedding").alias("embedding")
+    """key, id (a number of its own), first (smallest vec_id), count, embedding, of each different vector."""
+    found = vectors.groupBy("key").agg(
+        F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("count"), F.first("embedding").alias("embedding")
     )
+    return found.withColumn("id", F.monotonically_increasing_id())
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -268,17 +269,21 @@ def near_vectors(vectors: DataFrame, min_cosine: float = MIN_COSINE, block: int
     if found is None:
         found = vectors.sparkSession.createDataFrame([], JOINED)
     counts = found.groupBy("id").agg(F.sum("links").alias("links"))
+    # Components are named by numbers of classes until the end.
     groups = cut_lineage(components(found.select(F.col("id").alias("a"), F.col("root").alias("b"))))
-    classes = classes.select("key", "id", "count")
-    named = (
-        classes.join(counts, "id", "left")
-        .join(groups.withColumnRenamed("node", "id"), "id", "left")
+    named = cut_lineage(
+        classes.select("key", "id", "first", "count")
+        .join(counts, "id", "left")
+        .join(groups.withColumnsRenamed({"node": "id", "component_id": "group"}), "id", "left")
         .select(
             "key",
+            "first",
             (F.coalesce("links", F.lit(0)) + F.col("count") - 1).alias("n_links"),
-            F.coalesce("component_id", "id").alias("component_id"),
+            F.coalesce("group", "id").alias("group"),
         )
     )
+    lowest = cut_lineage(named.groupBy("group").agg(F.min("first").alias("component_id")))
+    named = named.join(lowest, "group").select("key", "n_links", "component_id")
     answered = rows.select("vec_id", "key").join(cut_lineage(named), "key", "left")
     component = F.coalesce("component_id", "vec_id")
     return answered.select(

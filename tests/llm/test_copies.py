@@ -224,3 +224,12 @@ def test_distant_intervals_are_skipped():
     )
     assert links.tolist() == [599] * 1200 and set(root.tolist()) == {0, 600}
     assert sum(seen) < 2 * 1200 * 5  # far fewer leaves than all pairs have
+
+
+def test_unlike_vectors_with_one_id_are_not_linked(spark):
+    rows = [(1, [1.0, 0.0, 0.0]), (1, [0.0, 1.0, 0.0]), (2, [1.0, 0.01, 0.0]), (3, [0.0, 1.0, 0.01])]
+    rows += [(4, [0.0, 1.0, 0.02])]
+    found = grid_join.near_vectors(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in found) == [
+        (1, 1, 1), (1, 2, 1), (2, 1, 1), (3, 2, 1), (4, 2, 1)
+    ]
