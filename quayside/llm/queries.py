@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import config_packing, exact_dedup, grid_join, language, lattice_lm, main_text, pfair_mixing, simhash, token_output, warc
+from quayside.llm import (
+    config_packing,
+    exact_dedup,
+    grid_join,
+    language,
+    lattice_lm,
+    line_dedup,
+    main_text,
+    pfair_mixing,
+    simhash,
+    token_output,
+    warc,
+)
 from quayside.session import new_run_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,6 +113,13 @@ def op10_main_text(spark, sf_dir):
     return main_text.extract(table(spark, sf_dir, "pages"))
 
 
+@registered
+def op13_line_dedup(spark, sf_dir):
+    """What is left of each document without the lines that ten documents or more share."""
+    found = line_dedup.line_verdicts(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", exact_dedup.sha256_hex(F.col("kept_text")).alias("kept_sha256"))
+
+
 ORACLE_SQL: dict[str, str] = {
     "op4_pfair_mixing": """
         WITH RECURSIVE docs AS (
@@ -194,4 +213,24 @@ ORACLE_SQL: dict[str, str] = {
         FROM documents
         WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    "op13_line_dedup": """
+        WITH docs AS (
+            SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines, row_number() OVER () AS n
+            FROM documents
+        ), lines AS (
+            SELECT n, unnest(lines) AS line, generate_subscripts(lines, 1) AS place FROM docs
+        ), keyed AS (
+            SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+            FROM lines
+        ), common AS (
+            SELECT key FROM keyed WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT n) >= 10
+        ), kept AS (
+            SELECT n, count(*) AS n_kept, string_agg(line, chr(10) ORDER BY place) AS text
+            FROM keyed WHERE key NOT IN (SELECT key FROM common) GROUP BY n
+        )
+        SELECT doc_id, len(lines) AS n_lines, len(lines) - coalesce(n_kept, 0) AS n_dropped,
+               sha256(coalesce(text, '')) AS kept_sha256
+        FROM docs LEFT JOIN kept USING (n)
+    """,
 }
