@@ -16,6 +16,7 @@ from quayside.llm import (
     line_dedup,
     main_text,
     pfair_mixing,
+    prefix_trie,
     simhash,
     token_output,
     warc,
@@ -113,6 +114,14 @@ def op10_main_text(spark, sf_dir):
     return main_text.extract(table(spark, sf_dir, "pages"))
 
 
+@registered
+def op11_prefix_trie(spark, sf_dir):
+    """The prefixes that conversations share after their heads have been taken from others."""
+    paths = prefix_trie.numbered_paths(table(spark, sf_dir, "conversations"))
+    head = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 4
+    return prefix_trie.prefix_nodes(prefix_trie.with_shared_heads(paths, 20, 4, head.cast("int")))
+
+
 @registered
 def op13_line_dedup(spark, sf_dir):
     """What is left of each document without the lines that ten documents or more share."""
@@ -120,6 +129,14 @@ def op13_line_dedup(spark, sf_dir):
     return found.select("doc_id", "n_lines", "n_dropped", exact_dedup.sha256_hex(F.col("kept_text")).alias("kept_sha256"))
 
 
+# CRC-32 of an ASCII text ``s``, bit by bit; DuckDB has no function for it.
+CRC32 = """
+    xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+                                 list_transform(range(1, length(s) + 1), lambda i: CAST(ascii(s[i]) AS BIGINT))),
+        lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)),
+            lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295)
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op4_pfair_mixing": """
         WITH RECURSIVE docs AS (
@@ -233,4 +250,40 @@ ORACLE_SQL: dict[str, str] = {
                sha256(coalesce(text, '')) AS kept_sha256
         FROM docs LEFT JOIN kept USING (n)
     """,
+    "op11_prefix_trie": f"""
+        WITH turns AS (
+            SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (
+                PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
+            FROM conversations WHERE conv_id IS NOT NULL
+        ), own AS (
+            SELECT conv_id, CAST(conv_id AS VARCHAR) AS s, list({{'role': role, 'text': text}} ORDER BY place) AS path
+            FROM turns GROUP BY conv_id
+        ), headed AS (
+            SELECT *, conv_id - conv_id % 20 AS base, ({CRC32}) % 4 AS h FROM own
+        ), rebuilt AS (
+            SELECT c.conv_id, list_concat(coalesce(b.path[1:c.h], []), c.path[c.h + 1:]) AS path
+            FROM headed c LEFT JOIN own b ON b.conv_id = c.base
+        ), prefixes AS (
+            SELECT conv_id, len(path) AS n, unnest(range(len(path) + 1)) AS depth, path FROM rebuilt
+        ), nodes AS (
+            SELECT path[1:depth] AS prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+                   coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (n = depth), '') AS ends,
+                   CASE WHEN depth = 0 THEN 0 ELSE
+                       (count(*) - 1) * len(regexp_extract_all(path[1:depth][depth].text, '[^\\x20\\x09-\\x0D]+'))
+                   END AS saved
+            FROM prefixes GROUP BY 1, 2, path[1:depth][depth].text
+        ), linked AS (
+            SELECT n.*, p.conv_id AS parent_conv_id
+            FROM nodes n LEFT JOIN nodes p ON n.depth > 0 AND p.depth = n.depth - 1 AND p.prefix = n.prefix[1:n.depth - 1]
+        ), counted AS (
+            SELECT prefix[1:depth - 1] AS prefix, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1
+        ), tops AS (
+            SELECT n.prefix[1:t.d] AS prefix, sum(n.saved) AS saved, count(*) FILTER (c.n IS NULL) AS leaves
+            FROM nodes n LEFT JOIN counted c USING (prefix), LATERAL (SELECT unnest(range(n.depth + 1)) AS d) t
+            GROUP BY 1
+        )
+        SELECT l.conv_id, l.depth, l.parent_conv_id, l.n_convs, coalesce(c.n, 0) AS n_children,
+               t.leaves AS n_leaves, CAST(t.saved AS BIGINT) AS saved_tokens, sha256(l.ends) AS ends_sha256
+        FROM linked l JOIN tops t USING (prefix) LEFT JOIN counted c USING (prefix)
+    """,
 }
