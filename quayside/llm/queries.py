@@ -19,6 +19,7 @@ from quayside.llm import (
     prefix_trie,
     simhash,
     token_output,
+    turn_repair,
     warc,
 )
 from quayside.session import new_run_folder
@@ -122,6 +123,12 @@ def op11_prefix_trie(spark, sf_dir):
     return prefix_trie.prefix_nodes(prefix_trie.with_shared_heads(paths, 20, 4, head.cast("int")))
 
 
+@registered
+def op12_turn_repair(spark, sf_dir):
+    """Conversations damaged by checksum, and the cheapest edits that bring them into order."""
+    return turn_repair.repair(turn_repair.damaged(table(spark, sf_dir, "conversations")))
+
+
 @registered
 def op13_line_dedup(spark, sf_dir):
     """What is left of each document without the lines that ten documents or more share."""
@@ -286,4 +293,84 @@ ORACLE_SQL: dict[str, str] = {
                t.leaves AS n_leaves, CAST(t.saved AS BIGINT) AS saved_tokens, sha256(l.ends) AS ends_sha256
         FROM linked l JOIN tops t USING (prefix) LEFT JOIN counted c USING (prefix)
     """,
+    # Forward over the rows: of each role state the cheapest way, its audit and its text.
+    "op12_turn_repair": f"""
+        WITH RECURSIVE keyed AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                   coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS s
+            FROM conversations
+        ), kinds AS (
+            SELECT *, ({CRC32}) % 20 AS kind FROM keyed
+        ), damaged AS (
+            SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+                   CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                   unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+            FROM kinds
+        ), placed AS (
+            SELECT *, regexp_replace(text, '[\\x20\\x09-\\x0D]+$', '') AS body,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i
+            FROM damaged
+        ), judged AS (
+            SELECT *, CASE WHEN body = '' THEN 'blank'
+                           WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                           WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 'truncated' END AS fault,
+                   lag(role[1]) OVER (PARTITION BY conv_id ORDER BY i) || role[1] AS pair
+            FROM placed
+        ), counts AS (
+            SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                   count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+                   count(*) FILTER (fault = 'truncated') AS truncated,
+                   count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+            FROM judged GROUP BY conv_id
+        ), seqs AS (
+            SELECT conv_id, list({{'role': role, 'text': text, 'fault': fault}} ORDER BY i) AS turns
+            FROM judged GROUP BY conv_id
+        ), moves AS (  -- state, the role that it may take next, and the state after it
+            SELECT * FROM (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)) m(q, role, q2)
+        ), inserts AS (  -- up to two inserted turns in a row; three never pay
+            SELECT q, q AS q2, 0 AS cost, '' AS audit, '' AS said FROM (SELECT DISTINCT q FROM moves)
+            UNION ALL
+            SELECT q, q2, 2, 'I', chr(10) || CASE role WHEN 'u' THEN 'user:' ELSE 'assistant:' END
+            FROM moves WHERE role != 's'
+            UNION ALL
+            SELECT a.q, b.q2, 4, 'II', chr(10) || CASE a.role WHEN 'u' THEN 'user:' ELSE 'assistant:' END
+                                     || chr(10) || CASE b.role WHEN 'u' THEN 'user:' ELSE 'assistant:' END
+            FROM moves a JOIN moves b ON a.q2 = b.q WHERE a.role != 's' AND b.role != 's'
+        ), edits AS (  -- what may become of a row in a state, before the row is known
+            SELECT q, 'D' AS edit, q AS q2, NULL AS role FROM (SELECT DISTINCT q FROM moves)
+            UNION ALL SELECT q, 'K', q2, role FROM moves
+            UNION ALL SELECT q, 'R', q2, role FROM moves WHERE role != 's'
+        ), ways(conv_id, i, q, best) AS (
+            SELECT conv_id, CAST(0 AS BIGINT), q2, {{'cost': cost, 'audit': audit, 'said': said}}
+            FROM seqs, inserts WHERE q = 0
+            UNION ALL
+            SELECT * FROM (
+                SELECT w.conv_id, w.i + 1 AS i, n.q2 AS q, min({{
+                    'cost': w.best.cost + n.cost + CASE e.edit WHEN 'D' THEN 3 WHEN 'R' THEN 2 ELSE 0 END
+                            + CASE WHEN e.edit != 'D' AND coalesce(t.fault, '') = 'truncated' THEN 1 ELSE 0 END,
+                    'audit': w.best.audit || e.edit || n.audit,
+                    'said': w.best.said || CASE e.edit WHEN 'D' THEN '' ELSE chr(10) || CASE
+                                WHEN e.edit = 'K' THEN t.role WHEN e.role = 'u' THEN 'user' ELSE 'assistant' END
+                            || ':' || t.text END || n.said}}) AS best
+                FROM ways w JOIN seqs s ON w.conv_id IS NOT DISTINCT FROM s.conv_id
+                JOIN edits e ON e.q = w.q JOIN inserts n ON n.q = e.q2,
+                LATERAL (SELECT s.turns[w.i + 1] AS t)
+                WHERE w.i < len(s.turns)
+                      AND (e.edit = 'D' OR coalesce(t.fault, '') NOT IN ('blank', 'duplicate'))
+                      AND (e.edit != 'K' OR t.role[1] = e.role)
+                GROUP BY 1, 2, 3
+            )
+        ), ends AS (
+            SELECT w.conv_id, min(w.best) AS best
+            FROM ways w JOIN seqs s ON w.conv_id IS NOT DISTINCT FROM s.conv_id AND w.i = len(s.turns)
+            WHERE w.q IN (0, 3) GROUP BY w.conv_id
+        )
+        SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank,
+               coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+               coalesce(illegal, 0) AS illegal, CAST(coalesce(best.cost, 0) AS BIGINT) AS cost,
+               coalesce(best.audit, '') AS audit, sha256(coalesce(best.said[2:], '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) o
+        LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+        LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM o.conv_id
+    """,
 }
