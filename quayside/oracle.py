@@ -356,6 +356,74 @@ s_region AS (SELECT * FROM region WHERE r_regionkey IN (SELECT n_regionkey FROM
     )
 
 
+DRAWN = "drawn AS (SELECT * FROM customer ORDER BY md5('42:' || c_custkey::VARCHAR), c_custkey::VARCHAR LIMIT 50)"
+
+# By shape: tables of keys, their references, and how many rows each table has.
+SHAPES = {
+    "two_references": (
+        f"""
+WITH {DRAWN}, s_transfer AS (
+  SELECT o_orderkey AS k, o_custkey AS payer, o_custkey * 7 % 100 + 1 AS payee FROM orders
+  WHERE o_custkey IN (SELECT c_custkey FROM drawn) OR o_custkey * 7 % 100 + 1 IN (SELECT c_custkey FROM drawn)
+), s_customer AS (
+  SELECT c_custkey AS k FROM customer WHERE c_custkey IN (
+    SELECT c_custkey FROM drawn UNION SELECT payer FROM s_transfer UNION SELECT payee FROM s_transfer)
+)""",
+        ("customer", "transfer"),
+        (("transfer", "payer", "customer"), ("transfer", "payee", "customer")),
+    ),
+    "self_reference": (
+        f"""
+WITH RECURSIVE {DRAWN}, s_customer(k) AS (
+  SELECT c_custkey FROM drawn UNION SELECT k // 2 FROM s_customer WHERE k >= 2
+), s_orders AS (SELECT o_orderkey AS k FROM orders WHERE o_custkey IN (SELECT c_custkey FROM drawn))""",
+        ("customer", "orders"),
+        (("orders", "o_custkey", "customer"), ("customer", "c_boss", "customer")),
+    ),
+    "reference_cycle": (
+        f"""
+WITH RECURSIVE {DRAWN}, drawn_part AS (
+  SELECT p_partkey FROM part WHERE p_partkey // 2 + 1 IN (SELECT c_custkey FROM drawn)
+), reached(t, k) AS (
+  (SELECT 'customer', c_custkey FROM drawn
+   UNION ALL SELECT 'part', p_partkey FROM drawn_part
+   UNION ALL SELECT 'supplier', s_suppkey FROM supplier WHERE s_suppkey * 3 IN (SELECT p_partkey FROM drawn_part))
+  UNION
+  SELECT CASE t WHEN 'customer' THEN 'supplier' WHEN 'supplier' THEN 'part' ELSE 'customer' END,
+         CASE t WHEN 'customer' THEN k % 10 + 1 WHEN 'supplier' THEN k * 3 ELSE k // 2 + 1 END
+  FROM reached
+), s_customer AS (SELECT k FROM reached WHERE t = 'customer'),
+s_supplier AS (SELECT k FROM reached WHERE t = 'supplier'),
+s_part AS (SELECT k FROM reached WHERE t = 'part')""",
+        ("customer", "supplier", "part"),
+        (("customer", "c_suppkey", "supplier"), ("supplier", "s_partkey", "part"), ("part", "p_custkey", "customer")),
+    ),
+}
+SHAPE_KEYS = {
+    "customer": "c_custkey", "transfer": "o_orderkey", "orders": "o_orderkey", "supplier": "s_suppkey", "part": "p_partkey",
+}
+
+
+def _sample_shape(shape: str) -> str:
+    head, tables, _ = SHAPES[shape]
+    return head + "\n" + "\nUNION ALL\n".join(f"SELECT '{t}' AS table_name, k AS key FROM s_{t}" for t in tables)
+
+
+def _shape_orphans() -> str:
+    # No row of a sample lacks what it refers to; the rows are counted on the samples.
+    parts = []
+    for shape, (head, _, edges) in SHAPES.items():
+        counted = " UNION ALL ".join(
+            f"SELECT '{c}.{column}->{p}.{SHAPE_KEYS[p]}' AS edge, count(*) AS n_rows FROM s_{c}" for c, column, p in edges
+        )
+        known = "'self_reference', 'customer.c_boss->customer.c_custkey'"
+        parts.append(
+            f"SELECT '{shape}' AS shape, edge, n_rows, CASE WHEN ('{shape}', edge) = ({known}) THEN 1 ELSE 0 END "
+            f"AS n_orphans FROM ({head} {counted})"
+        )
+    return "\nUNION ALL\n".join(parts)
+
+
 def _expected() -> str:
     sizes = {
         "region": 5, "nation": 25, "customer": 1_500, "supplier": 100,
@@ -494,6 +562,8 @@ FROM ({_report()}) GROUP BY table_name""",
 SELECT * FROM nation WHERE n_nationkey IN (
   SELECT c_nationkey FROM s_customer UNION SELECT s_nationkey FROM s_supplier)""",
         "sample_orphans": _sample_orphans(),
+        **{f"sample_{shape}": _sample_shape(shape) for shape in SHAPES},
+        "sample_shape_orphans": _shape_orphans(),
         "events_three_per_user": _events_per_user("value::VARCHAR"),
         "events_three_per_user_numeric": _events_per_user("value"),
         "sample_event_points": PICKED + """

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.operators import keys, ranked, sampling
+from quayside.operators import closure, keys, ranked, sampling
 from quayside.session import cut_lineage, working_folder
 from quayside.sources import csv, files
 from quayside.spec import ForeignKey, TableSpec, by_name
@@ -30,10 +30,14 @@ def cascade_sample(
 ) -> dict[str, DataFrame]:
     """Draw ``n`` rows of ``root`` and derive every other table from them.
 
-    Children of a sampled table keep the rows that refer to it; parents keep the rows
-    that a sampled table refers to; lookup tables stay whole; a table reached only by
-    weak references keeps a few points per key.  Tables that others are derived from
-    are written to the shared folder once.  ``only`` names the tables wanted.
+    Children of a sampled table keep the rows that refer to it, by any of their references;
+    parents keep the rows that a sampled table refers to; lookup tables stay whole; a table
+    reached only by weak references keeps a few points per key.  Where a reference leads to
+    rows that were not drawn (a second reference to one table, a table's reference to
+    itself, a cycle of tables), these rows are added, and what they refer to in turn, until
+    nothing dangles; so ``root`` may end with more than ``n`` rows.  Added rows bring what
+    they refer to, not what refers to them.  Tables that others are derived from are
+    written to the shared folder once.  ``only`` names the tables wanted.
     """
     known = by_name(specs)
     key = known[root].key[0]
@@ -49,43 +53,72 @@ def cascade_sample(
         and not s.lookup
         and any(fk.weak and fk.parent == s.name for m in members for fk in known[m].foreign_keys)
     ]
-    derived = {*above, *weak}
+    unsure = _unsure_edges(known, via, members)
+    circles = closure.components(unsure, members)
+    drawn: dict[str, DataFrame] = {}
     done: dict[str, DataFrame] = {}
 
-    def users(name: str, weakly: bool) -> list[tuple[DataFrame, str, str]]:
-        return [
-            (sampled(m), fk.column, fk.parent_column)
-            for m in members
-            if m != name
-            for fk in known[m].foreign_keys
-            if fk.parent == name and fk.weak == weakly
-        ]
-
-    def referred_to(name: str, rows: DataFrame, weakly: bool) -> DataFrame:
-        sides = users(name, weakly)
-        wanted = keys.union_of_keys(*[(df, column) for df, column, _ in sides])
-        return keys.in_keys(rows, sides[0][2], wanted, "key")
-
-    def derive(name: str) -> DataFrame:
+    def references(name: str, weakly: bool) -> dict[str, DataFrame]:
+        """By column of the table: the keys that other tables of the sample hold."""
+        sides: dict[str, list] = {}
+        for m in members:
+            for fk in known[m].foreign_keys:
+                if m != name and fk.parent == name and fk.weak == weakly:
+                    sides.setdefault(fk.parent_column, []).append((sampled(m), fk.column))
+        return {column: keys.union_of_keys(*found) for column, found in sides.items()}
+
+    def pick(name: str) -> DataFrame:
+        """The rows that the draw itself brings, before anything is added for references."""
         if name == root:
             return sampling.sample_rows(tables[root], key, n, seed, cut)
-        if name in via:
-            fk = via[name]
-            if fk.parent == root and n > 0:
-                return sampling.rows_of_sample(tables[name], fk.column, sampled(root), key, seed, cut)
-            return keys.in_keys(tables[name], fk.column, sampled(fk.parent), fk.parent_column)
-        if name in above:
-            return referred_to(name, tables[name], weakly=False)
-        # The points are cut before the join: whole areas stay or go, so the answer is the
-        # same, and a hot area is a few rows per task before anything is shuffled.
-        area = next(fk.parent_column for m in members for fk in known[m].foreign_keys if fk.weak and fk.parent == name)
-        first = next(c for c in known[name].column_names if c != area)
-        return referred_to(name, ranked.points_per_area(tables[name], area, first, points_per_area), weakly=True)
+        if len(via[name]) == 1:
+            (fk,) = via[name]
+            if fk.parent == root and fk.parent_column == key and n > 0:
+                return sampling.rows_of_sample(tables[name], fk.column, picked(root), fk.parent_column, seed, cut)
+            return keys.in_keys(tables[name], fk.column, picked(fk.parent), fk.parent_column)
+        wanted: dict[str, list] = {}
+        for fk in via[name]:
+            wanted.setdefault(fk.column, []).append((picked(fk.parent), fk.parent_column))
+        return closure.rows_with_any_key(tables[name], {c: keys.union_of_keys(*w) for c, w in wanted.items()})
+
+    def picked(name: str) -> DataFrame:
+        if name not in drawn:
+            df = pick(name)
+            leads_on = name == root or any(e.child == name or e.parent == name for e in unsure)
+            leads_on = leads_on or any(fk.parent in weak for fk in known[name].foreign_keys)
+            drawn[name] = cut_lineage(df) if leads_on else df
+        return drawn[name]
+
+    def close(circle: frozenset[str]) -> None:
+        """Complete the tables of a circle together, with what other tables ask of them."""
+        edges = [e for e in unsure if e.parent in circle]
+        start = {t: picked(t) for t in circle if t in via}
+        start |= {e.child: sampled(e.child) for e in edges if e.child not in circle}
+        found = closure.close_references({t: tables[t] for t in circle}, edges, start)
+        for t in circle:
+            added = closure.rows_added(tables[t], t, found)
+            parts = [df for df in (start.get(t), added) if df is not None]
+            done[t] = cut_lineage(reduce(DataFrame.union, parts)) if parts else tables[t].where(F.lit(False))
 
     def sampled(name: str) -> DataFrame:
-        if name not in done:
-            df = derive(name)
-            leads_on = name == root or any(fk.parent in derived for fk in known[name].foreign_keys)
+        if name in done:
+            return done[name]
+        asked = [e for e in unsure if e.parent == name]
+        if name in via and not asked:
+            done[name] = picked(name)
+        elif name in weak:
+            # The points are cut before the join: whole areas stay or go, so the answer is the
+            # same, and a hot area is a few rows per task before anything is shuffled.
+            wanted = references(name, weakly=True)
+            area = next(iter(wanted))
+            first = next(c for c in known[name].column_names if c != area)
+            points = ranked.points_per_area(tables[name], area, first, points_per_area)
+            done[name] = closure.rows_with_any_key(points, {area: wanted[area]})
+        elif name in via or len(circles[name]) > 1 or any(e.child == name for e in asked):
+            close(circles[name])
+        else:
+            df = closure.rows_with_any_key(tables[name], references(name, weakly=False))
+            leads_on = any(e.child == name for e in unsure) or any(fk.parent in weak for fk in known[name].foreign_keys)
             done[name] = cut_lineage(df) if leads_on else df
         return done[name]
 
@@ -94,16 +127,21 @@ def cascade_sample(
     return {t: tables[t] if known[t].lookup else sampled(t) for t in chosen}
 
 
-def _reached_downward(specs: tuple[TableSpec, ...], root: str) -> dict[str, ForeignKey | None]:
-    """Tables that refer to the root, directly or not, with the reference that leads there."""
-    via: dict[str, ForeignKey | None] = {root: None}
-    queue = [root]
-    for parent in queue:
-        for spec in specs:
-            edge = next((fk for fk in spec.foreign_keys if fk.parent == parent and not fk.weak), None)
-            if edge and spec.name not in via and not spec.lookup:
-                via[spec.name] = edge
-                queue.append(spec.name)
+def _reached_downward(specs: tuple[TableSpec, ...], root: str) -> dict[str, list[ForeignKey]]:
+    """Tables that refer to the root, directly or not, with their references to nearer tables."""
+    via: dict[str, list[ForeignKey]] = {root: []}
+    level = [root]
+    while level:
+        nearer = set(via)
+        found = {
+            s.name: edges
+            for s in specs
+            if s.name not in nearer
+            and not s.lookup
+            and (edges := [fk for fk in s.foreign_keys if not fk.weak and fk.parent in nearer])
+        }
+        via |= found
+        level = list(found)
     return via
 
 
@@ -119,6 +157,29 @@ def _reached_upward(known: dict[str, TableSpec], members: list[str]) -> list[str
     return found
 
 
+def _unsure_edges(
+    known: dict[str, TableSpec], via: dict[str, list[ForeignKey]], members: list[str]
+) -> list[closure.Edge]:
+    """The references between members that the draw alone does not satisfy.
+
+    The only reference by which a table was reached is satisfied, unless rows are added to
+    that table for others.
+    """
+    every = [
+        (closure.Edge(m, fk.column, fk.parent, fk.parent_column), via.get(m) == [fk])
+        for m in members
+        for fk in known[m].foreign_keys
+        if not fk.weak and fk.parent in members
+    ]
+    unsure = [edge for edge, sure in every if not sure]
+    while True:
+        grows = {e.parent for e in unsure}
+        more = [e for e, _ in every if e not in unsure and e.child in grows]
+        if not more:
+            return unsure
+        unsure += more
+
+
 def orphans_per_edge(tables: dict[str, DataFrame], specs: tuple[TableSpec, ...]) -> DataFrame:
     """Every declared (strong) edge between the given tables with its orphan count."""
     parts = []

@@ -366,6 +366,94 @@ def sample_event_points(spark, sf):
     return cascade.cascade_sample(tables, (*specs, events), "orders", SAMPLE_SIZE, SEED, only=("events",))["events"]
 
 
+# Tables whose references form other shapes than a tree, made of the given ones.
+SHAPES = {
+    "two_references": (
+        {
+            "customer": ("customer", "c_custkey"),
+            "transfer": ("orders", "o_orderkey", "o_custkey AS payer", "o_custkey * 7 % 100 + 1 AS payee"),
+        },
+        (("transfer", "payer", "customer"), ("transfer", "payee", "customer")),
+    ),
+    "self_reference": (
+        {
+            "customer": ("customer", "c_custkey", "nullif(c_custkey div 2, 0) AS c_boss"),
+            "orders": ("orders", "o_orderkey", "o_custkey"),
+        },
+        (("orders", "o_custkey", "customer"), ("customer", "c_boss", "customer")),
+    ),
+    "reference_cycle": (
+        {
+            "customer": ("customer", "c_custkey", "c_custkey % 10 + 1 AS c_suppkey"),
+            "supplier": ("supplier", "s_suppkey", "s_suppkey * 3 AS s_partkey"),
+            "part": ("part", "p_partkey", "p_partkey div 2 + 1 AS p_custkey"),
+        },
+        (
+            ("customer", "c_suppkey", "supplier"),
+            ("supplier", "s_partkey", "part"),
+            ("part", "p_custkey", "customer"),
+        ),
+    ),
+}
+
+
+def _shape(spark, sf, shape: str) -> tuple[dict[str, DataFrame], tuple[TableSpec, ...]]:
+    sources, edges = SHAPES[shape]
+    tables = {t: load(spark, sf, source).selectExpr(*columns) for t, (source, *columns) in sources.items()}
+    keys_of = {t: columns[0] for t, (_, *columns) in sources.items()}
+    specs = tuple(
+        TableSpec(
+            t,
+            tuple(Column(c) for c in df.columns),
+            key=(keys_of[t],),
+            foreign_keys=tuple(ForeignKey(c, parent, keys_of[parent]) for child, c, parent in edges if child == t),
+        )
+        for t, df in tables.items()
+    )
+    return tables, specs
+
+
+def _closed(spark, sf, shape: str) -> tuple[dict[str, DataFrame], tuple[TableSpec, ...]]:
+    tables, specs = _shape(spark, sf, shape)
+    return cascade.cascade_sample(tables, specs, "customer", 50, SEED), specs
+
+
+def _keys_of_sample(spark, sf, shape: str) -> DataFrame:
+    sample, specs = _closed(spark, sf, shape)
+    return reduce(
+        DataFrame.unionByName,
+        [sample[s.name].select(F.lit(s.name).alias("table_name"), F.col(s.key[0]).alias("key")) for s in specs],
+    )
+
+
+@registered
+def sample_two_references(spark, sf):
+    """A table with two references to the sampled one: rows of either, and the customers both need."""
+    return _keys_of_sample(spark, sf, "two_references")
+
+
+@registered
+def sample_self_reference(spark, sf):
+    """A sampled table that refers to itself: all superiors come along, their orders do not."""
+    return _keys_of_sample(spark, sf, "self_reference")
+
+
+@registered
+def sample_reference_cycle(spark, sf):
+    """Three tables that refer to each other in a circle."""
+    return _keys_of_sample(spark, sf, "reference_cycle")
+
+
+@registered
+def sample_shape_orphans(spark, sf):
+    """Orphans on every edge of the three samples above: none."""
+    parts = []
+    for shape in SHAPES:
+        found = cascade.orphans_per_edge(*_closed(spark, sf, shape))
+        parts.append(found.select(F.lit(shape).alias("shape"), "edge", "n_rows", "n_orphans"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @registered
 def events_three_per_user(spark, sf):
     """At most three events per user, in text order of the value."""

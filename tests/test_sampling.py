@@ -1,14 +1,17 @@
 """Samples: exact size, repeatable, and with every reference intact."""
 
 import hashlib
+import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import market
 from quayside.marketplace import marketplace_specs
-from quayside.operators import keys, ranked, sampling
+from quayside.operators import closure, keys, ranked, sampling
 from quayside.plans import cascade
 from quayside.sources import csv
+from quayside.spec import Column, ForeignKey, TableSpec
 
 SPECS = marketplace_specs()
 
@@ -136,3 +139,103 @@ def test_a_sample_with_orphans_is_refused(spark, sample):
     broken = {**cut, "customers": cut["customers"].limit(5)}
     with pytest.raises(cascade.OrphansFound, match="orders.customer_id"):
         cascade.write_sample(spark, broken, SPECS, str(folder / "broken"))
+
+
+def keyed(name, columns, *edges):
+    return TableSpec(name, tuple(map(Column, columns)), (columns[0],), tuple(ForeignKey(*e) for e in edges))
+
+
+def closed(rows, edges, chosen):
+    """Keys of all rows that must be there, by following one row after the other."""
+    found = {(t, k) for t, ks in chosen.items() for k in ks}
+    todo = list(found)
+    for table, key in todo:
+        for child, column, parent in edges:
+            target = rows[child].get(key, {}).get(column) if child == table else None
+            if target in rows[parent] and (parent, target) not in found:
+                found.add((parent, target))
+                todo.append((parent, target))
+    return found
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_closure_of_random_references(spark, seed):
+    pick = random.Random(seed)
+    names = ["a", "b", "c"]
+    edges = [(pick.choice(names), f"r{i}", pick.choice(names)) for i in range(5)]
+    rows = {
+        t: {k: {c: pick.choice([None, *range(70)]) for child, c, _ in edges if child == t} for k in range(60)} for t in names
+    }
+    tables = {}
+    for t in names:
+        columns = ["k", *[c for child, c, _ in edges if child == t]]
+        data = [(k, *[row[c] for c in columns[1:]]) for k, row in rows[t].items()]
+        tables[t] = spark.createDataFrame(data, ", ".join(f"{c} bigint" for c in columns)).repartition(3)
+    chosen = {"a": [0, 1, 2], "b": [5]}
+    start = {t: tables[t].where(F.col("k").isin(ks)) for t, ks in chosen.items()}
+    found = closure.close_references(tables, [closure.Edge(c, col, p, "k") for c, col, p in edges], start)
+    got = {(t, k) for t, ks in chosen.items() for k in ks}
+    for t in names:
+        added = closure.rows_added(tables[t], t, found)
+        more = [(t, r.k) for r in added.collect()] if added is not None else []
+        assert len(set(more)) == len(more) and not got & set(more)
+        got |= set(more)
+    assert got == closed(rows, edges, chosen)
+
+
+def test_rounds_are_as_many_as_the_longest_chain(spark):
+    chain = spark.sql("select id as k, nullif(id - 1, -1) as before from range(50)")
+    edges = [closure.Edge("t", "before", "t", "k")]
+    found = closure.close_references({"t": chain}, edges, {"t": chain.where("k in (12, 9)")})
+    assert found.rounds == 9 and closure.rows_added(chain, "t", found).count() == 11
+    nothing = closure.close_references({"t": chain}, edges, {"t": chain.where("k = 0")})
+    assert nothing.rounds == 0 and closure.rows_added(chain, "t", nothing) is None
+    ring = spark.sql("select id as k, (id + 1) % 7 as before from range(7)")
+    assert closure.close_references({"t": ring}, edges, {"t": ring.where("k = 3")}).rounds == 6
+
+
+def test_references_to_two_columns_of_one_table(spark):
+    parent = spark.sql("select id as k, id + 100 as code, nullif(id + 101, 110) as next from range(10)")
+    child = spark.sql("select 3 as k, 106 as code union all select 4, null")
+    edges = [
+        closure.Edge("child", "k", "parent", "k"),
+        closure.Edge("child", "code", "parent", "code"),
+        closure.Edge("parent", "next", "parent", "code"),
+    ]
+    found = closure.close_references({"parent": parent}, edges, {"child": child})
+    assert sorted(r.k for r in closure.rows_added(parent, "parent", found).collect()) == [3, 4, 5, 6, 7, 8, 9]
+
+
+def test_a_second_reference_a_self_reference_and_dirty_keys(spark):
+    people = spark.sql("select id as k, case when id % 5 = 0 then id + 1000 else id div 2 end as boss from range(1, 400)")
+    deals = spark.sql("select id as d, id % 400 as buyer, (id * 7) % 399 + 1 as seller from range(900)")
+    specs = (
+        keyed("people", ["k", "boss"], ("boss", "people", "k")),
+        keyed("deals", ["d", "buyer", "seller"], ("buyer", "people", "k"), ("seller", "people", "k")),
+    )
+    cut = cascade.cascade_sample({"people": people, "deals": deals}, specs, "people", 20, 1)
+    drawn = set(smallest(range(1, 400), 20, 1))
+    kept = {r.d for r in cut["deals"].collect()}
+    assert kept == {d for d in range(900) if d % 400 in drawn or (d * 7) % 399 + 1 in drawn}
+    wanted = drawn | {d % 400 for d in kept} | {(d * 7) % 399 + 1 for d in kept}
+    todo = list(wanted)
+    for k in todo:
+        boss = k + 1000 if k % 5 == 0 else k // 2
+        if boss not in wanted:
+            wanted.add(boss)
+            todo.append(boss)
+    got = [r.k for r in cut["people"].collect()]
+    assert len(got) == len(set(got)) and set(got) == wanted & set(range(1, 400))
+
+
+def test_a_hot_parent_and_repeated_parent_rows(spark):
+    people = spark.sql("select case when id < 300 then 1 else id end as k, id as v from range(1, 900)")
+    deals = spark.sql("select id as d, 1 as buyer, id % 880 as seller from range(500)")
+    specs = (
+        keyed("people", ["k", "v"]),
+        keyed("deals", ["d", "buyer", "seller"], ("buyer", "people", "k"), ("seller", "people", "k")),
+    )
+    cut = cascade.cascade_sample({"people": people, "deals": deals}, specs, "deals", 40, 1)
+    assert cut["deals"].count() == 40
+    sellers = {r.seller for r in cut["deals"].collect()} & set(range(300, 900))
+    assert sorted(r.v for r in cut["people"].collect()) == [*range(1, 300), *sorted(sellers)]
