@@ -109,26 +109,58 @@ def best_fit_decreasing(lengths: list[int], capacity: int) -> list[list[int]]:
     return sequences
 
 
-def _rows(group: list[tuple], sequences: list[list[int]], first: int, capacity: int, end_id: int, kind: str):
-    for n, members in enumerate(sequences):
-        parts = [group[i] for i in members]
-        ids = np.frombuffer(b"".join(p[3] for p in parts), "<u4")
-        ends = np.cumsum([len(p[3]) // 4 for p in parts])
-        row = np.full(capacity, end_id, kind)
-        row[: len(ids)] = ids
-        begins = np.zeros(capacity, np.int64)
-        begins[[e for e in ends.tolist() if e < capacity]] = [e for e in ends.tolist() if e < capacity]
-        positions = np.arange(capacity) - np.maximum.accumulate(begins)
-        yield {
-            "sequence_id": first + n,
-            "n_tokens": len(ids),
-            "ids": row.tobytes(),
-            "cu_seqlens": np.concatenate([[0], ends]).astype("<i4").tobytes(),
-            "positions": positions.astype("<u2").tobytes(),
-            "doc_ids": [p[0] for p in parts],
-            "pieces": [p[1] for p in parts],
-            "starts": [p[2] for p in parts],
-        }
+def _binary(values: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """One binary value for each count: so many of the values, one after the other."""
+    offsets = np.concatenate([[0], np.cumsum(counts)]) * values.itemsize
+    return pa.Array.from_buffers(
+        pa.binary(), len(counts), [None, pa.py_buffer(offsets.astype("<i4").tobytes()), pa.py_buffer(values.tobytes())]
+    )
+
+
+def _positions(rows: np.ndarray, offsets: np.ndarray, lengths: np.ndarray, filled: np.ndarray, capacity: int) -> np.ndarray:
+    """A row of positions for each sequence: from 0 in each segment, and in the padding.
+
+    ``rows``, ``offsets`` and ``lengths`` tell where the segments are, row by row in order.
+    """
+    positions = (np.arange(capacity)[None, :] - filled[:, None]).astype("<u2")
+    within = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    positions.ravel()[np.repeat(rows * capacity + offsets, lengths) + within] = within
+    return positions
+
+
+def _batch(group: list[tuple], sequences: list[list[int]], first: int, capacity: int, end_id: int, kind: str):
+    """The sequences of a group as one record batch, its arrays filled as wholes."""
+    order = [i for members in sequences for i in members]
+    counts = np.array([len(members) for members in sequences])
+    rows = np.repeat(np.arange(len(sequences)), counts)
+    lengths = np.array([len(group[i][3]) // 4 for i in order])
+    begins = np.cumsum(lengths) - lengths
+    firsts = np.cumsum(counts) - counts
+    offsets = begins - begins[firsts][rows]
+    filled = np.add.reduceat(lengths, firsts)
+
+    ids = np.frombuffer(b"".join([group[i][3] for i in order]), "<u4")
+    matrix = np.full((len(sequences), capacity), end_id, kind)
+    matrix.ravel()[np.repeat(rows * capacity + offsets - begins, lengths) + np.arange(len(ids))] = ids
+    bounds = np.zeros(len(order) + len(sequences), "<i4")
+    bounds[np.arange(len(order)) + rows + 1] = offsets + lengths
+    each = np.full(len(sequences), capacity)
+    splits = pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32())
+
+    def lists(field: int, kind: pa.DataType) -> pa.Array:
+        return pa.ListArray.from_arrays(splits, pa.array([group[i][field] for i in order], kind))
+
+    columns = [
+        pa.array(first + np.arange(len(sequences)), pa.int64()),
+        pa.array(filled, pa.int32()),
+        _binary(matrix, each),
+        _binary(bounds, counts + 1),
+        _binary(_positions(rows, offsets, lengths, filled, capacity), each),
+        lists(0, pa.int64()),
+        lists(1, pa.int32()),
+        lists(2, pa.int64()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, schema=PACKED)
 
 
 def packed(
@@ -155,15 +187,16 @@ def packed(
         def flush():
             nonlocal group, size, done
             sequences = best_fit_decreasing([len(p[3]) // 4 for p in group], capacity)
-            rows = list(_rows(group, sequences, first + done, capacity, end_id, kind))
-            done += len(rows)
+            whole = _batch(group, sequences, first + done, capacity, end_id, kind)
+            done += len(sequences)
             group, size = [], 0
-            for i in range(0, len(rows), ROWS_AT_ONCE):
-                yield pa.RecordBatch.from_pylist(rows[i : i + ROWS_AT_ONCE], PACKED)
+            for i in range(0, len(sequences), ROWS_AT_ONCE):
+                yield whole.slice(i, ROWS_AT_ONCE)
 
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary())):
-                encoded = encode(text.as_py() or b"") + end
+            texts = batch.column("text").cast(pa.binary()).to_pylist()
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts):
+                encoded = encode(text or b"") + end
                 for k, at in enumerate(range(0, len(encoded), 4 * capacity)):
                     piece = encoded[at : at + 4 * capacity]
                     group.append((doc_id, k, at // 4, piece))
@@ -181,6 +214,14 @@ def write_packed(docs: DataFrame, path: str, **options) -> None:
     packed(docs, **options).write.parquet(path)
 
 
+def _flat(column: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """All values of a binary column, and how many each row has."""
+    offsets = np.frombuffer(column.buffers()[1], "<i4")[column.offset : column.offset + len(column) + 1]
+    data = column.buffers()[2]
+    values = np.frombuffer(data, "u1")[offsets[0] : offsets[-1]].view(kind) if data else np.zeros(0, kind)
+    return values, np.diff(offsets) // values.itemsize
+
+
 def read_segments(spark: SparkSession, path: str, wide: bool = False) -> DataFrame:
     """Every segment, cut out of the written matrices by the written lengths and checked.
 
@@ -190,32 +231,37 @@ def read_segments(spark: SparkSession, path: str, wide: bool = False) -> DataFra
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = []
-            for row in batch.to_pylist():
-                ids = np.frombuffer(row["ids"], kind)
-                positions = np.frombuffer(row["positions"], "<u2")
-                ends = np.frombuffer(row["cu_seqlens"], "<i4")
-                bounds = ends if ends[-1] == len(ids) else np.append(ends, len(ids))
-                right = np.array_equal(np.flatnonzero(positions == 0), bounds[:-1]) and bool(
-                    np.all((np.diff(positions.astype(int)) == 1) | (positions[1:] == 0))
-                )
-                wide_ids = ids.astype("<u4")
-                for k, (start, end) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist())):
-                    found.append(
-                        {
-                            "doc_id": row["doc_ids"][k],
-                            "piece": row["pieces"][k],
-                            "start": row["starts"][k],
-                            "length": end - start,
-                            "ids_crc32": zlib.crc32(wide_ids[start:end].tobytes()),
-                            "sequence_id": row["sequence_id"],
-                            "offset": start,
-                            "positions_ok": right,
-                        }
-                    )
-            yield pa.RecordBatch.from_pylist(found, _SEGMENTS)
-
-    return spark.read.schema(PACKED_DDL).parquet(path).mapInArrow(cut, SEGMENTS)
+            if not batch.num_rows:
+                continue
+            ids, widths = _flat(batch.column("ids").cast(pa.binary()), kind)
+            positions, _ = _flat(batch.column("positions").cast(pa.binary()), "<u2")
+            bounds, counts = _flat(batch.column("cu_seqlens").cast(pa.binary()), "<i4")
+            lasts = np.cumsum(counts) - 1
+            inner, outer = np.ones(len(bounds), bool), np.ones(len(bounds), bool)
+            inner[lasts] = False
+            outer[lasts - counts + 1] = False
+            offsets, ends = bounds[inner].astype(np.int64), bounds[outer].astype(np.int64)
+            rows = np.repeat(np.arange(len(counts)), counts - 1)
+            capacity = int(widths[0])
+            expected = _positions(rows, offsets, ends - offsets, bounds[lasts].astype(np.int64), capacity)
+            right = (positions.reshape(-1, capacity) == expected).all(axis=1)
+            octets = memoryview(ids.astype("<u4").tobytes())
+            starts = 4 * (rows * capacity + offsets)
+            stops = 4 * (rows * capacity + ends)
+            crcs = [zlib.crc32(octets[a:b]) for a, b in zip(starts.tolist(), stops.tolist())]
+            columns = [
+                batch.column("doc_ids").flatten(),
+                batch.column("pieces").flatten(),
+                batch.column("starts").flatten(),
+                pa.array(ends - offsets),
+                pa.array(crcs, pa.int64()),
+                pa.array(batch.column("sequence_id").to_numpy()[rows]),
+                pa.array(offsets),
+                pa.array(right[rows]),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, schema=_SEGMENTS)
+
+    return bounded(spark.read.schema(PACKED_DDL).parquet(path)).mapInArrow(cut, SEGMENTS)
 
 
 _SEGMENTS = pa.schema(
