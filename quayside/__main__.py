@@ -22,7 +22,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 
 from quayside.marketplace import marketplace_specs
-from quayside.plans import cascade, landing, manifest, mart, publish, staging, validation
+from quayside.plans import cascade, intake, landing, manifest, mart, publish, staging, validation
 from quayside.session import build_session
 
 
@@ -38,8 +38,10 @@ def _parser() -> argparse.ArgumentParser:
         added.add_argument("--file", action="append", default=[], metavar="TABLE=NAME", help="file of one table")
         return added
 
+    diverting = {"action": "store_const", "dest": "on_reject", "const": intake.DIVERT, "default": intake.STOP}
     for name in ("land", "stage"):
         added = command(name, "source", "root")
+        added.add_argument("--divert", help="write records that do not fit to rejects/ and go on", **diverting)
         added.add_argument("--run-id", default=None)
         added.add_argument("--sample", action="store_true", help="do not compare rows with the full data set")
         if name == "stage":
@@ -48,6 +50,7 @@ def _parser() -> argparse.ArgumentParser:
     added = command("sample", "source", "target")
     added.add_argument("--orders", type=int, default=3000)
     added.add_argument("--seed", type=float, default=0.42)
+    added.add_argument("--divert", help="write records that do not fit to _rejects/ and go on", **diverting)
     manifest_command = command("manifest", "source", "target")
     manifest_command.add_argument("--orders", type=int, default=3000)
     added = command("verify", "source", "manifest")
@@ -82,10 +85,12 @@ def run(spark: SparkSession, argv: list[str]) -> int:
     run_id = getattr(args, "run_id", None) or f"{now:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:6]}"
     try:
         if args.command == "land":
-            show(landing.land_raw(spark, specs, args.source, args.root, run_id, now, not args.sample))
+            show(
+                landing.land_raw(spark, specs, args.source, args.root, run_id, now, not args.sample, args.on_reject)
+            )
         elif args.command == "stage":
             report = staging.stage_files(
-                spark, args.source, staged, args.root, run_id, args.check_only, not args.sample
+                spark, args.source, staged, args.root, run_id, args.check_only, not args.sample, args.on_reject
             )
             show(validation.problem_totals(report))
             show(report.where("severity = 'warn' and n_violations > 0"))
@@ -93,7 +98,11 @@ def run(spark: SparkSession, argv: list[str]) -> int:
             mart.publish_mart(spark, args.staging_root, args.raw_root, args.root, run_id)
             show(publish.published_tables(spark, args.root))
         elif args.command == "sample":
-            show(cascade.sample_files(spark, args.source, args.target, specs, "orders", args.orders, args.seed))
+            show(
+                cascade.sample_files(
+                    spark, args.source, args.target, specs, "orders", args.orders, args.seed, args.on_reject
+                )
+            )
         elif args.command == "manifest":
             built = manifest.csv_manifest(spark, args.source, specs)
             fields = {n: getattr(args, f"{n}_field") for n in ("dataset", "source", "license")}

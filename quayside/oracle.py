@@ -553,6 +553,12 @@ SELECT table_name, max(n_rows) AS n_rows,
        coalesce(sum(n_violations) FILTER (WHERE severity = 'error' AND n_violations > 0), 0)::BIGINT AS n_violations
 FROM ({_report()}) GROUP BY table_name""",
         "expected_counts": _expected(),
+        "csv_intake": "SELECT doc_id, text, lang, source, n_chars FROM documents",
+        "diverted_records": """
+SELECT CASE WHEN o_orderkey % 107 = 0 AND o_orderkey % 103 <> 0 THEN 'not UTF-8'
+            WHEN o_orderkey % 101 = 0 OR o_orderkey % 103 = 0 THEN 'wrong number of fields' ELSE 'landed' END AS outcome,
+       count(*) AS n_records, sum(o_orderkey)::BIGINT AS key_sum
+FROM orders GROUP BY 1""",
         "sample_orders": PICKED + "SELECT * FROM picked",
         "sample_lineitem": PICKED + "SELECT * FROM s_lineitem",
         "sample_customer": PICKED + "SELECT * FROM s_customer",

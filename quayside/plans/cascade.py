@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.operators import closure, keys, ranked, sampling
+from quayside.plans import intake, staging
 from quayside.session import cut_lineage, working_folder
-from quayside.sources import csv, files
+from quayside.sources import csv
 from quayside.spec import ForeignKey, TableSpec, by_name
 
 POINTS_PER_AREA = 3
@@ -208,13 +209,16 @@ def sample_files(
     root: str = "orders",
     n: int = 3000,
     seed=0.42,
+    on_reject: str = intake.STOP,
 ) -> DataFrame:
-    """Sample the CSV files of a folder into another.  Any missing file stops the run."""
-    lost = [r.file_name for r in files.missing_files(spark, source, [s.file_name for s in specs]).collect()]
-    if lost:
-        raise FileNotFoundError(f"not in {source}: {', '.join(sorted(lost))}")
-    tables = {s.name: csv.read_by_position(spark, f"{source}/{s.file_name}", s) for s in specs}
+    """Sample the CSV files of a folder into another.  Any missing file stops the run.
+
+    So do records that do not fit, unless they are diverted, to ``_rejects`` in the target.
+    """
     with working_folder(spark):
+        tables = staging.read_text_tables(
+            spark, source, specs, on_reject=on_reject, rejects_path=f"{target}/_rejects", named=False
+        )
         return write_sample(spark, cascade_sample(tables, specs, root, n, seed), specs, target)
 
 

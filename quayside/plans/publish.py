@@ -35,17 +35,23 @@ class Written:
     measures: dict[str, int]
 
 
-def write_counted(df: DataFrame, path: str, drop: tuple[str, ...] = (), **measures: Column) -> Written:
+def write_counted(
+    df: DataFrame, path: str, drop: tuple[str, ...] = (), keep: Column | None = None, **measures: Column
+) -> Written:
     """Write Parquet and count in the same pass; extra measures ride along.
 
-    Columns in ``drop`` serve the measures and are not written.
+    Columns in ``drop`` serve the measures and are not written.  With ``keep`` only rows
+    for which it holds are written and counted as rows; the measures see all.
 
     The counters sit directly in front of the writer, in the last stage of the job,
     where Spark counts each task's success once.
     """
     seen = Observation()
-    counters = [F.count(F.lit(1)).alias("rows")] + [c.alias(n) for n, c in measures.items()]
+    rows = F.count(F.lit(1)) if keep is None else F.count_if(keep)
+    counters = [rows.alias("rows")] + [c.alias(n) for n, c in measures.items()]
     observed = df.observe(seen, *counters)
+    if keep is not None:
+        observed = observed.where(keep)
     observed.drop(*drop).write.mode("overwrite").parquet(path)
     found = {k: int(v or 0) for k, v in seen.get.items()}
     return Written(path, found.pop("rows"), found)
@@ -64,6 +70,7 @@ def write_version(
     root: str,
     run_id: str,
     drop: tuple[str, ...] = (),
+    keep: Column | None = None,
     **measures: Column,
 ) -> dict[str, Written]:
     if read_pointer(spark, root)["run_id"] == run_id:
@@ -71,7 +78,7 @@ def write_version(
 
     def write(item: tuple[str, DataFrame]) -> tuple[str, Written]:
         name, df = item
-        return name, write_counted(df, f"{root}/version={run_id}/{name}", drop, **measures)
+        return name, write_counted(df, f"{root}/version={run_id}/{name}", drop, keep, **measures)
 
     with ThreadPoolExecutor(PARALLEL_WRITES) as pool:
         return dict(pool.map(write, tables.items()))

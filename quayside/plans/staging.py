@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from quayside.functions.text import NULL_TOKENS, name, typed
-from quayside.plans import publish, validation
+from quayside.plans import intake, publish, validation
 from quayside.session import new_run_folder, working_folder
-from quayside.sources import csv, files
+from quayside.sources import files
 from quayside.spec import TableSpec
 
 
@@ -25,34 +25,26 @@ def read_text_tables(
     source: str,
     specs: tuple[TableSpec, ...],
     na_tokens: tuple[str, ...] = NULL_TOKENS,
-    keep: bool = True,
+    on_reject: str = intake.STOP,
+    rejects_path: str | None = None,
+    named: bool = True,
 ) -> dict[str, DataFrame]:
-    """The CSV files bound by name.  Any missing file stops the run.
+    """The CSV files, bound by name or by position.  Any missing file stops the run.
 
-    Records with too few or too many fields stop it too, by file.  The checks read a
-    table several times, a few columns each.  With ``keep`` the text is parsed once into
-    columnar files in the shared folder and read from there.
+    The text is parsed once into columnar files in the shared folder and read from there.
+    Records that do not fit stop the run, by file, or with ``divert`` are written to
+    ``rejects_path``.
     """
     lost = [r.file_name for r in files.missing_files(spark, source, [s.file_name for s in specs]).collect()]
     if lost:
         raise FileNotFoundError(f"not in {source}: {', '.join(sorted(lost))}")
     paths = {s.name: f"{source}/{s.file_name}" for s in specs}
-    tables = {s.name: csv.read_by_name(spark, paths[s.name], s, na_tokens, keep_corrupt=True) for s in specs}
-    if keep:
-        folder = new_run_folder(spark, "text")
-        written = publish.write_version(
-            spark, tables, folder, "text", (csv.CORRUPT,), corrupt=csv.corrupt_records()
-        )
-        broken = [name for name, w in written.items() if w.measures["corrupt"]]
-    else:
-        broken = [name for name, df in tables.items() if df.where(f"{csv.CORRUPT} IS NOT NULL").take(1)]
-    if broken:
-        raise BrokenRecords(
-            "; ".join(csv.explain_corrupt(spark, paths[s.name], s, by_name=True) for s in specs if s.name in broken)
-        )
-    if keep:
-        return {name: spark.read.parquet(w.path) for name, w in written.items()}
-    return {s.name: csv.read_by_name(spark, paths[s.name], s, na_tokens) for s in specs}
+    taken = intake.take_in(spark, paths, specs, new_run_folder(spark, "text"), "text", named, na_tokens)
+    if taken.rejects is not None:
+        if on_reject == intake.STOP:
+            raise BrokenRecords(intake.describe(taken.rejects))
+        taken.rejects.write.mode("overwrite").parquet(rejects_path)
+    return {name: spark.read.parquet(w.path) for name, w in taken.written.items()}
 
 
 def stage(
@@ -85,12 +77,15 @@ def stage_files(
     run_id: str,
     check_only: bool = False,
     compare_rows: bool = False,
+    on_reject: str = intake.STOP,
 ) -> DataFrame:
     """Read, check and publish the CSV files; leaves nothing in the shared folder.
 
-    Returns the report as it is stored beside the data.
+    Returns the report as it is stored beside the data.  Diverted records go to
+    ``rejects/run_id=<run_id>`` under the root.
     """
     with working_folder(spark):
-        tables = read_text_tables(spark, source, specs)
+        rejects_path = f"{root}/rejects/run_id={run_id}"
+        tables = read_text_tables(spark, source, specs, on_reject=on_reject, rejects_path=rejects_path)
         stage(spark, tables, specs, root, run_id, check_only, compare_rows)
     return spark.read.parquet(f"{root}/reports/run_id={run_id}")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from quayside.functions import text as tx
 from quayside.operators import business, checks, keys, ranked, sampling
-from quayside.plans import cascade, landing, manifest, mart, profile, publish, staging, validation
+from quayside.plans import cascade, intake, landing, manifest, mart, profile, publish, staging, validation
 from quayside.session import new_run_folder
 from quayside.sources import csv, files
 from quayside.spec import Column, ForeignKey, RowRule, TableSpec, by_name
@@ -24,6 +24,7 @@ REGISTRY: dict[str, Query] = {}
 RUN_TS = datetime(2024, 1, 1)
 SEED = 42
 SAMPLE_SIZE = 300
+DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
 EVENT_TYPES = ("click", "error", "purchase", "view")
 
 
@@ -84,6 +85,44 @@ def csv_roundtrip(spark, sf):
     return staging.typed_table(csv.read_by_position(spark, path, spec), spec)
 
 
+@registered
+def csv_intake(spark, sf):
+    """Long texts with quotes and newlines out to CSV, and back by records found in split files."""
+    spec = TableSpec(
+        "documents",
+        tuple(Column(c, "bigint" if c in ("doc_id", "n_chars") else "string") for c in DOCUMENT),
+        file_name="documents.csv",
+        multiline=True,
+    )
+    folder = new_run_folder(spark, "csv")
+    csv.write_csv(load(spark, sf, "documents").select(*DOCUMENT), f"{folder}/documents.csv")
+    return staging.typed_table(staging.read_text_tables(spark, folder, (spec,), named=False)["documents"], spec)
+
+
+@registered
+def diverted_records(spark, sf):
+    """Orders landed from CSV with planted records that do not fit: what landed, and what was diverted."""
+    spec = TableSpec(
+        "orders", (Column("o_orderkey"), Column("o_custkey"), Column("o_orderstatus")), file_name="orders.csv"
+    )
+    line = F.expr("""concat_ws(',', o_orderkey, CASE WHEN o_orderkey % 103 != 0 THEN o_custkey END, CASE
+        WHEN o_orderkey % 103 = 0 THEN NULL WHEN o_orderkey % 107 = 0 THEN 'é' ELSE o_orderstatus END,
+        CASE WHEN o_orderkey % 101 = 0 THEN 'EXTRA' END)""")
+    folder = new_run_folder(spark, "divert")
+    # One column whose name is the header line; é is one byte here, and no UTF-8.
+    lines = load(spark, sf, "orders").select(line.alias(",".join(spec.column_names)))
+    options = {"header": "true", "sep": "\x01", "quote": "\x00", "encoding": "ISO-8859-1"}
+    lines.write.options(**options).csv(f"{folder}/in/orders.csv")
+    landing.land_raw(spark, (spec,), f"{folder}/in", f"{folder}/raw", "r1", RUN_TS, on_reject=intake.DIVERT)
+    landed = publish.read_published(spark, f"{folder}/raw", "orders").select(
+        F.lit("landed").alias("outcome"), F.col("o_orderkey").cast("bigint").alias("key")
+    )
+    rejects = spark.read.schema(intake.REJECTS).parquet(f"{folder}/raw/rejects/run_id=r1")
+    key = F.substring_index(F.decode("record", "ISO-8859-1"), ",", 1).cast("bigint")
+    found = landed.unionByName(rejects.select(F.col("reason").alias("outcome"), key.alias("key")))
+    return found.groupBy("outcome").agg(F.count(F.lit(1)).alias("n_records"), F.sum("key").alias("key_sum"))
+
+
 @registered
 def null_token_fields(spark, sf):
     """Fields that hold a null token become null."""

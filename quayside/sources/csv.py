@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside.functions.text import NULL_TOKENS, name, null_tokens
+from quayside.sources import records
 from quayside.spec import TableSpec
 
 CORRUPT = "_corrupt_record"
@@ -22,7 +23,7 @@ def _reader(spark: SparkSession, multiline: bool):
     )
 
 
-def read_by_position(spark: SparkSession, path: str, spec: TableSpec, keep_corrupt: bool = False) -> DataFrame:
+def read_by_position(spark: SparkSession, path: str | list[str], spec: TableSpec, keep_corrupt: bool = False) -> DataFrame:
     """Bind columns by position, so a dirty header does no harm.
 
     With ``keep_corrupt`` a row with too few or too many fields shows up in
@@ -37,6 +38,15 @@ def read_by_position(spark: SparkSession, path: str, spec: TableSpec, keep_corru
     return reader.schema(schema).csv(path)
 
 
+def _header(spark: SparkSession, path: str, spec: TableSpec) -> list[str]:
+    return _reader(spark, spec.multiline).option("inferSchema", False).csv(path).columns
+
+
+def header_names(spark: SparkSession, path: str, spec: TableSpec) -> list[str]:
+    """The column names of the first file, without a byte order mark."""
+    return [c.lstrip("﻿") for c in _header(spark, path, spec)]
+
+
 def read_by_name(
     spark: SparkSession,
     path: str,
@@ -50,7 +60,7 @@ def read_by_name(
     headers differ are refused by Spark (``enforceSchema`` off).  ``keep_corrupt`` is
     that of :func:`read_by_position`.
     """
-    header = _reader(spark, spec.multiline).option("inferSchema", False).csv(path).columns
+    header = _header(spark, path, spec)
     names = [c.lstrip("﻿") for c in header]
     schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
     reader = _reader(spark, spec.multiline).option("enforceSchema", False)
@@ -61,27 +71,6 @@ def read_by_name(
     return null_tokens(reader.schema(schema).csv(path).toDF(*names), na_tokens, keep=(CORRUPT,))
 
 
-def corrupt_records():
-    """How many records have too few or too many fields, as an aggregate."""
-    return F.count_if(F.col(CORRUPT).isNotNull())
-
-
-def explain_corrupt(spark: SparkSession, path: str, spec: TableSpec, by_name: bool = False) -> str:
-    """File by file: how many records do not fit, and the first line of one of them."""
-    read = read_by_name if by_name else read_by_position
-    source = read(spark, path, spec, keep_corrupt=True)
-    # The whole record goes along because Spark refuses to read the corrupt column alone.
-    record = F.struct(CORRUPT, *[F.col(name(c)) for c in source.columns if c != CORRUPT])
-    bad = (
-        source.where(F.col(CORRUPT).isNotNull())
-        .groupBy(F.col("_metadata.file_name").alias("file_name"))
-        .agg(F.count(F.lit(1)).alias("n"), F.min(record)[CORRUPT].alias("record"))
-        .orderBy("file_name")
-        .collect()
-    )
-    return "; ".join(f"{r.file_name}: {r.n:,} bad record(s), such as {r.record.splitlines()[0]!r}" for r in bad)
-
-
 def write_csv(df: DataFrame, path: str) -> None:
     """A directory of CSV parts that :func:`read_by_position` reads back unchanged."""
     (
@@ -95,21 +84,37 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def records_per_file(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
-    """Records, not lines, of each file: a quoted newline does not start a record."""
-    return (
-        read_by_position(spark, path, spec)
-        .groupBy(F.col("_metadata.file_name").alias("file_name"))
-        .agg(F.count(F.lit(1)).alias("rows"))
-    )
+    """Records, not lines, of each file: a quoted newline does not start a record.
+
+    Files of a ``multiline`` table are split too; only irregular ones are read in one piece.
+    """
+    if not spec.multiline:
+        return _counted(read_by_position(spark, path, spec), F.col("_metadata.file_name"))
+    found = records.find_records(spark, path, True)
+    counted = _counted(found.rows.where("NOT is_header"), F.col("file_name"))
+    if found.irregular:
+        odd = read_by_position(spark, records.as_paths(found.irregular), spec)
+        counted = counted.unionByName(_counted(odd, F.col("_metadata.file_name")))
+    return counted
+
+
+def _counted(df: DataFrame, file_name: Column) -> DataFrame:
+    return df.groupBy(file_name.alias("file_name")).agg(F.count(F.lit(1)).alias("rows"))
 
 
 def register_views(
     spark: SparkSession, directory: str, specs: tuple[TableSpec, ...], prefix: str = "src_"
 ) -> list[str]:
-    """One temporary view per file, nothing copied."""
+    """One temporary view per file, nothing copied.
+
+    A query that meets a record with too few or too many fields fails and names the file.
+    """
     names = []
     for spec in specs:
         name = f"{prefix}{spec.name}"
-        read_by_position(spark, f"{directory}/{spec.file_name}", spec).createOrReplaceTempView(name)
+        # Whole records are parsed, also for a query of a few columns: else their length is not seen.
+        reader = _reader(spark, spec.multiline).option("enforceSchema", True).option("columnPruning", False)
+        view = reader.option("mode", "FAILFAST").schema(spec.text_schema()).csv(f"{directory}/{spec.file_name}")
+        view.createOrReplaceTempView(name)
         names.append(name)
     return names

@@ -221,14 +221,14 @@ def test_both_profiles_judge_types_alike(spark):
     assert exact == sketch
 
 
-@pytest.mark.parametrize("keep", [True, False])
+@pytest.mark.parametrize("named", [True, False])
 @pytest.mark.parametrize("row", ["2,y,EXTRA", "3"])
 @pytest.mark.parametrize("multiline", [True, False])
-def test_rows_of_the_wrong_length_stop_staging(spark, tmp_path, keep, row, multiline):
+def test_rows_of_the_wrong_length_stop_staging(spark, tmp_path, named, row, multiline):
     (tmp_path / "t.csv").write_text(f"a,b\n1,x\n{row}\n4,z\n")
     spec = TableSpec("t", (Column("a", "int"), Column("b")), file_name="t.csv", multiline=multiline)
     with pytest.raises(staging.BrokenRecords, match=r"t\.csv: 1 bad record"):
-        staging.read_text_tables(spark, str(tmp_path), (spec,), keep=keep)
+        staging.read_text_tables(spark, str(tmp_path), (spec,), named=named)
 
 
 def test_staging_leaves_nothing_in_the_shared_folder(spark, tmp_path, monkeypatch):
