@@ -4,6 +4,7 @@ import math
 import random
 import zlib
 from collections import Counter, defaultdict
+from urllib.parse import urlsplit
 
 import duckdb
 import numpy as np
@@ -234,7 +235,7 @@ TEXT = "Title & more\nFirst bold text link, second line.\nUnclosed <p> éé\none
 
 
 def test_a_page_without_its_surroundings():
-    assert main_text.main_text(PAGE % 7, []) == TEXT
+    assert main_text.main_text(PAGE % 7, {}) == TEXT
     assert main_text.best_path(main_text.blocks_of(PAGE % 7)) == "body.home/div/div.content.post-#"
 
 
@@ -251,7 +252,7 @@ def test_a_page_without_its_surroundings():
     ],
 )
 def test_odd_pages(html, text):
-    assert main_text.main_text(html, []) == text
+    assert main_text.main_text(html, {}) == text
 
 
 def test_a_host_outvotes_a_page_with_a_long_sidebar(spark):
@@ -276,5 +277,85 @@ def test_a_host_outvotes_a_page_with_a_long_sidebar(spark):
 
 def test_long_pages():
     html = "<body><article>" + "<p>" + "x &lt; y " * 200_000 + "<b>" * 50_000 + "</article>"
-    assert len(main_text.main_text(html, [])) == len("x < y " * 200_000) - 1
-    assert main_text.main_text("<div>" * 3_000 + "deep", []) == "deep"
+    assert len(main_text.main_text(html, {})) == len("x < y " * 200_000) - 1
+    assert main_text.main_text("<div>" * 3_000 + "deep", {}) == "deep"
+
+
+WORDS = "The article goes on at some length and says what it has to say. " * 6
+BESIDE = "<div class='x-sidebar'><p>Beside it</div><div class='cookie-notice'><p>We use cookies and so on.</div>"
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        f"<div class='content-sidebar-wrap'><main><article><p>{WORDS}</article></main>{BESIDE}</div>",
+        f"<div id='page' class='site right-sidebar'><div class='content'><p>{WORDS}</div>{BESIDE}</div>",
+        f"<div class='page has-cookie-notice'><p>{WORDS}</p>{BESIDE}</div>",
+        f"<div class='social-history-article'><p>{WORDS}</div>{BESIDE}",
+        f"<article class='post search-result'><p>{WORDS}</article>{BESIDE}",
+        f"<form id='aspnetForm'><div class='text'><p>{WORDS}</div><input><button>Go</button>{BESIDE}</form>",
+        f"<div class='has-comments'><article><p>{WORDS}</article><div id='comments'><article class='comment-body'><p>"
+        f"I have read it.</article><article class='comment-body'><p>{WORDS}{WORDS}</article></div>{BESIDE}</div>",
+        f"<article><p>{WORDS}</article><div class='related'><article class='card'><p>Another story</article></div>",
+    ],
+)
+def test_words_in_a_class_drop_no_article(html):
+    assert main_text.main_text(f"<body>{html}</body>", {}) == WORDS.strip()
+
+
+def test_a_page_of_a_rare_layout_keeps_its_article(spark):
+    usual = [(i, "http://h.example/", f"<body><div><p>{WORDS}{i}</div>") for i in range(300)]
+    rare = [(1000, "http://h.example/", f"<body><div><p>One short line</div><main><article><p>{WORDS}</article></main>")]
+    table = spark.createDataFrame(usual + rare, "page_id bigint, url string, html string")
+    found = {r.page_id: r.text for r in main_text.extract(table).collect()}
+    assert found[1000] == WORDS.strip() and found[7] == f"{WORDS}7"
+    many = [(i, "http://h.example/", f"<body><div class='c{chr(97 + i)}x'><p>{WORDS}</div><p>end") for i in range(26)]
+    table = spark.createDataFrame(many, "page_id bigint, url string, html string")
+    assert {r.text for r in main_text.extract(table).collect()} == {WORDS.strip()}
+
+
+def slow_extract(rows):
+    """Vote and extraction over all pages at once."""
+    seen, best = defaultdict(set), defaultdict(set)
+    for i, (_, url, html) in enumerate(rows):
+        blocks = main_text.blocks_of(html)
+        scores = main_text.container_scores(blocks)
+        host = (urlsplit(url or "").hostname or "").lower()
+        for path in scores:
+            seen[host, path].add(i)
+        if scores:
+            top = max(scores.values())
+            best[host, min(p for p in scores if scores[p] == top)].add(i)
+    found = []
+    for i, (page_id, url, html) in enumerate(rows):
+        blocks = main_text.blocks_of(html)
+        scores = main_text.container_scores(blocks)
+        host = (urlsplit(url or "").hostname or "").lower()
+        voters = {j for (h, _), pages in best.items() for j in pages if h == host}
+        known = {p for p in scores if host and len(seen[host, p]) * 100 >= len(voters)}
+        chosen = None
+        if scores:
+            own = min(p for p in scores if scores[p] == max(scores.values()))
+            winners = [p for p in known if len(best[host, p]) * 2 >= len(seen[host, p])]
+            chosen = own
+            if winners:
+                top = max(scores[p] for p in winners)
+                if own in known or 2 * top >= scores[own]:
+                    chosen = min(p for p in winners if scores[p] == top)
+        found.append((page_id, "\n".join(t for path, t, _ in blocks if not chosen or path[: len(chosen)] == chosen)))
+    return sorted(found, key=repr)
+
+
+def test_votes_and_texts_of_whole_tables(spark):
+    pick = random.Random(4)
+    layouts = ["<div class='a'><p>{}</div><div class='b'><p>{}</div>", "<main><p>{}</main><div><p>{}</div>", "<p>{}<p>{}"]
+    layouts += ["<section><div class='t-{}'><p>x</div><p>{}</section>", "<article><p>{}</article><article><p>{}</article>"]
+    pages = []
+    for i in range(240):
+        html = pick.choice(layouts).format("word " * pick.randrange(9), "other " * pick.randrange(9))
+        host = pick.choice(["a.example", "A.example:8080", "u:p@b.example", "[::1]:80", "", None])
+        pages.append((i % 200, None if host is None else f"http://{host}/p?q#f", pick.choice([html, html, html, None, ""])))
+    stored = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "url", "html").collect()]
+    for rows in (pages, stored):
+        table = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(5)
+        assert sorted(((r.page_id, r.text) for r in main_text.extract(table).collect()), key=repr) == slow_extract(rows)
