@@ -196,10 +196,15 @@ def drop_copies(docs: DataFrame, folder: str | None = None) -> DataFrame:
     verdicts = cut_lineage(exact_dedup(docs, folder))
     dropped = verdicts.where("not kept").select("doc_id", "digest")
     hits = cut_lineage(bitmap_of(dropped))
-    digest = sha256_hex(F.coalesce("text", F.lit("")))
-    passed = marked(docs, hits, digest, keep=False)
-    unsure = marked(docs, hits, digest).withColumns({"__id": F.col("doc_id").cast("bigint"), "__digest": digest})
+    # The row goes along as one column, so that no name of its columns matters.
+    rows = docs.select(
+        F.struct("*").alias("row"),
+        F.col("doc_id").cast("bigint").alias("id"),
+        sha256_hex(F.coalesce("text", F.lit(""))).alias("digest"),
+    )
+    passed = marked(rows, hits, F.col("digest"), keep=False).select("row")
     # An id may be repeated with unlike texts, so it takes the digest to tell what goes.
-    gone = dropped.select(F.col("doc_id").alias("__gone"), F.col("digest").alias("__gone_digest")).distinct()
-    same = F.col("__id").eqNullSafe(F.col("__gone")) & (F.col("__digest") == F.col("__gone_digest"))
-    return passed.unionByName(unsure.join(gone, same, "left_anti").drop("__id", "__digest"))
+    gone = dropped.toDF("gone_id", "gone_digest").distinct()
+    same = F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("digest") == F.col("gone_digest"))
+    unsure = marked(rows, hits, F.col("digest")).join(gone, same, "left_anti").select("row")
+    return passed.unionByName(unsure).select("row.*")

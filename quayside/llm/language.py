@@ -267,9 +267,15 @@ def predict(docs: DataFrame, net: Network) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, net: Network) -> DataFrame:
-    """The documents in one of the learned languages, with their columns as they are."""
+    """The documents in one of the learned languages, with their columns as they are.
+
+    Columns of any name stay.  A network that has learned no language, for want of labelled
+    documents, can tell none apart: then all documents with a letter stay.
+    """
+    if not net.languages:
+        return docs.where(F.coalesce(F.col("text").cast("string").rlike(r"\p{L}"), F.lit(False)))
     columns = docs.columns
-    schema = docs.schema
+    plain = docs.toDF(*[f"c{i}" for i in range(len(columns))])  # names with dots cannot go to Python
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         predictor = Predictor(net)
@@ -277,4 +283,4 @@ def keep_identified(docs: DataFrame, net: Network) -> DataFrame:
             answers = predict_texts(predictor, batch.column(columns.index("text")).to_pylist())
             yield batch.filter(pa.array([a[0] != UNDETERMINED for a in answers], pa.bool_()))
 
-    return bounded(docs).mapInArrow(answer, schema)
+    return bounded(plain).mapInArrow(answer, plain.schema).toDF(*columns)

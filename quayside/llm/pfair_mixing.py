@@ -207,11 +207,11 @@ def mix(docs: DataFrame, shares: DataFrame | None = None, frame: int = FRAME, bl
 
 def in_mixed_order(docs: DataFrame, shares: DataFrame | None = None) -> DataFrame:
     """The documents with their columns, laid out in files in the order of the mix."""
-    places = mix(docs, shares).groupBy(F.col("doc_id").alias("__id")).agg(
-        F.min(F.struct("position", "start")).alias("__place")
+    places = mix(docs, shares).groupBy(F.col("doc_id").alias("mixed_id")).agg(
+        F.min(F.struct("position", "start")).alias("place")
     )
-    placed = docs.withColumn("__own", F.col("doc_id").cast("bigint"))
-    placed = placed.join(cut_lineage(places), F.col("__own").eqNullSafe(F.col("__id")))
+    # The row goes along as one column, so that no name of its columns matters.
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("bigint").alias("id"))
+    placed = rows.join(cut_lineage(places), F.col("id").eqNullSafe(F.col("mixed_id")))
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = placed.repartitionByRange(n, "__place", "__own").sortWithinPartitions("__place", "__own")
-    return ordered.select(*docs.columns)
+    return placed.repartitionByRange(n, "place", "id").sortWithinPartitions("place", "id").select("row.*")

@@ -185,19 +185,19 @@ def drop_near_copies(docs: DataFrame) -> DataFrame:
     is dropped also has a text that stays are fingerprints taken again, to tell them apart.
     """
     found = cut_lineage(near_duplicates(docs))
-    dropped = found.where("doc_id != component_id").select(F.col("doc_id").alias("__id"), F.col("print").alias("__gone"))
-    ids = cut_lineage(dropped.select("__id").distinct())
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("__id"))
-    unlike = cut_lineage(ids.join(kept, "__id", "left_semi"))
-    rows = docs.withColumn("__own", F.col("doc_id").cast("bigint"))
-    stay = rows.join(ids, rows["__own"] == ids["__id"], "left_anti").drop("__own")
+    dropped = found.where("doc_id != component_id").select(F.col("doc_id").alias("gone_id"), F.col("print").alias("gone"))
+    ids = cut_lineage(dropped.select("gone_id").distinct())
+    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("gone_id"))
+    unlike = cut_lineage(ids.join(kept, "gone_id", "left_semi"))
+    # The row goes along as one column, so that no name of its columns matters.
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("bigint").alias("id"))
+    stay = rows.join(ids, F.col("id") == F.col("gone_id"), "left_anti").select("row.*")
     if unlike.isEmpty():
         return stay
     take = F.pandas_udf(
         lambda texts: texts.map(lambda t: signed(fingerprint(t or b""))).astype("int64"), "bigint"
     )
-    unsure = rows.join(unlike, rows["__own"] == unlike["__id"], "left_semi")
-    unsure = unsure.withColumn("__print", take(F.col("text").cast("string").cast("binary")))
-    gone = dropped.distinct()
-    same = (unsure["__own"] == gone["__id"]) & (unsure["__print"] == gone["__gone"])
-    return stay.unionByName(unsure.join(gone, same, "left_anti").drop("__own", "__print"))
+    unsure = rows.join(unlike, F.col("id") == F.col("gone_id"), "left_semi")
+    unsure = unsure.withColumn("print", take(F.col("row.text").cast("string").cast("binary")))
+    same = (F.col("id") == F.col("gone_id")) & (F.col("print") == F.col("gone"))
+    return stay.union(unsure.join(dropped.distinct(), same, "left_anti").select("row.*"))

@@ -2,7 +2,7 @@
 
 import os
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
@@ -89,3 +89,41 @@ def test_stages_keep_the_columns_of_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, "/root/testdata/sf0.001").columns == docs.columns
+
+
+CLASHING = (
+    "__own __id __bit __bits __piece __place __digest __gone __gone_digest __print id row digest print gone gone_id "
+    "gone_digest mixed_id place position start block source_key kept keep_id component_id lang_pred score `a.b`"
+).split()
+
+
+@pytest.mark.parametrize("stage", [f for _, f in corpus_pipeline.STAGES[:-1]], ids=lambda f: f.__name__)
+def test_stages_keep_columns_of_any_name(spark, stage):
+    texts = ["One text here with words in it", "Another text, und noch ein Wort", "One text here with words in it", "third"]
+    rows = [(i, t, "en" if i % 2 else "de", "s", len(t)) for i, t in enumerate(texts * 3)]
+    rows += [(2, "unlike the other one of this id", "en", None, 1), (None, "no id", "en", "s", 2)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    docs = docs.selectExpr("*", *[f"concat(doc_id, '{c.strip('`')}') AS {c}" for c in CLASHING]).repartition(3)
+    found = stage(spark, docs, "unused")
+    assert found.schema == docs.schema
+    given, kept = Counter(map(tuple, docs.collect())), Counter(map(tuple, found.collect()))
+    assert kept and not kept - given
+    plain = Counter(map(tuple, stage(spark, docs.select(*docs.columns[:5]), "unused").collect()))
+    assert Counter(row[:5] for row in kept.elements()) == plain
+
+
+def test_without_labelled_documents_all_with_a_letter_stay(spark):
+    rows = [(1, "An ordinary text", None), (2, "123", None), (3, None, None), (4, "Noch einer é", None), (5, "", None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    kept = corpus_pipeline.identify_language(spark, docs, "unused")
+    assert kept.schema == docs.schema and sorted(r.doc_id for r in kept.collect()) == [1, 4]
+
+
+def test_pipeline_of_an_empty_table_and_of_a_very_long_text(spark, tmp_path):
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    spark.createDataFrame([], schema).write.parquet(str(tmp_path / "none" / "documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0
+    rows = [(1, "many words " * 100_000, None, None, None), (2, "few words", None, None, None)]
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "long" / "documents.parquet"))
+    found = corpus_pipeline.run(spark, str(tmp_path / "long")).collect()
+    assert {r.doc_id for r in found} == {1, 2} and sum(r.length for r in found if r.doc_id == 1) == 200_001
