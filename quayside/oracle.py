@@ -553,6 +553,16 @@ SELECT table_name, max(n_rows) AS n_rows,
        coalesce(sum(n_violations) FILTER (WHERE severity = 'error' AND n_violations > 0), 0)::BIGINT AS n_violations
 FROM ({_report()}) GROUP BY table_name""",
         "expected_counts": _expected(),
+        "key_index_appends": """
+WITH batches AS (
+  SELECT 0 AS batch, l_orderkey AS k, l_linenumber AS i FROM lineitem WHERE l_orderkey % 3 = 0
+  UNION ALL SELECT 1, l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey % 3 = 1 OR l_orderkey % 30 = 0
+  UNION ALL SELECT 2, l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey % 3 = 2
+), steps AS (SELECT unnest([0, 1, 2, 3])::INTEGER AS step),
+counted AS (SELECT step, k, i, count(*) AS n FROM steps JOIN batches ON batch <= step GROUP BY ALL)
+SELECT step, sum(n)::BIGINT AS n_rows, coalesce(sum(n) FILTER (n > 1), 0)::BIGINT AS duplicate_rows,
+       count(*) FILTER (n > 1) AS duplicate_keys
+FROM counted GROUP BY step""",
         "csv_intake": "SELECT doc_id, text, lang, source, n_chars FROM documents",
         "diverted_records": """
 SELECT CASE WHEN o_orderkey % 107 = 0 AND o_orderkey % 103 <> 0 THEN 'not UTF-8'

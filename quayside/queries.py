@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from quayside.functions import text as tx
 from quayside.operators import business, checks, keys, ranked, sampling
-from quayside.plans import cascade, intake, landing, manifest, mart, profile, publish, staging, validation
+from quayside.plans import cascade, intake, key_index, landing, manifest, mart, profile, publish, staging, validation
 from quayside.session import new_run_folder
 from quayside.sources import csv, files
 from quayside.spec import Column, ForeignKey, RowRule, TableSpec, by_name
@@ -341,6 +341,21 @@ def expected_counts(spark, sf):
     return report.select("table_name", "severity", "n_rows", F.col("n_violations").alias("difference"))
 
 
+@registered
+def key_index_appends(spark, sf):
+    """Line items appended in three batches, some twice: duplicate keys after each, by the index alone."""
+    items = load(spark, sf, "lineitem")
+    batches = ("l_orderkey % 3 = 0", "l_orderkey % 3 = 1 OR l_orderkey % 30 = 0", "l_orderkey % 3 = 2")
+    index = key_index.KeyIndex(spark, new_run_folder(spark, "index"), ("l_orderkey", "l_linenumber"), buckets=8)
+    found = []
+    for number, batch in enumerate(batches):
+        totals = index.append(items.where(batch), f"b{number}")
+        found.append((number, totals.n_rows, totals.duplicate_rows, totals.duplicate_keys))
+    merged = index.keys().agg(F.sum("n"), F.sum(F.when(F.col("n") > 1, F.col("n"))), F.count_if(F.col("n") > 1)).first()
+    found.append((len(batches), *merged))
+    return spark.createDataFrame(found, "step int, n_rows bigint, duplicate_rows bigint, duplicate_keys bigint")
+
+
 # --- Samples ----------------------------------------------------------------------
 
 
