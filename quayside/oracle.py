@@ -553,6 +553,13 @@ SELECT table_name, max(n_rows) AS n_rows,
        coalesce(sum(n_violations) FILTER (WHERE severity = 'error' AND n_violations > 0), 0)::BIGINT AS n_violations
 FROM ({_report()}) GROUP BY table_name""",
         "expected_counts": _expected(),
+        "bucketed_reference_check": """
+WITH used AS (SELECT l_orderkey AS k, count(*) AS n FROM lineitem GROUP BY 1)
+SELECT 'rows' AS measure, count(*) AS value FROM lineitem
+UNION ALL SELECT 'orphans', count(*) FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)
+UNION ALL SELECT 'parents', count(DISTINCT o_orderkey) FROM orders
+UNION ALL SELECT 'childless', count(DISTINCT o_orderkey) FROM orders WHERE o_orderkey NOT IN (SELECT k FROM used)
+UNION ALL SELECT 'most children', max(n) FROM used WHERE k IN (SELECT o_orderkey FROM orders)""",
         "key_index_appends": """
 WITH batches AS (
   SELECT 0 AS batch, l_orderkey AS k, l_linenumber AS i FROM lineitem WHERE l_orderkey % 3 = 0

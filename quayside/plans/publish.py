@@ -15,17 +15,31 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from quayside.functions.text import name
+from quayside.operators import buckets
 from quayside.session import remove_folder
 from quayside.sources import files
 
 POINTER = "_CURRENT"
 PARALLEL_WRITES = 4
+WHOLE = "whole"  # the one part of a bucketed table
 
 
 class PublishFailed(Exception):
     pass
 
 
+@dataclass(frozen=True)
+class Bucketing:
+    """Rows stored by hash of a column, so that joins and groupings by it need no exchange.
+
+    For columns whose values are spread: all rows of one value share a bucket.
+    """
+
+    column: str
+    buckets: int
+
+
 @dataclass(frozen=True)
 class Written:
     """Where a table went and what was counted while it was written."""
@@ -33,10 +47,17 @@ class Written:
     path: str
     rows: int
     measures: dict[str, int]
+    bucketing: Bucketing | None = None
+    schema: str = ""
 
 
 def write_counted(
-    df: DataFrame, path: str, drop: tuple[str, ...] = (), keep: Column | None = None, **measures: Column
+    df: DataFrame,
+    path: str,
+    drop: tuple[str, ...] = (),
+    keep: Column | None = None,
+    bucketing: Bucketing | None = None,
+    **measures: Column,
 ) -> Written:
     """Write Parquet and count in the same pass; extra measures ride along.
 
@@ -49,12 +70,20 @@ def write_counted(
     seen = Observation()
     rows = F.count(F.lit(1)) if keep is None else F.count_if(keep)
     counters = [rows.alias("rows")] + [c.alias(n) for n, c in measures.items()]
+    if bucketing:
+        df = df.repartition(bucketing.buckets, name(bucketing.column))
     observed = df.observe(seen, *counters)
     if keep is not None:
         observed = observed.where(keep)
-    observed.drop(*drop).write.mode("overwrite").parquet(path)
+    kept = observed.drop(*drop)
+    if bucketing:
+        remove_folder(df.sparkSession, path)
+        buckets.write_part(kept, path, WHOLE, bucketing.column, bucketing.buckets, dealt=True)
+    else:
+        kept.write.mode("overwrite").parquet(path)
     found = {k: int(v or 0) for k, v in seen.get.items()}
-    return Written(path, found.pop("rows"), found)
+    schema = ", ".join(f"{name(f.name)} {f.dataType.simpleString()}" for f in kept.schema)
+    return Written(path, found.pop("rows"), found, bucketing, schema)
 
 
 def read_pointer(spark: SparkSession, root: str) -> dict:
@@ -71,14 +100,16 @@ def write_version(
     run_id: str,
     drop: tuple[str, ...] = (),
     keep: Column | None = None,
+    bucketing: dict[str, Bucketing] | None = None,
     **measures: Column,
 ) -> dict[str, Written]:
     if read_pointer(spark, root)["run_id"] == run_id:
         raise PublishFailed(f"run {run_id} is the published one; give the new run its own id")
 
     def write(item: tuple[str, DataFrame]) -> tuple[str, Written]:
-        name, df = item
-        return name, write_counted(df, f"{root}/version={run_id}/{name}", drop, keep, **measures)
+        table, df = item
+        path = f"{root}/version={run_id}/{table}"
+        return table, write_counted(df, path, drop, keep, (bucketing or {}).get(table), **measures)
 
     with ThreadPoolExecutor(PARALLEL_WRITES) as pool:
         return dict(pool.map(write, tables.items()))
@@ -88,13 +119,15 @@ def switch_pointer(
     spark: SparkSession, root: str, run_id: str, written: dict[str, Written], keep_others: bool = False
 ) -> None:
     """Check rows in against rows out, then make the new version the current one."""
-    for name, w in written.items():
+    for table, w in written.items():
         stored = spark.read.parquet(w.path).count()
         if stored != w.rows:
-            raise PublishFailed(f"{name}: {w.rows:,} rows went in, {stored:,} are stored")
+            raise PublishFailed(f"{table}: {w.rows:,} rows went in, {stored:,} are stored")
     tables = dict(read_pointer(spark, root)["tables"]) if keep_others else {}
-    for name, w in written.items():
-        tables[name] = {"path": f"version={run_id}/{name}", "rows": w.rows}
+    for table, w in written.items():
+        tables[table] = {"path": f"version={run_id}/{table}", "rows": w.rows}
+        if w.bucketing:
+            tables[table] |= {"schema": w.schema, **w.bucketing.__dict__}
     files.replace_text_file(
         spark, f"{root}/{POINTER}", json.dumps({"run_id": run_id, "tables": tables}, sort_keys=True)
     )
@@ -123,11 +156,16 @@ def remove_superseded(spark: SparkSession, root: str) -> list[str]:
 
 
 def publish(
-    spark: SparkSession, tables: dict[str, DataFrame], root: str, run_id: str, keep_others: bool = False
+    spark: SparkSession,
+    tables: dict[str, DataFrame],
+    root: str,
+    run_id: str,
+    keep_others: bool = False,
+    bucketing: dict[str, Bucketing] | None = None,
 ) -> dict[str, int]:
     """Write and switch; returns rows per table."""
     try:
-        written = write_version(spark, tables, root, run_id)
+        written = write_version(spark, tables, root, run_id, bucketing=bucketing)
         switch_pointer(spark, root, run_id, written, keep_others)
     except Exception:
         drop_version(spark, root, run_id)
@@ -146,7 +184,11 @@ def read_published(spark: SparkSession, root: str, table: str) -> DataFrame:
     tables = read_pointer(spark, root)["tables"]
     if table not in tables:
         raise PublishFailed(f"{table} is not published under {root}")
-    return spark.read.parquet(f"{root}/{tables[table]['path']}")
+    found = tables[table]
+    path = f"{root}/{found['path']}"
+    if "buckets" in found:
+        return buckets.read_parts(spark, path, [WHOLE], found["schema"], found["column"], found["buckets"])
+    return spark.read.parquet(path)
 
 
 def preview(spark: SparkSession, root: str, table: str, n: int = 5) -> DataFrame:

@@ -341,6 +341,32 @@ def expected_counts(spark, sf):
     return report.select("table_name", "severity", "n_rows", F.col("n_violations").alias("difference"))
 
 
+ORDER_BUCKETS = {"orders": publish.Bucketing("o_orderkey", 8), "lineitem": publish.Bucketing("l_orderkey", 8)}
+
+
+def _published_in_buckets(spark, sf) -> dict[str, DataFrame]:
+    root = new_run_folder(spark, "buckets")
+    publish.publish(spark, {t: load(spark, sf, t) for t in ORDER_BUCKETS}, root, "r1", bucketing=ORDER_BUCKETS)
+    return {t: publish.read_published(spark, root, t) for t in ORDER_BUCKETS}
+
+
+@registered
+def bucketed_reference_check(spark, sf):
+    """Items without orders, and orders with their items, on tables published in buckets of the order."""
+    tables = _published_in_buckets(spark, sf)
+    found = keys.orphan_summary(tables["lineitem"], "l_orderkey", tables["orders"], "o_orderkey")
+    spread = keys.reference_cardinality(tables["lineitem"], "l_orderkey", tables["orders"], "o_orderkey")
+    counted = found.selectExpr(
+        "stack(2, 'rows', CAST(n_rows AS BIGINT), 'orphans', CAST(orphans AS BIGINT)) AS (measure, value)"
+    )
+    return counted.unionByName(
+        spread.selectExpr(
+            "stack(3, 'parents', n_parents, 'childless', childless_parents, 'most children', max_children)"
+            " AS (measure, value)"
+        )
+    )
+
+
 @registered
 def key_index_appends(spark, sf):
     """Line items appended in three batches, some twice: duplicate keys after each, by the index alone."""

@@ -5,7 +5,7 @@ import re
 import pytest
 
 from quayside.operators import business, keys, ranked
-from quayside.plans import cascade
+from quayside.plans import cascade, publish
 from quayside.queries import REGISTRY
 from quayside.session import cut_lineage
 from quayside.spec import Column, ForeignKey, TableSpec
@@ -154,3 +154,29 @@ def test_examples_move_one_record_per_task(spark, value):
     assert shown.count() == (3 if value == "uuid()" else 1)
     text = plan(found.groupBy("table_name", "rule", "columns").agg({"value": "min"}))
     assert "partial_min" in text
+
+
+def test_tables_in_buckets_are_joined_where_they_are(spark, tmp_path):
+    big = spark.range(5000).selectExpr("id DIV 3 AS k", "id AS v", "'x.y' AS `a b`")
+    small = spark.range(1000).selectExpr("id AS k")
+    root = str(tmp_path / "out")
+    ways = {"big": publish.Bucketing("k", 4), "small": publish.Bucketing("k", 4)}
+    assert publish.publish(spark, {"big": big, "small": small}, root, "r1", bucketing=ways) == {"big": 5000, "small": 1000}
+    stored, parents = (publish.read_published(spark, root, t) for t in ways)
+    assert stored.schema.simpleString() == big.schema.simpleString()
+    assert stored.exceptAll(big).count() == big.exceptAll(stored).count() == 0
+    for df in (
+        stored.join(parents.hint("merge"), "k", "left_semi"),
+        keys.rows_per_key(stored, ["k"]),
+        keys._counted_against(stored, "k", parents, "k").hint("merge"),
+    ):
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert "Exchange hashpartitioning" not in plan, plan
+    found = keys.orphan_summary(stored, "k", parents, "k").first()
+    assert (found.n_rows, found.orphans) == (5000, 2000)
+    with pytest.raises(publish.PublishFailed):
+        publish.publish(spark, {"big": big}, root, "r1", bucketing=ways)
+    publish.publish(spark, {"big": big.limit(7)}, root, "r2", keep_others=True)
+    assert publish.read_published(spark, root, "big").count() == 7
+    assert publish.read_published(spark, root, "small").count() == 1000
