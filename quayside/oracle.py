@@ -601,6 +601,9 @@ SELECT c_nationkey AS nation_key FROM customer UNION SELECT s_nationkey FROM sup
         "profile_lineitem": _profile(_as_text("lineitem", LINEITEM), "lineitem", LINEITEM),
         "profile_lineitem_approximate": f"""
 SELECT * EXCLUDE (n_distinct) REPLACE (NULL::BOOLEAN AS is_key)
+FROM ({_profile(_as_text("lineitem", LINEITEM), "lineitem", LINEITEM)})""",
+        "profile_merged": f"""
+SELECT * EXCLUDE (n_distinct) REPLACE (NULL::BOOLEAN AS is_key), true AS is_close
 FROM ({_profile(_as_text("lineitem", LINEITEM), "lineitem", LINEITEM)})""",
         "profile_estimates": "\nUNION ALL\n".join(
             f"SELECT '{c}' AS column_name, true AS is_close" for c in LINEITEM.split()

@@ -13,6 +13,7 @@ from quayside.operators import keys
 from quayside.spec import TableSpec
 
 COLUMNS_PER_SCAN = 3
+SKETCH_BITS = 12
 
 
 def profile_columns(df: DataFrame, table: str, approximate: bool = False) -> DataFrame:
@@ -72,11 +73,53 @@ def _finish_profile(summary: DataFrame, table: str, is_key: str) -> DataFrame:
 
 
 def _profile_by_sketch(df: DataFrame, table: str) -> DataFrame:
+    """Distinct values are estimated in the column's own type, and an estimate cannot tell
+    a key, so ``is_key`` is null.
+    """
+    return _finish_profile(_one_pass(df, "approx_count_distinct({raw}) AS n_distinct"), table, "NULL")
+
+
+def sketch_columns(df: DataFrame) -> DataFrame:
+    """What a profile needs of each column, in a form that can be merged: one row per column.
+
+    ``sketch`` is a HyperLogLog sketch of the column's texts (standard error about 1.6 %),
+    a few kilobytes however many rows there are.  Written beside the data of a version, it
+    spares reading the data again.
+    """
+    return _one_pass(df, f"hll_sketch_agg(cast({{raw}} AS string), {SKETCH_BITS}) AS sketch")
+
+
+def merge_sketches(*sketches: DataFrame) -> DataFrame:
+    """The sketches of all rows from those of parts, such as files or versions.
+
+    A part without a column has nothing to say of it, so its rows are missing there; the
+    profile of such a column counts the rows of the parts that have it.
+    """
+    whole = reduce(DataFrame.unionByName, sketches)
+    return whole.groupBy("column_name").agg(
+        F.expr("sum(n_rows)").alias("n_rows"),
+        F.expr("sum(n_nulls)").alias("n_nulls"),
+        F.hll_union_agg("sketch").alias("sketch"),
+        F.min("min_length").alias("min_length"),
+        F.max("max_length").alias("max_length"),
+        F.min("min_kind").alias("min_kind"),
+        F.max("max_kind").alias("max_kind"),
+        F.min("example").alias("example"),
+    )
+
+
+def profile_of_sketches(sketches: DataFrame, table: str) -> DataFrame:
+    """The approximate profile, from sketches alone; distinct values are those of the texts."""
+    estimated = sketches.withColumn("n_distinct", F.hll_sketch_estimate("sketch"))
+    return _finish_profile(estimated, table, "NULL")
+
+
+def _one_pass(df: DataFrame, distinct: str) -> DataFrame:
     """A few columns per aggregation, as in the checks: short code, each column read once.
 
-    Distinct values are estimated in the column's own type, and an estimate cannot tell
-    a key, so ``is_key`` is null.  The type is judged from the column's own where that
-    says enough, and for texts only if their first character allows a number or a date.
+    ``distinct`` is SQL for what is kept of the distinct values of the column ``{raw}``.  The
+    type is judged from the column's own where that says enough, and for texts only if their
+    first character allows a number or a date.
     """
     parts = []
     for start in range(0, len(df.columns), COLUMNS_PER_SCAN):
@@ -91,7 +134,7 @@ def _profile_by_sketch(df: DataFrame, table: str) -> DataFrame:
         for i, c in enumerate(columns):
             measures = [
                 f"count_if({tx.name(c)} IS NULL) AS n_nulls",
-                f"approx_count_distinct({tx.name('__raw_' + c)}) AS n_distinct",
+                distinct.format(raw=tx.name("__raw_" + c)),
                 *_measures(tx.name(c), tx.name("__kind_" + c)),
             ]
             named = [m.rsplit(" AS ", 1) for m in measures]
@@ -99,7 +142,7 @@ def _profile_by_sketch(df: DataFrame, table: str) -> DataFrame:
             aggregates.append(f"named_struct('column_name', {tx.literal(c)}, {fields}) AS c{i}")
         structs = ", ".join(f"c{i}" for i in range(len(columns)))
         parts.append(judged.selectExpr(*aggregates).selectExpr("n_rows", f"inline(array({structs}))"))
-    return _finish_profile(reduce(DataFrame.unionByName, parts), table, "NULL")
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _kind(df: DataFrame, column: str) -> str:

@@ -594,6 +594,19 @@ def profile_lineitem_approximate(spark, sf):
     return found.drop("n_distinct")
 
 
+@registered
+def profile_merged(spark, sf):
+    """The profile of line items from stored sketches of three parts, and whether its estimates are close."""
+    items, folder = text_table(spark, sf, "lineitem"), new_run_folder(spark, "sketches")
+    for part in range(3):
+        profile.sketch_columns(items.where(f"l_orderkey % 3 = {part}")).write.parquet(f"{folder}/{part}")
+    stored = [spark.read.parquet(f"{folder}/{part}") for part in range(3)]
+    found = profile.profile_of_sketches(profile.merge_sketches(*stored), "lineitem")
+    exact = profile.profile_columns(items, "lineitem").select("column_name", F.col("n_distinct").alias("exact"))
+    close = F.abs(F.col("n_distinct") - F.col("exact")) <= F.col("exact") / 10
+    return found.join(exact, "column_name").withColumn("is_close", close).drop("n_distinct", "exact")
+
+
 @registered
 def null_patterns(spark, sf):
     """Which columns of the parts are null together."""

@@ -262,3 +262,20 @@ def test_profile_of_text(spark, source):
         assert rows["customer_state"].n_distinct == 1
     exact = {r.column_name: r for r in profile.profile_columns(text, "customers").collect()}
     assert exact["customer_id"].is_key and not exact["customer_unique_id"].is_key
+
+
+def test_merged_sketches_give_the_profile_of_all_rows(spark):
+    whole = spark.sql("""
+        SELECT cast(id AS string) AS k, CASE WHEN id % 7 = 0 THEN NULL ELSE concat('v', id % 1000) END AS v,
+               cast(id % 3 AS string) AS few, cast(NULL AS string) AS none FROM range(30000)""")
+    parts = [whole.where(f"k % 4 = {i}") for i in range(4)] + [whole.limit(0)]
+    merged = profile.profile_of_sketches(profile.merge_sketches(*map(profile.sketch_columns, parts)), "t")
+    exact = {r.column_name: r for r in profile.profile_columns(whole, "t").collect()}
+    for r in merged.collect():
+        own = exact[r.column_name]
+        assert abs(r.n_distinct - own.n_distinct) <= 0.06 * own.n_distinct and r.is_key is None
+        assert (r.n_rows, r.n_nulls, r.null_percent, r.min_length, r.max_length, r.likely_type, r.example) == (
+            own.n_rows, own.n_nulls, own.null_percent, own.min_length, own.max_length, own.likely_type, own.example
+        )
+    both = profile.merge_sketches(profile.sketch_columns(whole), profile.sketch_columns(whole))
+    assert {r.n_distinct for r in profile.profile_of_sketches(both, "t").where("column_name = 'few'").collect()} == {3}
