@@ -6,8 +6,8 @@ several widths slide over them, each filter keeps its largest response, and a so
 these gives the probability of each language.  A text's probabilities are the mean over
 its windows, weighted by their bytes, so every byte of a text counts.
 
-Training is plain numpy on the driver, on at most ``languages * DOCS_PER_LANGUAGE *
-WINDOWS_PER_DOC`` windows, however large the table.  For prediction the embedding and each
+Training is plain numpy on the driver, on about ``languages * DOCS_PER_LANGUAGE *
+WINDOWS_PER_DOC`` windows and never more than twice as many, however large the table.  For prediction the embedding and each
 filter's weights are multiplied out into tables over pairs of bytes, so that a response is
 the sum of at most two rows looked up.
 
