@@ -68,13 +68,15 @@ def _text(value) -> str:
     return str(value)
 
 
-def show(df: DataFrame) -> list:
-    """Print all rows, one per line; returns them."""
-    rows = df.collect()
+def show(df: DataFrame, watched: str | None = None) -> set:
+    """Print all rows, one per line, a partition at a time; returns the values of one column."""
+    found = set()
     print(*df.columns, sep="\t")
-    for row in rows:
+    for row in df.toLocalIterator():
         print(*map(_text, row), sep="\t")
-    return rows
+        if watched:
+            found.add(row[watched])
+    return found
 
 
 def run(spark: SparkSession, argv: list[str]) -> int:
@@ -113,7 +115,7 @@ def run(spark: SparkSession, argv: list[str]) -> int:
             if found is None:
                 print("no manifest, nothing to compare")
                 return 0
-            return 1 if any(r.status in ("missing", "changed") for r in show(found.orderBy("file_name"))) else 0
+            return 1 if show(found.orderBy("file_name"), "status") & {"missing", "changed"} else 0
         elif args.command == "clean":
             print(*publish.remove_superseded(spark, args.root), sep="\n")
         else:

@@ -174,7 +174,7 @@ def test_mart(spark, mart_tables):
     products = built["dim_product"]
     assert {"product_name_length", "product_description_length"} <= set(products.columns)
     names = {r.category for r in products.select("category").distinct().collect()}
-    assert names == {"health_beauty", "auto", "sem_traducao", None}
+    assert names == {"kites_and_string", "lanterns", "nomes_soltos", None}
     assert products.where("not is_complete").count() == 3
     assert built["dim_seller"].where("lat is not null").count() == 8
     assert built["dim_date"].count() == 1
