@@ -585,6 +585,19 @@ FROM orders GROUP BY 1""",
 SELECT * FROM nation WHERE n_nationkey IN (
   SELECT c_nationkey FROM s_customer UNION SELECT s_nationkey FROM s_supplier)""",
         "sample_orphans": _sample_orphans(),
+        "sampled_files": PICKED + """,
+s_part AS (SELECT * FROM part WHERE p_partkey IN (SELECT l_partkey FROM s_lineitem)),
+s_nation AS (SELECT * FROM nation WHERE n_nationkey IN (
+  SELECT c_nationkey FROM s_customer UNION SELECT s_nationkey FROM s_supplier)),
+s_region AS (SELECT * FROM region)
+""" + "\nUNION ALL\n".join(
+            f"SELECT '{t}' AS table_name, (SELECT count(*) FROM {t}) AS source_rows, "
+            f"(SELECT count(*) FROM {s}) AS sample_rows, true AS is_measured"
+            for t, s in [("orders", "picked"), *[(t, f"s_{t}") for t in KEYS if t != "orders"]]
+        ),
+        "stage_check_only": "\nUNION ALL\n".join(
+            f"SELECT '{t}' AS table_name, count(*) AS n_rows, 0 AS n_problems, 0 AS n_published FROM {t}" for t in KEYS
+        ),
         **{f"sample_{shape}": _sample_shape(shape) for shape in SHAPES},
         "sample_shape_orphans": _shape_orphans(),
         "events_three_per_user": _events_per_user("value::VARCHAR"),

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from quayside.functions import text as tx
 from quayside.operators import business, checks, keys, ranked, sampling
 from quayside.plans import cascade, intake, key_index, landing, manifest, mart, profile, publish, staging, validation
-from quayside.session import new_run_folder
+from quayside.session import cut_lineage, new_run_folder
 from quayside.sources import csv, files
 from quayside.spec import Column, ForeignKey, RowRule, TableSpec, by_name
 from quayside.star import TABLES, load, spoiled, star_specs, text_table, text_tables
@@ -534,6 +534,35 @@ def sample_shape_orphans(spark, sf):
     return reduce(DataFrame.unionByName, parts)
 
 
+@registered
+def sampled_files(spark, sf):
+    """All tables out to CSV, then sampled from there: rows by table in the manifest of the source and in the sample."""
+    folder = new_run_folder(spark, "sample")
+    specs = tuple(replace(s, lookup=s.name == "region") for s in star_specs())
+    for spec in specs:
+        csv.write_csv(text_table(spark, sf, spec.name), f"{folder}/in/{spec.file_name}")
+    sample = cascade.sample_files(spark, f"{folder}/in", f"{folder}/out", specs, "orders", SAMPLE_SIZE, SEED)
+    listed = manifest.csv_manifest(spark, f"{folder}/in", specs)
+    by_table = listed.groupBy(F.substring_index("file_name", ".", 1).alias("table_name"))
+    source = cut_lineage(by_table.agg(F.sum("rows").alias("source_rows")))
+    measured = (F.col("bytes") > 0) & (F.col("kilobytes") == F.col("bytes") / 1024)
+    return sample.join(source, "table_name").select(
+        "table_name", "source_rows", F.col("n_rows").alias("sample_rows"), measured.alias("is_measured")
+    )
+
+
+@registered
+def stage_check_only(spark, sf):
+    """The checks of staging alone: every table's rows in the report, no problem, and nothing published."""
+    root = new_run_folder(spark, "check")
+    specs = star_specs(strict=False)
+    report = staging.stage(spark, text_tables(spark, sf), specs, root, "r1", check_only=True, compare_rows=True)
+    published = publish.published_tables(spark, root).count()
+    counted = report.where("rule = 'row_count'").select("table_name", "n_rows")
+    problems = report.where("severity = 'error' AND n_violations > 0").count()
+    return counted.select("*", F.lit(problems).alias("n_problems"), F.lit(published).alias("n_published"))
+
+
 @registered
 def events_three_per_user(spark, sf):
     """At most three events per user, in text order of the value."""
