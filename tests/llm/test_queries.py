@@ -11,6 +11,7 @@ from llm_reference import roots
 
 import __spark_entry__ as contract
 import corpus_pipeline
+from quayside import session
 from quayside.llm import config_packing, language, simhash, tokens
 from quayside.llm.queries import ORACLE_SQL, REGISTRY, remainder
 
@@ -119,6 +120,26 @@ def test_without_labelled_documents_all_with_a_letter_stay(spark):
     assert kept.schema == docs.schema and sorted(r.doc_id for r in kept.collect()) == [1, 4]
 
 
+def test_pipeline_leaves_its_result_only(spark, tmp_path, monkeypatch):
+    shared = tmp_path / "shared"
+    monkeypatch.setattr(session, "shared_folder", lambda spark: str(shared))
+    rows = [(i, f"text {i % 7} of some words", "en", "s", 1) for i in range(40)]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "sf" / "documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path / "sf")).count() > 0
+    left = [str(p.relative_to(shared)).split("/", 1)[1] for p in shared.glob("*/*")]
+    assert left == ["packing"] and len(list(shared.glob("*"))) == 1
+
+    def fail(spark, docs, sf_dir):
+        raise OSError("lost")
+
+    stages = [*corpus_pipeline.STAGES[:2], ("broken", fail)]
+    monkeypatch.setattr(corpus_pipeline, "STAGES", stages)
+    with pytest.raises(OSError):
+        corpus_pipeline.run(spark, str(tmp_path / "sf"))
+    assert len(list(shared.glob("*"))) == 1
+
+
 def test_pipeline_of_an_empty_table_and_of_a_very_long_text(spark, tmp_path):
     schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
     spark.createDataFrame([], schema).write.parquet(str(tmp_path / "none" / "documents.parquet"))
