@@ -226,6 +226,59 @@ def test_distant_intervals_are_skipped():
     assert sum(seen) < 2 * 1200 * 5  # far fewer leaves than all pairs have
 
 
+def test_pairs_at_the_threshold_are_decided_in_double_precision():
+    """Cosines a billionth above and below the threshold, which single precision cannot tell apart."""
+    base = np.eye(1, 64)[0]
+    rows = [base]
+    for i, off in enumerate([1e-9, -1e-9, 1e-12, -1e-12, 0.05, -0.05]):
+        row = np.zeros(64)
+        row[0], row[i + 1] = 0.9 + off, np.sqrt(1 - (0.9 + off) ** 2)
+        rows.append(row)
+    rows = np.array(rows)
+    counts = np.ones(len(rows), np.int64)
+    links, _ = grid_join.join_intervals(rows, rows[:, :8], counts, 0, 0.9, float(np.sqrt(0.2)))
+    expected = (rows @ rows.T >= 0.9).sum(axis=1) - 1
+    assert links.tolist() == expected.tolist() and links[0] == 3
+
+
+@pytest.mark.parametrize("kind,dimension", [("float", 64), ("float", 700), ("int", 5)])
+def test_vectors_stored_in_any_type_and_length(spark, kind, dimension):
+    rng = np.random.default_rng(11)
+    centres = rng.normal(size=(4, dimension)) * 100
+    vectors = centres[rng.integers(4, size=60)] + rng.normal(size=(60, dimension)) * 35
+    vectors = vectors.astype({"float": np.float32, "int": np.int32}[kind])
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    table = spark.createDataFrame(rows, f"vec_id bigint, embedding array<{kind}>")
+    links = cosine_links(rows)
+    low = roots([i for i, _ in rows], links)
+    found = {r.vec_id: (r.n_links, r.component_id) for r in grid_join.near_vectors(table, block=16).collect()}
+    assert found == {i: (sum(i in pair for pair in links), low[i]) for i, _ in rows}
+
+
+def test_axes_of_few_long_vectors():
+    sample = np.random.default_rng(3).normal(size=(20, 300))
+    axes = grid_join.principal_axes(sample)
+    wide = sample - sample.mean(axis=0)
+    _, expected = np.linalg.eigh(wide.T @ wide)
+    assert np.allclose(axes.T @ axes, np.eye(8))
+    assert np.allclose(np.abs((axes * expected[:, ::-1][:, :8]).sum(axis=0)), 1)
+    assert grid_join.principal_axes(sample[:1]).shape == (300, 1)
+    assert grid_join.principal_axes(sample[:0]).tolist() == np.eye(300, 1).tolist()
+
+
+def test_blocks_are_sent_in_proportion_to_rows_and_bounded_by_bytes():
+    def copies(n, dimension, cores):
+        """How often a vector is sent if no pair of blocks can be skipped."""
+        blocks = -(-n // grid_join.rows_per_block(n, dimension, cores))
+        return blocks, blocks * (blocks + 1) // 2
+
+    few, many = copies(10_000, 64, 6), copies(200_000, 64, 6)
+    assert few == many and many[1] >= 6 * grid_join.TASKS_PER_CORE
+    for n, dimension in [(10**9, 64), (10**6, 4096), (100, 1 << 20), (5, 1 << 24)]:
+        rows = grid_join.rows_per_block(n, dimension, 6)
+        assert rows == 1 or rows * dimension * 8 <= grid_join.BLOCK_BYTES
+
+
 def test_unlike_vectors_with_one_id_are_not_linked(spark):
     rows = [(1, [1.0, 0.0, 0.0]), (1, [0.0, 1.0, 0.0]), (2, [1.0, 0.01, 0.0]), (3, [0.0, 1.0, 0.01])]
     rows += [(4, [0.0, 1.0, 0.02])]
