@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 # groups are first cut in this many salted pieces.
 PARTIAL_LIMIT = 1000
 PIECES = 64
+SLICES = 256  # of a group's values, by hash
 
 
 def top_per_group(
@@ -64,27 +65,33 @@ def points_per_area(df: DataFrame, area: str, order: str, k: int = 3, numeric: b
 def smallest_values(df: DataFrame, group: list[str], value: str, k: int = 3, rank_as: str = "rank") -> DataFrame:
     """The ``k`` smallest distinct values of each group, ranked, for few groups and a small k.
 
-    k aggregations one after the other, each finding the smallest value above the last
-    one of its group.  A task sends one record per group, however many values a group
-    has and however often one is repeated.  The groups and their last values go through
-    the driver: at most k rows for each group.
+    One aggregation finds the smallest and largest value of each of ``SLICES`` slices of a
+    group by hash, so a task sends at most that many records of a group, however many values
+    it has and however often one is repeated.  The k lowest slices decide a group if those
+    below the k-th hold one value each.  If not, the k-th slice's smallest value bounds the
+    answer from above, and a second aggregation takes the distinct values up to it, from the
+    undecided groups alone.  Nulls are no values; null is a group of its own.  At most k rows
+    of each group go through the driver.
     """
-    rows = df.select(*group, value)
-    found, last = [], None
-    for place in range(1, k + 1):
-        # Only groups that had a value before can have a further one.
-        further = rows if last is None else rows.where(_above(group, value, last))
-        last = further.groupBy(*group).agg(F.min(value).alias(value)).where(F.col(value).isNotNull()).collect()
-        found += [(*row, place) for row in last]
-        if not last:
-            break
-    schema = rows.schema.add(rank_as, T.IntegerType())
-    return df.sparkSession.createDataFrame(found, schema)
-
-
-def _above(group: list[str], value: str, last: list) -> Column:
-    higher = [
-        reduce(Column.__and__, [F.col(g).eqNullSafe(F.lit(row[g])) for g in group] + [F.col(value) > row[value]])
-        for row in last
-    ]
-    return reduce(Column.__or__, higher, F.lit(False))
+    rows = df.select(*group, value).where(F.col(value).isNotNull())
+    part = F.pmod(F.xxhash64(value), F.lit(SLICES)).alias("__slice")
+    slices = rows.groupBy(*group, part).agg(F.min(value).alias(value), F.max(value).alias("__last"))
+    lowest: dict[tuple, list] = {}
+    for row in top_per_group(slices, group, [F.col(value)], k, rank_as).orderBy(rank_as).collect():
+        lowest.setdefault(tuple(row[g] for g in group), []).append(row)
+    decided, undecided = [], []
+    for key, found in lowest.items():
+        if all(row[rank_as] == k or row[value] == row["__last"] for row in found):
+            decided += [(*key, row[value], row[rank_as]) for row in found]
+        else:
+            undecided.append((key, found[-1][value] if len(found) == k else None))
+    shown = df.sparkSession.createDataFrame(decided, rows.schema.add(rank_as, T.IntegerType()))
+    if not undecided:
+        return shown
+    further = rows.where(reduce(Column.__or__, [_up_to(group, key, value, bound) for key, bound in undecided])).distinct()
+    return shown.unionByName(top_per_group(further, group, [F.col(value)], k, rank_as))
+
+
+def _up_to(group: list[str], key: tuple, value: str, bound) -> Column:
+    same = [F.col(g).eqNullSafe(F.lit(part)) for g, part in zip(group, key)]
+    return reduce(Column.__and__, same if bound is None else [*same, F.col(value) <= F.lit(bound)])

@@ -156,6 +156,32 @@ def test_examples_move_one_record_per_task(spark, value):
     assert "partial_min" in text
 
 
+@pytest.mark.parametrize("kind,k", [("string", 2), ("bigint", 3), ("date", 1), ("decimal(9,2)", 40)])
+def test_smallest_values_of_each_group(spark, monkeypatch, kind, k):
+    rows = spark.range(0, 3000, 1, 6).selectExpr(
+        "nullif(id % 5, 4) AS g", "nullif(concat('h', id % 3), 'h1') AS h", "id"
+    )
+    values = {
+        "string": "if(id % 7 = 0, NULL, concat_ws('', char(97 + id % 3), if(id % 11 = 0, 'é\U0001F600', ''), id % 13))",
+        "bigint": "if(id % 7 = 0, NULL, 40 - id % 90)",
+        "date": "if(id % 7 = 0, NULL, date_add(DATE'1970-01-01', 40 - cast(id % 90 AS int)))",
+        "decimal(9,2)": "cast(if(id % 7 = 0, NULL, (40 - id % 30) / 8) AS decimal(9,2))",
+    }
+    df = rows.selectExpr("g", "h", f"{values[kind]} AS v")
+    groups = {}
+    for r in df.collect():
+        if r.v is not None:
+            groups.setdefault((r.g, r.h), set()).add(r.v)
+    expected = {(*key, v, n) for key, vs in groups.items() for n, v in enumerate(sorted(vs)[:k], 1)}
+    for slices in (256, 3, 1):  # also where slices hold several of the smallest values
+        monkeypatch.setattr(ranked, "SLICES", slices)
+        shown = ranked.smallest_values(df, ["g", "h"], "v", k, rank_as="n")
+        assert shown.columns == ["g", "h", "v", "n"]
+        found = [tuple(r) for r in shown.collect()]
+        assert len(found) == len(expected) and set(found) == expected
+    assert ranked.smallest_values(df.where("v IS NULL"), ["g", "h"], "v", k).count() == 0
+
+
 def test_tables_in_buckets_are_joined_where_they_are(spark, tmp_path):
     big = spark.range(5000).selectExpr("id DIV 3 AS k", "id AS v", "'x.y' AS `a b`")
     small = spark.range(1000).selectExpr("id AS k")
