@@ -30,8 +30,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents, and the place of each in the packed sequences."""
-    return config_packing.pack(docs)
+    """The pieces of all documents, and the place of each in sequences that follow the mixed order."""
+    return config_packing.pack_in_order(docs, pfair_mixing.file_order())
 
 
 STAGES = [

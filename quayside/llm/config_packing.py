@@ -17,6 +17,13 @@ The plan's size depends on the capacity, not on the number of documents.  Spark
 the pieces of each length and looks up where a rank goes.  Ranks come from counts per
 partition, so a length that very many pieces share is ranked in as many tasks.
 
+Documents that have an order, as those of a mix, are packed so that the sequences follow it.
+They are cut into windows of ``WINDOW_TOKENS`` tokens; every window is planned and filled by
+itself, in a task, and the sequences of a window are numbered after those of all windows
+before it.  Within a window the copies of each configuration are spread evenly over the
+order, and the pieces of a length go to the sequences in theirs.  What this costs is that
+the last sequences of each window may not be full.
+
 A null text is an empty one: its only id is the end id.  Rows with a repeated or null doc_id
 are documents like any other.  Only doc_id and text are read.
 """
@@ -24,11 +31,12 @@ are documents like any other.  Only doc_id and text are read.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quayside.llm import tokens
@@ -41,6 +49,8 @@ ROUNDS = None  # of the multiplicative weights; None: until every length is cove
 STEP = 0.5  # share of the scarcest length that one round covers
 LEARNING = 0.3  # how fast a covered length loses weight
 NEXT = 0.999  # share of the last configuration's worth that the next one is first sought above
+WINDOW_TOKENS = 512 * CAPACITY  # whose pieces are packed together where the order counts
+PASSES = 2  # over a window's sequences to bring them into order
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 # Times each length occurs in a sequence, and how many such sequences there are.
@@ -48,31 +58,47 @@ Configuration = tuple[tuple[int, int], ...]
 Plan = list[tuple[Configuration, int]]
 
 
-def pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, tokenizer: str | None = None) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32 of all pieces of the whole texts."""
+def pieces(
+    docs: DataFrame,
+    capacity: int = CAPACITY,
+    end_id: int = END_ID,
+    tokenizer: str | None = None,
+    order: Sequence[Column] = (),
+) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32 of all pieces of the whole texts.
+
+    With an ``order`` also ``place``, its columns as one.
+    """
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = tokens.encoder(tokenizer).encode
         for batch in batches:
-            ids, number, start, length, crc = [], [], [], [], []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary())):
+            row, number, start, length, crc = [], [], [], [], []
+            for n, text in enumerate(batch.column("text").cast(pa.binary())):
                 encoded = memoryview(encode(text.as_py() or b"") + end)
                 for k, at in enumerate(range(0, len(encoded), 4 * capacity)):
                     piece = encoded[at : at + 4 * capacity]
-                    ids.append(doc_id)
+                    row.append(n)
                     number.append(k)
                     start.append(at // 4)
                     length.append(len(piece) // 4)
                     crc.append(zlib.crc32(piece))
+            same = batch.drop_columns(["text"]).take(pa.array(row, pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(number, pa.int32())]
-                + [pa.array(x, pa.int64()) for x in (start, length, crc)],
-                ["doc_id", "piece", "start", "length", "ids_crc32"],
+                [same.column("doc_id"), pa.array(number, pa.int32())]
+                + [pa.array(x, pa.int64()) for x in (start, length, crc)]
+                + same.columns[1:],
+                ["doc_id", "piece", "start", "length", "ids_crc32", *same.schema.names[1:]],
             )
 
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return bounded(rows).mapInArrow(cut, PIECES)
+    rows = docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"),
+        F.col("text").cast("string").alias("text"),
+        *([F.struct(*order).alias("place")] if order else []),
+    )
+    place = f", place {rows.schema['place'].dataType.simpleString()}" if order else ""
+    return bounded(rows).mapInArrow(cut, PIECES + place)
 
 
 def knapsack(
@@ -259,3 +285,84 @@ def pack(
 
     columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
     return _ranked(cut).select(*columns, "rank").mapInArrow(look_up, f"{PIECES}, sequence_id bigint, offset bigint")
+
+
+def in_order(lengths: np.ndarray, plan: Plan) -> tuple[np.ndarray, np.ndarray]:
+    """Sequence and offset of pieces that are given in order, by a plan that holds just them.
+
+    The pieces of one length keep their order.  The first pass takes the copies of each
+    configuration as spread evenly; the others order sequences by the mean place of their tokens.
+    """
+    slot_length, slot_sequence, slot_offset, times, sequence = [], [], [], [], 0
+    for configuration, copies in plan:
+        own, offset = np.arange(sequence, sequence + copies), 0
+        for length, n in configuration:
+            slot_length.append(np.full(copies * n, length))
+            slot_sequence.append(np.repeat(own, n))
+            slot_offset.append(np.tile(offset + length * np.arange(n), copies))
+            offset += length * n
+        times.append((np.arange(copies) + 0.5) / copies)
+        sequence += copies
+    slot_length, slot_sequence, slot_offset, times = map(
+        np.concatenate, (slot_length, slot_sequence, slot_offset, times)
+    )
+    by_length = np.argsort(lengths, kind="stable")
+    middle = np.cumsum(lengths) - lengths / 2
+    sequences, offsets = np.empty(len(lengths), np.int64), np.empty(len(lengths), np.int64)
+    for _ in range(PASSES):
+        rank = np.empty(sequence, np.int64)
+        rank[np.argsort(times, kind="stable")] = np.arange(sequence)
+        slots = np.lexsort((slot_offset, rank[slot_sequence], slot_length))
+        sequences[by_length], offsets[by_length] = rank[slot_sequence[slots]], slot_offset[slots]
+        mean = np.bincount(sequences, lengths * middle) / np.bincount(sequences, lengths)
+        times = mean[rank]
+    return sequences, offsets
+
+
+def _windows(cut: DataFrame, window_tokens: int) -> DataFrame:
+    """The pieces with ``before``, the tokens before them in the order, and the ``window`` they begin in."""
+    n = int(cut.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = ["place", "doc_id", "piece"]
+    rows = cut_lineage(cut.repartitionByRange(n, *order).withColumn("part", F.spark_partition_id()))
+    sizes = rows.groupBy("part").agg(F.sum("length").alias("n"))
+    first = cut_lineage(sizes.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("first")))
+    within = F.sum("length").over(Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    return (
+        rows.withColumn("within", within - F.col("length"))
+        .join(first, "part")
+        .withColumn("before", F.col("first") + F.col("within"))
+        .withColumn("window", F.expr(f"before DIV {window_tokens}"))
+        .drop("place", "part", "first", "within")
+    )
+
+
+def pack_in_order(
+    docs: DataFrame,
+    order: Sequence[Column],
+    capacity: int = CAPACITY,
+    end_id: int = END_ID,
+    tokenizer: str | None = None,
+    window_tokens: int = WINDOW_TOKENS,
+) -> DataFrame:
+    """As ``pack``, in sequences whose ids follow the order of the documents.
+
+    The pieces that begin in one window of the order are packed together, so a sequence holds
+    pieces of one window only, and its id is above those of all windows before.
+    """
+    cut = cut_lineage(pieces(docs, capacity, end_id, tokenizer, order))
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
+
+    def fill(window: pa.Table) -> pa.Table:
+        window = window.sort_by("before")
+        lengths = window.column("length").to_numpy()
+        sequence, offset = in_order(lengths, make_plan(dict(Counter(lengths.tolist())), capacity))
+        # A window begins no more pieces than it has tokens, so its ids end before the next one's.
+        sequence += window.column("window")[0].as_py() * window_tokens
+        found = window.select(columns)
+        return found.append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset))
+
+    rows = cut_lineage(_windows(cut, window_tokens))
+    # Planning takes its time however small the rows are, so the windows are dealt to all tasks.
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.repartitionByRange(n, "window")
+    return dealt.groupBy("window").applyInArrow(fill, f"{PIECES}, sequence_id bigint, offset bigint")

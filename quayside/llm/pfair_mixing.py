@@ -215,3 +215,10 @@ def in_mixed_order(docs: DataFrame, shares: DataFrame | None = None) -> DataFram
     placed = rows.join(cut_lineage(places), F.col("id").eqNullSafe(F.col("mixed_id")))
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return placed.repartitionByRange(n, "place", "id").sortWithinPartitions("place", "id").select("row.*")
+
+
+def file_order() -> list[Column]:
+    """Sorts documents read from files as the files of ``in_mixed_order`` hold them."""
+    name = F.col("_metadata.file_name")
+    # A task's number in a name has five digits, or more for those from 100,000.
+    return [F.length(name).alias("digits"), name.alias("file"), F.col("_metadata.row_index").alias("row")]

@@ -148,3 +148,20 @@ def test_pipeline_of_an_empty_table_and_of_a_very_long_text(spark, tmp_path):
     spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "long" / "documents.parquet"))
     found = corpus_pipeline.run(spark, str(tmp_path / "long")).collect()
     assert {r.doc_id for r in found} == {1, 2} and sum(r.length for r in found if r.doc_id == 1) == 200_001
+
+
+def test_packed_sequences_follow_the_mix(spark, tmp_path):
+    rows = [(100 * s + i, "word " * (9_000 + 37 * i), "en", f"s{s}", 1) for s in range(2) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    path = str(tmp_path / "mixed")
+    mixed = corpus_pipeline.mix_sources(spark, docs, "unused")
+    order = {r.doc_id: n for n, r in enumerate(mixed.collect())}
+    mixed.write.parquet(path)
+    found = corpus_pipeline.pack_sequences(spark, spark.read.parquet(path), "unused").collect()
+    found.sort(key=lambda r: (r.sequence_id, r.offset))
+    whole = [(order[r.doc_id], r.piece) for r in found if r.length == config_packing.CAPACITY]
+    assert len(whole) >= 4 * len(rows) and whole == sorted(whole)
+    total, had = sum(r.length for r in found), Counter()
+    for r in found:
+        had[r.doc_id // 100] += r.length
+        assert abs(had[0] - had[1]) <= 0.2 * total

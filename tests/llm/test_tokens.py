@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models
 
 from quayside.llm import config_packing, token_output, tokens
@@ -237,3 +238,55 @@ def test_a_length_of_most_pieces_is_ranked_in_many_tasks(spark):
     text = ranked._jdf.queryExecution().executedPlan().toString()
     windows = [line for line in text.splitlines() if "Window [" in line]
     assert windows and all("part#" in line.split("ROWS")[0] for line in windows)
+
+
+# --- Packing in order
+
+
+def test_pieces_of_a_length_keep_their_order_and_sequences_follow_it():
+    rng = random.Random(2)
+    lengths = np.array([rng.choice([rng.randint(1, 64), 64, 20]) for _ in range(2_000)])
+    plan = config_packing.make_plan(dict(Counter(lengths.tolist())), 64)
+    sequence, offset = config_packing.in_order(lengths, plan)
+    assert len(set(sequence.tolist())) == sequence.max() + 1 == sum(n for _, n in plan)
+    filled = defaultdict(list)
+    for s, o, n in zip(sequence.tolist(), offset.tolist(), lengths.tolist()):
+        filled[s].append((o, n))
+    for placed in filled.values():
+        placed.sort()
+        assert [o for o, _ in placed] == [sum(n for _, n in placed[:k]) for k in range(len(placed))]
+        assert sum(n for _, n in placed) <= 64
+    for n in set(lengths.tolist()):
+        own = list(zip(sequence[lengths == n].tolist(), offset[lengths == n].tolist()))
+        assert own == sorted(own)
+    assert np.corrcoef(sequence, np.arange(len(lengths)))[0, 1] > 0.9
+
+
+def test_windows_of_the_order_are_packed_one_after_the_other(spark, docs, tokenizer):
+    rng = random.Random(3)
+    rows = [(i, "word " * rng.randint(0, 90)) for i in range(300)] + [(7, None), (None, "a b"), (301, "x " * 700)]
+    table = docs(*rows, schema="doc_id bigint, text string").repartition(5)
+    by = [F.expr("coalesce(doc_id, 400) * 7919 % 1009").alias("at")]
+    found = config_packing.pack_in_order(table, by, capacity=64, window_tokens=1_000).collect()
+    plain = config_packing.pieces(table, 64).collect()
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    assert Counter(tuple(r[c] for c in columns) for r in found) == Counter(map(tuple, plain))
+    key = lambda r: ((400 if r.doc_id is None else r.doc_id) * 7919 % 1009, r.doc_id or 0, r.piece)
+    before = 0
+    windows = defaultdict(set)
+    for r in sorted(found, key=key):
+        assert r.sequence_id // 1_000 == before // 1_000 or r.doc_id == 7
+        windows[before // 1_000].add(r.sequence_id)
+        before += r.length
+    assert len(windows) > 10
+    filled = defaultdict(list)
+    for r in found:
+        filled[r.sequence_id].append((r.offset, r.length))
+    for placed in filled.values():
+        end = 0
+        for offset, length in sorted(placed):
+            assert offset == end
+            end += length
+        assert end <= 64
+    assert len(filled) <= -(-before // 64) + 2 * len(windows)
+    assert config_packing.pack_in_order(docs(), by).count() == 0
