@@ -72,11 +72,12 @@ def pieces(
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokens.encoder(tokenizer).encode
+        encode_all = tokens.encoder(tokenizer).encode_all
         for batch in batches:
             row, number, start, length, crc = [], [], [], [], []
-            for n, text in enumerate(batch.column("text").cast(pa.binary())):
-                encoded = memoryview(encode(text.as_py() or b"") + end)
+            texts = (text.as_py() or b"" for text in batch.column("text").cast(pa.binary()))
+            for n, ids in enumerate(encode_all(texts)):
+                encoded = memoryview(ids + end)
                 for k, at in enumerate(range(0, len(encoded), 4 * capacity)):
                     piece = encoded[at : at + 4 * capacity]
                     row.append(n)

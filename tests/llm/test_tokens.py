@@ -50,6 +50,17 @@ def test_ids_of_any_text(text):
     assert ids_of(encoder, text) == plain_ids(encoder.tokenizer, text)
 
 
+def test_new_words_of_many_texts_are_learned_in_one_go(tokenizer, monkeypatch):
+    encoder = tokens.WordEncoder()
+    learned = []
+    learn = encoder._learn_simple
+    monkeypatch.setattr(encoder, "_learn_simple", lambda words, lines: learned.append(len(words)) or learn(words, lines))
+    texts = [f"word{i} and Word{i}'s é{i}" for i in range(500)] + [t or "" for t in TEXTS]
+    found = list(encoder.encode_all(t.encode() for t in texts))
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in found] == [plain_ids(tokenizer, t) for t in texts]
+    assert len(learned) == 1 and learned[0] > 1_500
+
+
 def test_every_token_is_what_its_own_text_is_encoded_to(tokenizer):
     """Then joining neighbours by the rank of their union is the same as by named pairs."""
     with open(tokens.default_path(), encoding="utf-8") as file:
